@@ -198,3 +198,93 @@ for _t in ("users", "products", "orders", "order_items", "sessions", "access_log
 for _m in ("monthly_sales", "rfm_base", "rfm_scores", "customer_rfm", "cart_abandonment",
            "access_summary", "threat_events", "risk_counters", "user_risk"):
     oracle(_m, f"SELECT * FROM g_{_m}", f"g_{_m}")
+
+# ---------------------------------------------------------------- business questions
+oracle("category_sales_trend", """
+SELECT ym, category, sales_amount, order_count, prev_sales_amount,
+       round((sales_amount - prev_sales_amount) / prev_sales_amount * 100, 1) AS change_pct
+FROM (SELECT ym, category, sales_amount, order_count,
+             CASE WHEN lag(ym) OVER w = strftime(CAST(ym || '-01' AS DATE) - INTERVAL 1 MONTH, '%Y-%m')
+                  THEN lag(sales_amount) OVER w END AS prev_sales_amount
+      FROM g_monthly_sales WINDOW w AS (PARTITION BY category ORDER BY ym))""", "g_monthly_sales")
+oracle("churn_risk_by_age_group", """
+SELECT age_group, churn_customers, rank() OVER (ORDER BY churn_customers DESC) AS rank_no
+FROM (SELECT age_group, count(*) AS churn_customers FROM g_customer_rfm
+      WHERE segment = '離脱リスク' GROUP BY age_group)""", "g_customer_rfm")
+oracle("abandonment_by_category", """
+SELECT *, rank() OVER (ORDER BY abandonment_rate DESC) AS rank_no
+FROM (SELECT category, total_sessions, abandons,
+             round(abandons / total_sessions * 100, 1) AS abandonment_rate
+      FROM (SELECT category, CAST(sum(total_sessions) AS BIGINT) AS total_sessions,
+                   CAST(sum(abandons) AS BIGINT) AS abandons
+            FROM g_cart_abandonment GROUP BY category))""", "g_cart_abandonment")
+oracle("threat_trend_since", """
+SELECT period, thr_cls, CAST(sum(evt_cnt) AS BIGINT) AS evt_cnt,
+       CAST(sum(fail_cnt) AS BIGINT) AS fail_cnt, count(src_addr) AS src_cnt
+FROM g_threat_events WHERE period >= '2025-10' GROUP BY period, thr_cls""", "g_threat_events")
+oracle("top_risk_users", """
+SELECT * FROM g_user_risk ORDER BY rsk_val DESC, usr_ref ASC LIMIT 10""", "g_user_risk")
+oracle("late_night_suspicious", """
+SELECT * EXCLUDE (tz_band) FROM g_access_summary
+WHERE tz_band = '深夜帯' AND thr_cls <> 'normal'""", "g_access_summary")
+oracle("silent_churn", """
+SELECT user_id, recency_days, frequency, monetary, age_group, prefecture FROM g_customer_rfm
+WHERE segment = '離脱リスク' AND recency_days > 90""", "g_customer_rfm")
+oracle("gold_members", "SELECT * FROM g_customer_rfm WHERE segment = '優良顧客'", "g_customer_rfm")
+oracle("top_categories_last_month", """
+SELECT * FROM (SELECT ym, category, sales_amount, order_count,
+                      row_number() OVER (ORDER BY sales_amount DESC, category ASC) AS rank_no
+               FROM g_monthly_sales WHERE ym = (SELECT max(ym) FROM g_monthly_sales))
+WHERE rank_no <= 3""", "g_monthly_sales")
+oracle("top_categories_by_month", """
+SELECT * FROM (SELECT ym, category, sales_amount,
+                      row_number() OVER (PARTITION BY ym ORDER BY sales_amount DESC, category ASC) AS rank_no
+               FROM g_monthly_sales)
+WHERE rank_no <= 3""", "g_monthly_sales")
+oracle("recent_threat_types", """
+SELECT period, thr_cls, CAST(sum(evt_cnt) AS BIGINT) AS evt_cnt, count(src_addr) AS src_cnt,
+       min(first_dt) AS first_dt, max(last_dt) AS last_dt
+FROM g_threat_events WHERE period = (SELECT max(period) FROM g_threat_events)
+GROUP BY period, thr_cls""", "g_threat_events")
+cte("q_customer_360", """
+SELECT u.user_id, u.name, u.age_group, u.prefecture, r.segment, r.recency_days,
+       coalesce(r.frequency, 0) AS frequency, coalesce(r.monetary, 0) AS monetary,
+       r.segment IS NOT NULL AS has_purchase,
+       coalesce(k.rsk_val, 0) AS rsk_val, coalesce(k.rsk_cat, 'low') AS rsk_cat,
+       coalesce(k.bot_cnt, 0) AS bot_cnt, coalesce(k.fail_cnt, 0) AS fail_cnt
+FROM s_users u LEFT JOIN g_customer_rfm r ON u.user_id = r.user_id
+LEFT JOIN g_user_risk k ON u.user_id = k.usr_ref""", "s_users", "g_customer_rfm", "g_user_risk")
+oracle("customer_360", "SELECT * FROM q_customer_360", "q_customer_360")
+oracle("response_decision", """
+SELECT user_id, segment, rsk_val, rsk_cat, decision,
+       CASE WHEN decision = 'compensate' THEN 5000 ELSE 0 END AS points
+FROM (SELECT *, CASE WHEN rsk_val >= 50 THEN 'freeze' WHEN rsk_val >= 20 THEN 'review'
+                     WHEN segment = '優良顧客' THEN 'compensate' ELSE 'standard' END AS decision
+      FROM q_customer_360)""", "q_customer_360")
+oracle("relief_candidates", """
+SELECT user_id, recency_days, frequency, monetary, segment, age_group, prefecture
+FROM g_customer_rfm r
+WHERE segment = '優良顧客'
+  AND EXISTS (SELECT 1 FROM s_orders o WHERE o.status = 'cancelled' AND o.user_id = r.user_id)
+  AND NOT EXISTS (SELECT 1 FROM g_user_risk k WHERE k.rsk_val >= 20 AND k.usr_ref = r.user_id)""",
+       "g_customer_rfm", "s_orders", "g_user_risk")
+_MONTH = "substr({c}, 1, 4) || '年' || substr({c}, 6, 2) || '月'"
+oracle("presented_sales", f"""
+SELECT {_MONTH.format(c='ym')} AS month, category, format('{{:,}}', sales_amount) AS sales_yen,
+       format('{{:,}}', order_count) AS orders, format('{{:,}}', unique_buyers) AS buyers,
+       ym, sales_amount
+FROM g_monthly_sales""", "g_monthly_sales")
+oracle("presented_risk", """
+SELECT usr_ref, name,
+       CASE rsk_cat WHEN 'critical' THEN '危険' WHEN 'high' THEN '高' WHEN 'medium' THEN '中'
+                    WHEN 'low' THEN '低' ELSE rsk_cat END AS risk_level,
+       format('{:,}', rsk_val) AS risk_score, format('{:,}', acc_cnt) AS events, rsk_val
+FROM g_user_risk""", "g_user_risk")
+oracle("presented_threats", f"""
+SELECT {_MONTH.format(c='period')} AS month,
+       CASE thr_cls WHEN 'normal' THEN '通常' WHEN 'brute_force' THEN '総当たり攻撃'
+                    WHEN 'bot' THEN 'BOTアクセス' WHEN 'fraud' THEN '不正購入試行'
+                    ELSE thr_cls END AS threat,
+       tz_band, format('{{:,}}', evt_cnt) AS events, format('{{:,}}', fail_cnt) AS failures,
+       fail_pct, period, thr_cls
+FROM g_access_summary""", "g_access_summary")

@@ -51,3 +51,34 @@ register("csv_roundtrip")(_bronze("access_logs"))
 for _m in ("monthly_sales", "rfm_base", "rfm_scores", "customer_rfm", "cart_abandonment",
            "access_summary", "threat_events", "risk_counters", "user_risk"):
     QUERIES[_m] = (lambda m: lambda spark, sf_dir: getattr(_shop(spark, sf_dir), m)())(_m)
+
+# ---------------------------------------------------------------- business questions
+from shopmarts.functions import presentation as P  # noqa: E402
+from shopmarts.operators import questions as Q  # noqa: E402
+
+
+def _q(fn):
+    def deco(name):
+        QUERIES[name] = lambda spark, sf_dir: fn(_shop(spark, sf_dir))
+    return deco
+
+
+_q(lambda s: Q.category_sales_trend(s.monthly_sales()))("category_sales_trend")
+_q(lambda s: Q.churn_risk_by_age_group(s.customer_rfm()))("churn_risk_by_age_group")
+_q(lambda s: Q.abandonment_by_category(s.cart_abandonment()))("abandonment_by_category")
+_q(lambda s: Q.threat_trend_since(s.threat_events()))("threat_trend_since")
+_q(lambda s: Q.top_risk_users(s.user_risk()))("top_risk_users")
+_q(lambda s: Q.late_night_suspicious(s.access_summary()))("late_night_suspicious")
+_q(lambda s: Q.silent_churn(s.customer_rfm()))("silent_churn")
+_q(lambda s: Q.gold_members(s.customer_rfm()))("gold_members")
+_q(lambda s: Q.top_categories_last_month(s.monthly_sales()))("top_categories_last_month")
+_q(lambda s: Q.top_categories_by_month(s.monthly_sales()))("top_categories_by_month")
+_q(lambda s: Q.recent_threat_types(s.threat_events()))("recent_threat_types")
+_q(lambda s: Q.customer_360(s.silver["users"], s.customer_rfm(), s.user_risk()))("customer_360")
+_q(lambda s: Q.response_decision(
+    Q.customer_360(s.silver["users"], s.customer_rfm(), s.user_risk())))("response_decision")
+_q(lambda s: Q.relief_candidates(s.customer_rfm(), s.silver["orders"], s.user_risk()))(
+    "relief_candidates")
+_q(lambda s: P.presented_sales(s.monthly_sales()))("presented_sales")
+_q(lambda s: P.presented_risk(s.user_risk()))("presented_risk")
+_q(lambda s: P.presented_threats(s.access_summary()))("presented_threats")
