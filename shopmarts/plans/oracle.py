@@ -288,3 +288,61 @@ SELECT {_MONTH.format(c='period')} AS month,
        tz_band, format('{{:,}}', evt_cnt) AS events, format('{{:,}}', fail_cnt) AS failures,
        fail_pct, period, thr_cls
 FROM g_access_summary""", "g_access_summary")
+
+# ---------------------------------------------------------------- data quality
+oracle("dq_item_subtotal", """
+SELECT item_id, order_id, quantity, unit_price, subtotal,
+       CAST(unit_price AS BIGINT) * quantity AS expected_subtotal
+FROM s_order_items WHERE subtotal IS DISTINCT FROM CAST(unit_price AS BIGINT) * quantity""",
+       "s_order_items")
+oracle("dq_order_total", """
+SELECT * FROM (
+  SELECT coalesce(o.order_id, i.order_id) AS order_id, o.total_amount, i.item_total,
+         CASE WHEN o.total_amount IS NULL AND i.item_total IS NOT NULL THEN 'no_order'
+              WHEN i.item_total IS NULL THEN 'no_items'
+              WHEN o.total_amount <> i.item_total THEN 'mismatch' END AS issue
+  FROM s_orders o
+  FULL OUTER JOIN (SELECT order_id, CAST(sum(subtotal) AS BIGINT) AS item_total
+                   FROM s_order_items GROUP BY order_id) i ON o.order_id = i.order_id)
+WHERE issue IS NOT NULL""", "s_orders", "s_order_items")
+oracle("dq_orphans", """
+SELECT item_id, order_id, product_id, 'unknown_order' AS issue FROM s_order_items i
+WHERE NOT EXISTS (SELECT 1 FROM s_orders o WHERE o.order_id = i.order_id)
+UNION ALL
+SELECT item_id, order_id, product_id, 'unknown_product' AS issue FROM s_order_items i
+WHERE NOT EXISTS (SELECT 1 FROM s_products p WHERE p.product_id = i.product_id)""",
+       "s_order_items", "s_orders", "s_products")
+oracle("dq_category_match", """
+SELECT i.item_id, i.order_id, i.product_id, o.category AS order_category,
+       p.category AS product_category
+FROM s_order_items i JOIN s_orders o ON i.order_id = o.order_id
+JOIN s_products p ON i.product_id = p.product_id
+WHERE o.category IS DISTINCT FROM p.category""", "s_order_items", "s_orders", "s_products")
+oracle("dq_duplicate_keys", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, CAST({k} AS BIGINT) AS key_value, count(*) AS n "
+    f"FROM b_{t} GROUP BY {k} HAVING count(*) > 1"
+    for t, k in (("users", "user_id"), ("products", "product_id"), ("orders", "order_id"),
+                 ("order_items", "item_id"), ("sessions", "session_id"),
+                 ("access_logs", "access_id"))),
+       "b_users", "b_products", "b_orders", "b_order_items", "b_sessions", "b_access_logs")
+_DOM = (("orders", "status", "'completed', 'cancelled', 'returned'"),
+        ("orders", "channel", "'web', 'mobile', 'app'"),
+        ("sessions", "event_type", "'view', 'add_to_cart', 'purchase', 'abandon'"),
+        ("access_logs", "event_type", "'login', 'page_view', 'add_to_cart', 'purchase_attempt'"),
+        ("access_logs", "threat_type", "'normal', 'brute_force', 'bot', 'fraud'"))
+oracle("dq_domains", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, {c} AS value, count(*) AS n, "
+    f"coalesce({c} IN ({vals}), false) AS in_domain FROM b_{t} GROUP BY {c}"
+    for t, c, vals in _DOM), "b_orders", "b_sessions", "b_access_logs")
+oracle("dq_bot_orders", """
+SELECT order_id, user_id, status, order_date FROM s_orders o
+WHERE EXISTS (SELECT 1 FROM s_access_logs a WHERE a.threat_type = 'bot' AND a.user_id = o.user_id)""",
+       "s_orders", "s_access_logs")
+oracle("dq_rejects", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, CAST({k} AS BIGINT) AS key_value, '{c}' AS column_name, "
+    f"{c} AS raw_value FROM b_{t} WHERE {c} IS NOT NULL AND TRY_CAST({c} AS {typ}) IS NULL"
+    for t, k, c, typ in (("users", "user_id", "registration_date", "DATE"),
+                         ("orders", "order_id", "order_date", "DATE"),
+                         ("sessions", "session_id", "session_date", "DATE"),
+                         ("access_logs", "access_id", "timestamp", "TIMESTAMP"))),
+       "b_users", "b_orders", "b_sessions", "b_access_logs")

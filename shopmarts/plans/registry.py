@@ -82,3 +82,17 @@ _q(lambda s: Q.relief_candidates(s.customer_rfm(), s.silver["orders"], s.user_ri
 _q(lambda s: P.presented_sales(s.monthly_sales()))("presented_sales")
 _q(lambda s: P.presented_risk(s.user_risk()))("presented_risk")
 _q(lambda s: P.presented_threats(s.access_summary()))("presented_threats")
+
+# ---------------------------------------------------------------- data quality
+from shopmarts.operators import quality as V  # noqa: E402
+
+_q(lambda s: V.item_subtotal(s.silver["order_items"]))("dq_item_subtotal")
+_q(lambda s: V.order_total(s.silver["orders"], s.silver["order_items"]))("dq_order_total")
+_q(lambda s: V.orphans(s.silver["order_items"], s.silver["orders"], s.silver["products"]))(
+    "dq_orphans")
+_q(lambda s: V.category_match(s.silver["order_items"], s.silver["orders"],
+                              s.silver["products"]))("dq_category_match")
+_q(lambda s: V.duplicate_keys(s.raw))("dq_duplicate_keys")
+_q(lambda s: V.domains(s.raw))("dq_domains")
+_q(lambda s: V.bot_orders(s.silver["orders"], s.silver["access_logs"]))("dq_bot_orders")
+_q(lambda s: V.rejects(s.raw))("dq_rejects")
