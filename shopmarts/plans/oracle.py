@@ -346,3 +346,16 @@ oracle("dq_rejects", " UNION ALL ".join(
                          ("sessions", "session_id", "session_date", "DATE"),
                          ("access_logs", "access_id", "timestamp", "TIMESTAMP"))),
        "b_users", "b_orders", "b_sessions", "b_access_logs")
+
+# ---------------------------------------------------------------- sinks, pipeline
+oracle("table_roundtrip", "SELECT * FROM g_user_risk", "g_user_risk")
+oracle("schema_evolution_overwrite", "SELECT * FROM g_monthly_sales", "g_monthly_sales")
+_LAYERS = [("bronze", t, f"b_{t}") for t in ("users", "products", "orders", "order_items",
+                                               "sessions", "access_logs")]
+_LAYERS += [("silver", t, f"s_{t}") for t in ("users", "products", "orders", "order_items",
+                                                "sessions", "access_logs")]
+_LAYERS += [("gold", t, f"g_{t}") for t in ("monthly_sales", "customer_rfm", "cart_abandonment",
+                                              "access_summary", "threat_events", "user_risk")]
+oracle("pipeline_row_counts", " UNION ALL ".join(
+    f"SELECT '{layer}' AS layer, '{t}' AS table_name, count(*) AS row_count FROM {c}"
+    for layer, t, c in _LAYERS), *[c for _, _, c in _LAYERS])

@@ -96,3 +96,59 @@ _q(lambda s: V.duplicate_keys(s.raw))("dq_duplicate_keys")
 _q(lambda s: V.domains(s.raw))("dq_domains")
 _q(lambda s: V.bot_orders(s.silver["orders"], s.silver["access_logs"]))("dq_bot_orders")
 _q(lambda s: V.rejects(s.raw))("dq_rejects")
+
+# ---------------------------------------------------------------- sinks, pipeline, catalog
+import uuid  # noqa: E402
+
+from shopmarts.plans import catalog as C  # noqa: E402
+from shopmarts.plans import pipeline as PL  # noqa: E402
+
+
+def _fresh_database() -> str:
+    return f"shopmarts_{uuid.uuid4().hex[:10]}"
+
+
+@register("pipeline_row_counts")
+def _pipeline_row_counts(spark, sf_dir):
+    """Whole CSV-free pipeline on the driver tables: 18 tables, counts observed."""
+    return PL.run_pipeline(spark, _shop(spark, sf_dir).raw, _fresh_database())
+
+
+def _piped_catalog(spark, sf_dir):
+    db = _fresh_database()
+    PL.run_pipeline(spark, _shop(spark, sf_dir).raw, db)
+    return C.table_catalog(spark, db)
+
+
+register("table_catalog")(_piped_catalog)
+register("catalog_search")(
+    lambda spark, sf_dir: C.search_catalog(_piped_catalog(spark, sf_dir), "同義"))
+
+
+@register("table_roundtrip")
+def _table_roundtrip(spark, sf_dir):
+    """Mart -> parquet table in the shared folder -> named-table scan."""
+    db = _fresh_database()
+    PL.create_database(spark, db, shared_path(spark, "warehouse", db))
+    files.save_table(_shop(spark, sf_dir).user_risk(), f"{db}.gold_user_risk",
+                     path=shared_path(spark, "warehouse", db, "gold_user_risk"))
+    return spark.table(f"{db}.gold_user_risk")
+
+
+@register("schema_evolution_overwrite")
+def _schema_evolution_overwrite(spark, sf_dir):
+    """Overwrite a table with a different schema: the new schema replaces the old."""
+    db = _fresh_database()
+    path = shared_path(spark, "warehouse", db, "gold_monthly_sales")
+    PL.create_database(spark, db, shared_path(spark, "warehouse", db))
+    ms = _shop(spark, sf_dir).monthly_sales()
+    files.save_table(ms.select("ym", "category", "order_count"), f"{db}.gold_monthly_sales",
+                     path=path)
+    files.save_table(ms, f"{db}.gold_monthly_sales", path=path)
+    return spark.table(f"{db}.gold_monthly_sales")
+
+
+@register("document_inventory")
+def _document_inventory(spark, sf_dir):
+    """File listing (name, size) of the data folder, gated on a minimum count."""
+    return files.require_documents(files.document_inventory(spark, sf_dir, "*.parquet"), 10)
