@@ -359,3 +359,60 @@ _LAYERS += [("gold", t, f"g_{t}") for t in ("monthly_sales", "customer_rfm", "ca
 oracle("pipeline_row_counts", " UNION ALL ".join(
     f"SELECT '{layer}' AS layer, '{t}' AS table_name, count(*) AS row_count FROM {c}"
     for layer, t, c in _LAYERS), *[c for _, _, c in _LAYERS])
+
+# ---------------------------------------------------------------- retrieval
+cte("r_passages", """
+SELECT doc_id, CAST(pos AS INTEGER) AS pos, passage
+FROM (SELECT doc_id, unnest(parts) AS passage, generate_subscripts(parts, 1) - 1 AS pos
+      FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))
+WHERE trim(passage) <> ''""")
+cte("r_post", r"""
+SELECT p.doc_id, p.pos, p.term, p.tf, l.dl FROM
+  (SELECT doc_id, pos, term, count(*) AS tf
+   FROM (SELECT doc_id, pos, unnest(regexp_split_to_array(lower(passage), '[^\p{L}\p{N}]+')) AS term
+         FROM r_passages)
+   WHERE term <> '' GROUP BY doc_id, pos, term) p
+JOIN (SELECT doc_id, pos, CAST(sum(tf) AS BIGINT) AS dl
+      FROM (SELECT doc_id, pos, unnest(regexp_split_to_array(lower(passage), '[^\p{L}\p{N}]+')) AS term,
+                   1 AS tf FROM r_passages)
+      WHERE term <> '' GROUP BY doc_id, pos) l
+ON p.doc_id = l.doc_id AND p.pos = l.pos""", "r_passages")
+cte("r_stats", "SELECT count(*) AS n, avg(dl) AS avgdl FROM (SELECT DISTINCT doc_id, pos, dl FROM r_post)",
+    "r_post")
+cte("r_scores", r"""
+SELECT qid, doc_id, pos,
+       sum(CAST(ln(1 + (CAST(n - df AS DOUBLE) + 0.5) / (CAST(df AS DOUBLE) + 0.5))
+                * ((tf * 2.2) / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl))) AS DECIMAL(20,12))) AS s
+FROM (SELECT DISTINCT item_id AS qid,
+             unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')) AS term FROM benchmark) q
+JOIN r_post USING (term)
+JOIN (SELECT term, count(*) AS df FROM r_post GROUP BY term) d USING (term)
+CROSS JOIN r_stats
+WHERE term <> ''
+GROUP BY qid, doc_id, pos""", "r_post", "r_stats")
+oracle("passages", "SELECT * FROM r_passages", "r_passages")
+oracle("lexical_topk", """
+SELECT t.item_id, t.rank_no, t.doc_id, t.pos, t.score, d.source, p.passage
+FROM (SELECT qid AS item_id, rank_no, doc_id, pos, round(CAST(s AS DOUBLE), 6) AS score
+      FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY s DESC, doc_id, pos) AS rank_no
+            FROM r_scores) WHERE rank_no <= 5) t
+JOIN documents d ON t.doc_id = d.doc_id
+JOIN r_passages p ON t.doc_id = p.doc_id AND t.pos = p.pos""", "r_scores", "r_passages")
+oracle("vector_topk", """
+SELECT label, rank_no, vec_id, score FROM (
+  SELECT c.label, e.vec_id,
+         round(list_dot_product(c.cent, CAST(e.embedding AS DOUBLE[]))
+               / (sqrt(list_dot_product(c.cent, c.cent))
+                  * sqrt(list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])))), 6) AS score,
+         row_number() OVER (PARTITION BY c.label ORDER BY
+             list_dot_product(c.cent, CAST(e.embedding AS DOUBLE[]))
+               / (sqrt(list_dot_product(c.cent, c.cent))
+                  * sqrt(list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])))) DESC,
+             e.vec_id) AS rank_no
+  FROM (SELECT label, list(m ORDER BY i) AS cent
+        FROM (SELECT label, i, avg(CAST(v AS DOUBLE)) AS m
+              FROM (SELECT label, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i
+                    FROM embeddings) GROUP BY label, i)
+        GROUP BY label) c
+  CROSS JOIN embeddings e)
+WHERE rank_no <= 10""")

@@ -152,3 +152,17 @@ def _schema_evolution_overwrite(spark, sf_dir):
 def _document_inventory(spark, sf_dir):
     """File listing (name, size) of the data folder, gated on a minimum count."""
     return files.require_documents(files.document_inventory(spark, sf_dir, "*.parquet"), 10)
+
+# ---------------------------------------------------------------- retrieval
+from shopmarts.operators import retrieval as R  # noqa: E402
+from shopmarts.sources.tables import DriverTables  # noqa: E402
+
+
+def _t(spark, sf_dir) -> DriverTables:
+    return DriverTables(spark, sf_dir)
+
+
+register("passages")(lambda spark, sf_dir: R.passages(_t(spark, sf_dir).documents))
+register("lexical_topk")(lambda spark, sf_dir: R.lexical_topk_with_source(
+    _t(spark, sf_dir).documents, _t(spark, sf_dir).benchmark, k=5))
+register("vector_topk")(lambda spark, sf_dir: R.centroid_topk(_t(spark, sf_dir).embeddings, k=10))
