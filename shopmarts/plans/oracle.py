@@ -208,11 +208,11 @@ FROM (SELECT ym, category, sales_amount, order_count,
                   THEN lag(sales_amount) OVER w END AS prev_sales_amount
       FROM g_monthly_sales WINDOW w AS (PARTITION BY category ORDER BY ym))""", "g_monthly_sales")
 oracle("churn_risk_by_age_group", """
-SELECT age_group, churn_customers, rank() OVER (ORDER BY churn_customers DESC) AS rank_no
+SELECT age_group, churn_customers, CAST(rank() OVER (ORDER BY churn_customers DESC) AS INTEGER) AS rank_no
 FROM (SELECT age_group, count(*) AS churn_customers FROM g_customer_rfm
       WHERE segment = '離脱リスク' GROUP BY age_group)""", "g_customer_rfm")
 oracle("abandonment_by_category", """
-SELECT *, rank() OVER (ORDER BY abandonment_rate DESC) AS rank_no
+SELECT *, CAST(rank() OVER (ORDER BY abandonment_rate DESC) AS INTEGER) AS rank_no
 FROM (SELECT category, total_sessions, abandons,
              round(abandons / total_sessions * 100, 1) AS abandonment_rate
       FROM (SELECT category, CAST(sum(total_sessions) AS BIGINT) AS total_sessions,
@@ -233,12 +233,12 @@ WHERE segment = '離脱リスク' AND recency_days > 90""", "g_customer_rfm")
 oracle("gold_members", "SELECT * FROM g_customer_rfm WHERE segment = '優良顧客'", "g_customer_rfm")
 oracle("top_categories_last_month", """
 SELECT * FROM (SELECT ym, category, sales_amount, order_count,
-                      row_number() OVER (ORDER BY sales_amount DESC, category ASC) AS rank_no
+                      CAST(row_number() OVER (ORDER BY sales_amount DESC, category ASC) AS INTEGER) AS rank_no
                FROM g_monthly_sales WHERE ym = (SELECT max(ym) FROM g_monthly_sales))
 WHERE rank_no <= 3""", "g_monthly_sales")
 oracle("top_categories_by_month", """
 SELECT * FROM (SELECT ym, category, sales_amount,
-                      row_number() OVER (PARTITION BY ym ORDER BY sales_amount DESC, category ASC) AS rank_no
+                      CAST(row_number() OVER (PARTITION BY ym ORDER BY sales_amount DESC, category ASC) AS INTEGER) AS rank_no
                FROM g_monthly_sales)
 WHERE rank_no <= 3""", "g_monthly_sales")
 oracle("recent_threat_types", """
@@ -394,7 +394,7 @@ oracle("passages", "SELECT * FROM r_passages", "r_passages")
 oracle("lexical_topk", """
 SELECT t.item_id, t.rank_no, t.doc_id, t.pos, t.score, d.source, p.passage
 FROM (SELECT qid AS item_id, rank_no, doc_id, pos, round(CAST(s AS DOUBLE), 6) AS score
-      FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY s DESC, doc_id, pos) AS rank_no
+      FROM (SELECT *, CAST(row_number() OVER (PARTITION BY qid ORDER BY s DESC, doc_id, pos) AS INTEGER) AS rank_no
             FROM r_scores) WHERE rank_no <= 5) t
 JOIN documents d ON t.doc_id = d.doc_id
 JOIN r_passages p ON t.doc_id = p.doc_id AND t.pos = p.pos""", "r_scores", "r_passages")
@@ -404,11 +404,11 @@ SELECT label, rank_no, vec_id, score FROM (
          round(list_dot_product(c.cent, CAST(e.embedding AS DOUBLE[]))
                / (sqrt(list_dot_product(c.cent, c.cent))
                   * sqrt(list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])))), 6) AS score,
-         row_number() OVER (PARTITION BY c.label ORDER BY
+         CAST(row_number() OVER (PARTITION BY c.label ORDER BY
              list_dot_product(c.cent, CAST(e.embedding AS DOUBLE[]))
                / (sqrt(list_dot_product(c.cent, c.cent))
                   * sqrt(list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])))) DESC,
-             e.vec_id) AS rank_no
+             e.vec_id) AS INTEGER) AS rank_no
   FROM (SELECT label, list(m ORDER BY i) AS cent
         FROM (SELECT label, i, avg(CAST(v AS DOUBLE)) AS m
               FROM (SELECT label, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i
@@ -416,3 +416,66 @@ SELECT label, rank_no, vec_id, score FROM (
         GROUP BY label) c
   CROSS JOIN embeddings e)
 WHERE rank_no <= 10""")
+
+# ---------------------------------------------------------------- evaluation statistics
+cte("v_spans", """
+SELECT conv_id AS trace_id, turn AS span_id, role AS agent, turn * 1000 AS start_ms,
+       CAST(turn * 1000 + length(text) AS BIGINT) AS end_ms
+FROM conversations""")
+cte("v_verdicts", """
+SELECT d.source AS run_id, d.doc_id AS trace_id, j.judge,
+       CASE WHEN j.judge = 'quality' THEN (CASE l.quality WHEN 1 THEN 'pass' WHEN 0 THEN 'fail' END)
+            ELSE (CASE l.toxic WHEN 0 THEN 'pass' WHEN 1 THEN 'fail' END) END AS verdict
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+CROSS JOIN (VALUES ('quality'), ('safety')) j(judge)""")
+cte("v_slowest", """
+SELECT trace_id, span_id, agent FROM (
+  SELECT *, row_number() OVER (PARTITION BY trace_id
+                               ORDER BY end_ms - start_ms DESC, span_id ASC) AS rn
+  FROM v_spans) WHERE rn = 1""", "v_spans")
+oracle("pass_rate", """
+SELECT *, round(passed / (passed + failed) * 100, 1) AS pass_pct FROM (
+  SELECT judge, count(*) AS n,
+         CAST(sum(CASE WHEN verdict = 'pass' THEN 1 ELSE 0 END) AS BIGINT) AS passed,
+         CAST(sum(CASE WHEN verdict = 'fail' THEN 1 ELSE 0 END) AS BIGINT) AS failed,
+         CAST(sum(CASE WHEN verdict IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS empty
+  FROM v_verdicts GROUP BY judge)""", "v_verdicts")
+cte("v_run_pass", """
+SELECT *, round(passed / (passed + failed) * 100, 1) AS pass_pct FROM (
+  SELECT run_id, judge,
+         CAST(sum(CASE WHEN verdict = 'pass' THEN 1 ELSE 0 END) AS BIGINT) AS passed,
+         CAST(sum(CASE WHEN verdict = 'fail' THEN 1 ELSE 0 END) AS BIGINT) AS failed
+  FROM v_verdicts GROUP BY run_id, judge)""", "v_verdicts")
+oracle("run_comparison", """
+SELECT p.run_id, p.judge, p.passed, p.failed, p.pass_pct, b.pass_pct AS baseline_pct,
+       round(p.pass_pct - b.pass_pct, 1) AS delta_pct
+FROM v_run_pass p LEFT JOIN (SELECT judge, pass_pct FROM v_run_pass
+                             WHERE run_id = (SELECT min(run_id) FROM v_verdicts)) b
+ON p.judge = b.judge""", "v_run_pass", "v_verdicts")
+oracle("latency_profile", """
+SELECT a.agent, a.calls, a.p50_ms, a.p95_ms, a.max_ms,
+       coalesce(s.slowest_traces, 0) AS slowest_traces,
+       round(coalesce(s.slowest_traces, 0) / (SELECT count(DISTINCT trace_id) FROM v_spans) * 100, 1)
+         AS slowest_share_pct
+FROM (SELECT agent, count(*) AS calls,
+             round(quantile_cont(end_ms - start_ms, 0.5), 6) AS p50_ms,
+             round(quantile_cont(end_ms - start_ms, 0.95), 6) AS p95_ms,
+             max(end_ms - start_ms) AS max_ms
+      FROM v_spans GROUP BY agent) a
+LEFT JOIN (SELECT agent, count(*) AS slowest_traces FROM v_slowest GROUP BY agent) s
+ON a.agent = s.agent""", "v_spans", "v_slowest")
+oracle("trace_call_profile", """
+SELECT p.*, p.span_id = s.span_id AS is_slowest FROM (
+  SELECT trace_id, span_id, agent, start_ms, end_ms, end_ms - start_ms AS duration_ms,
+         CAST(row_number() OVER w AS INTEGER) AS seq,
+         coalesce(start_ms < max(end_ms) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                  false) AS overlaps_prior
+  FROM v_spans WINDOW w AS (PARTITION BY trace_id ORDER BY start_ms, span_id)) p
+LEFT JOIN v_slowest s ON p.trace_id = s.trace_id""", "v_spans", "v_slowest")
+oracle("evaluation_dataset", """
+SELECT d.doc_id AS trace_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+WHERE d.doc_id IN (SELECT doc_id FROM (
+    SELECT qid, doc_id, row_number() OVER (PARTITION BY qid ORDER BY s DESC, doc_id, pos) AS rn
+    FROM r_scores) WHERE rn <= 5)""", "r_scores")
+oracle("csv_roundtrip", "SELECT * FROM b_access_logs", "b_access_logs")

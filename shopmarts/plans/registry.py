@@ -166,3 +166,35 @@ register("passages")(lambda spark, sf_dir: R.passages(_t(spark, sf_dir).document
 register("lexical_topk")(lambda spark, sf_dir: R.lexical_topk_with_source(
     _t(spark, sf_dir).documents, _t(spark, sf_dir).benchmark, k=5))
 register("vector_topk")(lambda spark, sf_dir: R.centroid_topk(_t(spark, sf_dir).embeddings, k=10))
+
+# ---------------------------------------------------------------- evaluation statistics
+from pyspark.sql import functions as _F  # noqa: E402
+
+from shopmarts.operators import evalstats as E  # noqa: E402
+from shopmarts.sources import adapters as A  # noqa: E402
+
+
+def _spans(spark, sf_dir):
+    return A.spans(_t(spark, sf_dir).conversations)
+
+
+def _verdicts(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return A.verdicts(t.documents, t.labels)
+
+
+register("pass_rate")(lambda spark, sf_dir: E.pass_rate(_verdicts(spark, sf_dir)))
+register("run_comparison")(lambda spark, sf_dir: E.run_comparison(_verdicts(spark, sf_dir)))
+register("latency_profile")(lambda spark, sf_dir: E.latency_profile(_spans(spark, sf_dir)))
+register("trace_call_profile")(lambda spark, sf_dir: E.trace_call_profile(_spans(spark, sf_dir)))
+
+
+@register("evaluation_dataset")
+def _evaluation_dataset(spark, sf_dir):
+    """Documents that answered a benchmark question (lexical top-k), with labels."""
+    t = _t(spark, sf_dir)
+    traces = t.documents.select(_F.col("doc_id").alias("trace_id"), "lang", "source", "n_chars")
+    chosen = R.lexical_topk(t.documents, t.benchmark, k=5).select(
+        _F.col("doc_id").alias("trace_id"))
+    labels = t.labels.select(_F.col("doc_id").alias("trace_id"), "quality", "toxic")
+    return E.evaluation_dataset(traces, chosen, labels)

@@ -135,3 +135,33 @@ def from_driver(t) -> dict[str, DataFrame]:
         "sessions": sessions(t.events),
         "access_logs": access_logs(t.events),
     }
+
+
+# ---------------------------------------------------------------- evaluation shapes
+SPAN_STEP_MS = 1000   # a turn starts every second; it lasts one ms per character
+
+
+def spans(conversations: DataFrame) -> DataFrame:
+    """Agent-trace spans: trace = conversation, span = turn, agent = role.
+
+    (trace_id, span_id, agent, start_ms, end_ms); a long turn outlasts the next
+    turn's start, which makes those two calls overlap (run in parallel)."""
+    start = F.col("turn") * SPAN_STEP_MS
+    return conversations.select(
+        F.col("conv_id").alias("trace_id"), F.col("turn").alias("span_id"),
+        F.col("role").alias("agent"), start.alias("start_ms"),
+        (start + F.length("text")).cast("long").alias("end_ms"))
+
+
+def verdicts(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """Judge verdicts per document: run = source, judges 'quality' and 'safety'.
+
+    (run_id, trace_id, judge, verdict) with verdict 'pass', 'fail' or NULL when
+    the document has no label (an empty verdict)."""
+    j = documents.select("doc_id", "source").join(labels, "doc_id", "left")
+    quality = F.when(F.col("quality") == 1, "pass").when(F.col("quality") == 0, "fail")
+    safety = F.when(F.col("toxic") == 0, "pass").when(F.col("toxic") == 1, "fail")
+    pairs = F.array(F.struct(F.lit("quality").alias("judge"), quality.alias("verdict")),
+                    F.struct(F.lit("safety").alias("judge"), safety.alias("verdict")))
+    return (j.select(F.col("source").alias("run_id"), F.col("doc_id").alias("trace_id"),
+                     F.inline(pairs)))
