@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 K1, B = 1.2, 0.75
 SCORE_TYPE = "decimal(20,12)"
+MARGIN = 1e-6   # slack on every pruning test: float bounds never drop a true top-k row
 
 
 # ---------------------------------------------------------------- R1 passages
@@ -65,61 +66,119 @@ def _idf(df: Column, n: Column) -> Column:
     return F.log(1 + (n - df + 0.5) / (df + 0.5))
 
 
+class LexicalIndex:
+    """An inverted index of line passages, materialized once and reused.
+
+    ``postings`` (doc_id, pos, term, tf, dl, tfp) and ``stats`` (term, df,
+    max_tfp, idf, maxc) are written as parquet tables in the shared checkpoint
+    folder: lineage is cut, every query batch reads them back with column
+    pruning, and a lost executor only re-reads files.
+    """
+
+    def __init__(self, postings: DataFrame, stats: DataFrame, n_passages: int, avgdl: float):
+        self.postings, self.stats = postings, stats
+        self.n_passages, self.avgdl = n_passages, avgdl
+
+    @classmethod
+    def build(cls, documents: DataFrame, path: str | None = None) -> "LexicalIndex":
+        spark = documents.sparkSession
+        from shopmarts.session import shared_path
+        path = path or shared_path(spark, "lexical_index", unique=True)
+        # Tokenizing is the costly step: spread it when the input has few splits
+        # (e.g. one large row group); big inputs already have enough file splits.
+        par = spark.sparkContext.defaultParallelism
+        if documents.rdd.getNumPartitions() < par:
+            documents = documents.repartition(par)
+        postings(passages(documents)).write.mode("overwrite").parquet(f"{path}/postings0")
+        post = spark.read.parquet(f"{path}/postings0")
+        lengths = post.select("doc_id", "pos", "dl").distinct()
+        n_passages, avgdl = lengths.agg(F.count(F.lit(1)), F.avg("dl")).first()
+        if not n_passages:
+            raise ValueError("no passages with terms in the corpus")
+        post = post.withColumn("tfp", _tf_part(F.col("tf"), F.col("dl"), F.lit(avgdl)))
+        (post.groupBy("term")
+         .agg(F.count(F.lit(1)).alias("df"), F.max("tfp").alias("max_tfp"))
+         .withColumn("idf", _idf(F.col("df"), F.lit(n_passages)))
+         .withColumn("maxc", F.col("idf") * F.col("max_tfp"))
+         .write.mode("overwrite").parquet(f"{path}/stats"))
+        return cls(post, spark.read.parquet(f"{path}/stats"), n_passages, avgdl)
+
+    def search(self, queries: DataFrame, k: int = 5, query_id: str = "item_id",
+               query_text: str = "text", seed_postings: int = 2000,
+               seed_pool: int = 4) -> DataFrame:
+        """Exact BM25 top-k passages per query: (query_id, rank_no, doc_id, pos, score).
+
+        ``seed_postings`` and ``seed_pool`` only tune how tight the pruning bound
+        is; the result is the same for any value."""
+        post, stats = self.postings, self.stats
+        qterms = (queries.select(F.col(query_id).alias("qid"),
+                                 F.explode(tokens_of(F.col(query_text))).alias("term"))
+                  .distinct()
+                  .join(stats.select("term", "df", "idf", "maxc"), "term"))
+        key = ["qid", "doc_id", "pos"]
+        best = Window.partitionBy("qid").orderBy(F.desc("s"), "doc_id", "pos")
+
+        def contrib(p: DataFrame) -> DataFrame:
+            return p.withColumn("c", (F.col("idf") * F.col("tfp")).cast(SCORE_TYPE))
+
+        def lookup(pairs: DataFrame, terms: DataFrame, out: str) -> DataFrame:
+            """Sum of contributions of ``terms`` (qid, term, idf) in the given
+            (qid, doc_id, pos) passages, by keyed (passage, term) lookups."""
+            return (contrib(pairs.join(terms.select("qid", "term", "idf"), "qid")
+                            .join(post.select("doc_id", "pos", "term", "tfp"),
+                                  ["doc_id", "pos", "term"]))
+                    .groupBy(*key).agg(F.sum("c").alias(out)))
+
+        def top(df: DataFrame, n: int) -> DataFrame:
+            return df.withColumn("rank_no", F.row_number().over(best)).filter(F.col("rank_no") <= n)
+
+        # (1) theta: the k-th best *exact* score among passages found by the
+        #     rarest terms (taken until their postings reach ``seed_postings``).
+        rarer = (Window.partitionBy("qid").orderBy("df", "term")
+                 .rowsBetween(Window.unboundedPreceding, -1))
+        seeds = (qterms.withColumn("before", F.coalesce(F.sum("df").over(rarer), F.lit(0)))
+                 .filter(F.col("before") < seed_postings))
+        partial = (contrib(seeds.join(post.select("term", "doc_id", "pos", "tfp"), "term"))
+                   .groupBy(*key).agg(F.sum("c").alias("s")))
+        pool = top(partial, k * seed_pool).select(*key)
+        pool_exact = lookup(pool, qterms, "s")
+        theta = (top(pool_exact, k).groupBy("qid")
+                 .agg(F.min("s").cast("double").alias("t"), F.count(F.lit(1)).alias("found"))
+                 .select("qid", F.when(F.col("found") >= k, F.col("t")).otherwise(0.0)
+                         .alias("theta")))
+
+        # (2) non-essential terms: the low-impact prefix whose summed maxima < theta
+        run = (Window.partitionBy("qid").orderBy("maxc", "term")
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        split = (qterms.withColumn("upto", F.sum("maxc").over(run))
+                 .join(theta, "qid", "left")
+                 .withColumn("essential",
+                             F.col("upto") + MARGIN >= F.coalesce(F.col("theta"), F.lit(0.0))))
+        ess = split.filter(F.col("essential"))
+        non = split.filter(~F.col("essential"))
+        bound = (non.groupBy("qid").agg(F.sum("maxc").alias("ne_max"))
+                 .join(theta, "qid", "full_outer"))
+
+        # (3) essential terms fan out; drop passages whose upper bound < theta
+        es = (contrib(ess.join(post.select("term", "doc_id", "pos", "tfp"), "term"))
+              .groupBy(*key).agg(F.sum("c").alias("es")))
+        surv = (es.join(bound, "qid", "left")
+                .filter(F.col("es").cast("double") + F.coalesce(F.col("ne_max"), F.lit(0.0))
+                        + MARGIN >= F.coalesce(F.col("theta"), F.lit(0.0)))
+                .select(*key, "es"))
+
+        # (4) exact score = essential part + non-essential part by lookups
+        rest = lookup(surv.select(*key), non, "ns")
+        exact = (surv.join(rest, key, "left")
+                 .withColumn("s", F.col("es") + F.coalesce(F.col("ns"), F.lit(0).cast(SCORE_TYPE))))
+        return top(exact, k).select(F.col("qid").alias(query_id), "rank_no", "doc_id", "pos",
+                                    F.round(F.col("s").cast("double"), 6).alias("score"))
+
+
 def lexical_topk(documents: DataFrame, queries: DataFrame, k: int = 5,
-                 query_id: str = "item_id", query_text: str = "text",
-                 seed_terms: int = 2) -> DataFrame:
+                 query_id: str = "item_id", query_text: str = "text") -> DataFrame:
     """Exact BM25 top-k passages per query: (query_id, rank_no, doc_id, pos, score)."""
-    post = postings(passages(documents))
-    lengths = post.select("doc_id", "pos", "dl").distinct()
-    n_passages = lengths.agg(F.count(F.lit(1))).scalar()
-    avgdl = lengths.agg(F.avg("dl")).scalar()
-    post = post.withColumn("tfp", _tf_part(F.col("tf"), F.col("dl"), avgdl))
-
-    stats = (post.groupBy("term")
-             .agg(F.count(F.lit(1)).alias("df"), F.max("tfp").alias("max_tfp"))
-             .withColumn("idf", _idf(F.col("df"), n_passages))
-             .withColumn("maxc", F.col("idf") * F.col("max_tfp")))
-
-    qterms = (queries.select(F.col(query_id).alias("qid"),
-                             F.explode(tokens_of(F.col(query_text))).alias("term"))
-              .distinct()
-              .join(stats.select("term", "df", "idf", "maxc"), "term"))
-
-    def contrib(p: DataFrame) -> DataFrame:
-        return p.withColumn("c", (F.col("idf") * F.col("tfp")).cast(SCORE_TYPE))
-
-    # (1) lower bound theta from the rarest terms of each query
-    by_rarity = Window.partitionBy("qid").orderBy("df", "term")
-    seeds = (qterms.withColumn("r", F.row_number().over(by_rarity))
-             .filter(F.col("r") <= seed_terms).select("qid", "term", "idf"))
-    partial = (contrib(seeds.join(post.select("term", "doc_id", "pos", "tfp"), "term"))
-               .groupBy("qid", "doc_id", "pos").agg(F.sum("c").alias("s")))
-    best = Window.partitionBy("qid").orderBy(F.desc("s"), "doc_id", "pos")
-    theta = (partial.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k)
-             .groupBy("qid").agg(F.min("s").cast("double").alias("theta"),
-                                 F.count(F.lit(1)).alias("found"))
-             .select("qid", F.when(F.col("found") >= k, F.col("theta")).otherwise(0.0)
-                     .alias("theta")))
-
-    # (2) essential terms: all but the low-impact prefix whose max sum < theta
-    run = (Window.partitionBy("qid").orderBy("maxc", "term")
-           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    essential = (qterms.withColumn("upto", F.sum("maxc").over(run))
-                 .join(theta, "qid", "left")
-                 .filter(F.col("upto") * (1 + 1e-9) >= F.coalesce(F.col("theta"), F.lit(0.0)))
-                 .select("qid", "term"))
-
-    # (3) candidates hold an essential term; exact scores by (passage, term) lookups
-    cands = essential.join(post.select("term", "doc_id", "pos"), "term") \
-        .select("qid", "doc_id", "pos").distinct()
-    scored = (contrib(cands.join(qterms.select("qid", "term", "idf"), "qid")
-                      .join(post.select("doc_id", "pos", "term", "tfp"),
-                            ["doc_id", "pos", "term"]))
-              .groupBy("qid", "doc_id", "pos").agg(F.sum("c").alias("s")))
-    top = (scored.withColumn("rank_no", F.row_number().over(best))
-           .filter(F.col("rank_no") <= k))
-    return top.select(F.col("qid").alias(query_id), "rank_no", "doc_id", "pos",
-                      F.round(F.col("s").cast("double"), 6).alias("score"))
+    return LexicalIndex.build(documents).search(queries, k, query_id, query_text)
 
 
 def lexical_topk_with_source(documents: DataFrame, queries: DataFrame, k: int = 5,
