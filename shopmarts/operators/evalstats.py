@@ -71,21 +71,47 @@ def latency_profile(spans: DataFrame) -> DataFrame:
                      .alias("slowest_share_pct")))
 
 
-def trace_call_profile(spans: DataFrame) -> DataFrame:
-    """E4: for every span: its order in the trace, whether it overlaps an earlier
-    call (start before the running max of earlier ends: parallel), and whether
-    it is the trace's slowest."""
+def trace_call_profile(spans: DataFrame, chunk_rows: int = 100_000) -> DataFrame:
+    """E4: for every span: its order in the trace (seq), whether it overlaps an
+    earlier call (starts before the running max of earlier ends: parallel), and
+    whether it is the trace's slowest (ties: lowest span id).
+
+    A trace may hold a large share of all spans, so windows never run over a
+    whole trace.  Per-trace stats (one aggregation, partial map-side) split a
+    trace of n spans into ceil(n / chunk_rows) time-ordered chunks; windows run
+    per (trace, chunk); a carry-in (spans and max end of all earlier chunks)
+    comes from a window over the chunk summaries, which hold one row per chunk.
+    Small traces are a single chunk, so this is one window pass for them."""
     s = _with_duration(spans)
-    order = Window.partitionBy("trace_id").orderBy("start_ms", "span_id")
-    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
-    prof = s.select("trace_id", "span_id", "agent", "start_ms", "end_ms", "duration_ms",
-                    F.row_number().over(order).alias("seq"),
-                    F.coalesce(F.col("start_ms") < F.max("end_ms").over(earlier), F.lit(False))
-                     .alias("overlaps_prior"))
-    slow = slowest_spans(spans).select("trace_id", F.col("span_id").alias("slow_id"))
-    return (prof.join(slow, "trace_id", "left")
-            .withColumn("is_slowest", F.col("span_id") == F.col("slow_id"))
-            .drop("slow_id"))
+    stats = (s.groupBy("trace_id")
+             .agg(F.count(F.lit(1)).alias("n"), F.min("start_ms").alias("t0"),
+                  F.max("start_ms").alias("t1"),
+                  F.max_by("span_id", F.struct(F.col("duration_ms"), -F.col("span_id")))
+                   .alias("slow_id"))
+             .withColumn("chunks", F.greatest(F.lit(1), F.ceil(F.col("n") / chunk_rows)))
+             .withColumn("width", (F.col("t1") - F.col("t0") + 1) / F.col("chunks")))
+    x = (s.join(stats, "trace_id")
+         .withColumn("chunk", F.least(F.col("chunks") - 1,
+                                      F.floor((F.col("start_ms") - F.col("t0")) / F.col("width")))))
+    local = Window.partitionBy("trace_id", "chunk").orderBy("start_ms", "span_id")
+    within = x.select("trace_id", "span_id", "agent", "start_ms", "end_ms", "duration_ms",
+                      "chunk", "slow_id",
+                      F.row_number().over(local).alias("lseq"),
+                      F.max("end_ms").over(local.rowsBetween(Window.unboundedPreceding, -1))
+                       .alias("lprev"))
+    before = Window.partitionBy("trace_id").orderBy("chunk").rowsBetween(
+        Window.unboundedPreceding, -1)
+    carry = (x.groupBy("trace_id", "chunk")
+             .agg(F.count(F.lit(1)).alias("cn"), F.max("end_ms").alias("cmax"))
+             .select("trace_id", "chunk",
+                     F.coalesce(F.sum("cn").over(before), F.lit(0)).alias("base"),
+                     F.max("cmax").over(before).alias("cprev")))
+    return (within.join(carry, ["trace_id", "chunk"])
+            .select("trace_id", "span_id", "agent", "start_ms", "end_ms", "duration_ms",
+                    (F.col("base") + F.col("lseq")).cast("int").alias("seq"),
+                    F.coalesce(F.col("start_ms") < F.greatest("lprev", "cprev"), F.lit(False))
+                     .alias("overlaps_prior"),
+                    (F.col("span_id") == F.col("slow_id")).alias("is_slowest")))
 
 
 def evaluation_dataset(traces: DataFrame, selection: DataFrame, labels: DataFrame,

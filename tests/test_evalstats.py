@@ -43,3 +43,34 @@ def test_evaluation_dataset(spark):
     labels = spark.createDataFrame([("a", "good")], "trace_id string, label string")
     got = sorted((r.trace_id, r.label) for r in E.evaluation_dataset(traces, sel, labels).collect())
     assert got == [("a", "good"), ("c", None)]
+
+
+def test_call_profile_chunked_equals_whole_trace(spark):
+    import random
+    rnd = random.Random(7)
+    rows = []
+    for t in range(3):
+        n = [40, 7, 1][t]
+        for i in range(n):
+            st = rnd.randint(0, 200)
+            rows.append((f"t{t}", i, f"a{i % 3}", st, st + rnd.randint(0, 30)))
+    rows.append(("t0", 99, "dup", 50, 90))  # same start as others: ties by span id
+    spans = spark.createDataFrame(
+        rows, "trace_id string, span_id int, agent string, start_ms long, end_ms long")
+    whole = sorted(map(tuple, E.trace_call_profile(spans).collect()))
+    chunked = sorted(map(tuple, E.trace_call_profile(spans, chunk_rows=4).collect()))
+    assert whole == chunked
+    # and against a direct definition
+    by = {}
+    for r in rows:
+        by.setdefault(r[0], []).append(r)
+    want = set()
+    for t, rs in by.items():
+        rs.sort(key=lambda r: (r[3], r[1]))
+        slow = sorted(rs, key=lambda r: (-(r[4] - r[3]), r[1]))[0][1]
+        mx = None
+        for i, r in enumerate(rs):
+            want.add((t, r[1], i + 1, mx is not None and r[3] < mx, r[1] == slow))
+            mx = r[4] if mx is None else max(mx, r[4])
+    got = {(r[0], r[1], r[6], r[7], r[8]) for r in chunked}
+    assert got == want
