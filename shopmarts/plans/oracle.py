@@ -479,3 +479,4 @@ WHERE d.doc_id IN (SELECT doc_id FROM (
     SELECT qid, doc_id, row_number() OVER (PARTITION BY qid ORDER BY s DESC, doc_id, pos) AS rn
     FROM r_scores) WHERE rn <= 5)""", "r_scores")
 oracle("csv_roundtrip", "SELECT * FROM b_access_logs", "b_access_logs")
+ORACLES["pass_rate_stream"] = ORACLES["pass_rate"]

@@ -198,3 +198,16 @@ def _evaluation_dataset(spark, sf_dir):
         _F.col("doc_id").alias("trace_id"))
     labels = t.labels.select(_F.col("doc_id").alias("trace_id"), "quality", "toxic")
     return E.evaluation_dataset(traces, chosen, labels)
+
+# ---------------------------------------------------------------- streaming
+from shopmarts.streaming import monitor as M  # noqa: E402
+
+
+@register("pass_rate_stream")
+def _pass_rate_stream(spark, sf_dir):
+    """Verdicts land as files in the shared folder; the streaming monitor
+    consumes all of them in micro-batches and publishes per-judge pass rates."""
+    base = shared_path(spark, "stream", unique=True)
+    _verdicts(spark, sf_dir).repartition(8).write.parquet(f"{base}/in")
+    return M.run_until_caught_up(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt",
+                                 files_per_trigger=2)

@@ -1,0 +1 @@
+"""Structured Streaming jobs (continuous evaluation of arriving verdicts)."""
