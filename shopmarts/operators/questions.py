@@ -119,7 +119,11 @@ def recent_threat_types(threat_events: DataFrame) -> DataFrame:
 def customer_360(users: DataFrame, customer_rfm: DataFrame, user_risk: DataFrame) -> DataFrame:
     """Q11: every user with RFM segment and risk.  All three inputs are keyed by
     user id, so both left joins reuse one hash partitioning of user_id.
-    No RFM row means no completed purchase; no risk row means score 0, low."""
+    No RFM row means no completed purchase; no risk row means score 0, low.
+
+    Since users drive the left joins, the RFM and risk inputs may be given
+    without their own user-dimension join (``rfm_scores``, ``risk_scores``):
+    same rows, one scan of the dimension instead of three."""
     rfm = customer_rfm.select("user_id", "segment", "recency_days", "frequency", "monetary")
     risk = user_risk.select(F.col("usr_ref").alias("user_id"), "rsk_val", "rsk_cat", "bot_cnt",
                             "fail_cnt")

@@ -74,10 +74,10 @@ _q(lambda s: Q.gold_members(s.customer_rfm()))("gold_members")
 _q(lambda s: Q.top_categories_last_month(s.monthly_sales()))("top_categories_last_month")
 _q(lambda s: Q.top_categories_by_month(s.monthly_sales()))("top_categories_by_month")
 _q(lambda s: Q.recent_threat_types(s.threat_events()))("recent_threat_types")
-_q(lambda s: Q.customer_360(s.silver["users"], s.customer_rfm(), s.user_risk()))("customer_360")
+_q(lambda s: Q.customer_360(s.silver["users"], s.rfm_scores(), s.risk_scores()))("customer_360")
 _q(lambda s: Q.response_decision(
-    Q.customer_360(s.silver["users"], s.customer_rfm(), s.user_risk())))("response_decision")
-_q(lambda s: Q.relief_candidates(s.customer_rfm(), s.silver["orders"], s.user_risk()))(
+    Q.customer_360(s.silver["users"], s.rfm_scores(), s.risk_scores())))("response_decision")
+_q(lambda s: Q.relief_candidates(s.customer_rfm(), s.silver["orders"], s.risk_scores()))(
     "relief_candidates")
 _q(lambda s: P.presented_sales(s.monthly_sales()))("presented_sales")
 _q(lambda s: P.presented_risk(s.user_risk()))("presented_risk")

@@ -58,6 +58,9 @@ class Shop:
     def risk_counters(self) -> DataFrame:
         return marts.risk_counters(self.silver["access_logs"])
 
+    def risk_scores(self) -> DataFrame:
+        return marts.risk_scores(self.silver["access_logs"])
+
     def user_risk(self) -> DataFrame:
         return marts.user_risk(self.silver["access_logs"], self.silver["users"])
 
