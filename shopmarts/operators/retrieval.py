@@ -75,9 +75,18 @@ class LexicalIndex:
     pruning, and a lost executor only re-reads files.
     """
 
-    def __init__(self, postings: DataFrame, stats: DataFrame, n_passages: int, avgdl: float):
+    def __init__(self, postings: DataFrame, stats: DataFrame, n_passages: int, avgdl: float,
+                 path: str):
         self.postings, self.stats = postings, stats
         self.n_passages, self.avgdl = n_passages, avgdl
+        self.path = path
+
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a small per-query table next to the index and read it back
+        (cuts lineage, so later branches do not recompute it)."""
+        p = f"{self.path}/{name}"
+        df.write.mode("overwrite").parquet(p)
+        return df.sparkSession.read.parquet(p)
 
     @classmethod
     def build(cls, documents: DataFrame, path: str | None = None) -> "LexicalIndex":
@@ -101,7 +110,7 @@ class LexicalIndex:
          .withColumn("idf", _idf(F.col("df"), F.lit(n_passages)))
          .withColumn("maxc", F.col("idf") * F.col("max_tfp"))
          .write.mode("overwrite").parquet(f"{path}/stats"))
-        return cls(post, spark.read.parquet(f"{path}/stats"), n_passages, avgdl)
+        return cls(post, spark.read.parquet(f"{path}/stats"), n_passages, avgdl, path)
 
     def search(self, queries: DataFrame, k: int = 5, query_id: str = "item_id",
                query_text: str = "text", seed_postings: int = 2000,
@@ -110,11 +119,14 @@ class LexicalIndex:
 
         ``seed_postings`` and ``seed_pool`` only tune how tight the pruning bound
         is; the result is the same for any value."""
+        import uuid
+        run_id = f"search_{uuid.uuid4().hex[:10]}"
         post, stats = self.postings, self.stats
-        qterms = (queries.select(F.col(query_id).alias("qid"),
-                                 F.explode(tokens_of(F.col(query_text))).alias("term"))
-                  .distinct()
-                  .join(stats.select("term", "df", "idf", "maxc"), "term"))
+        qterms = self._keep(
+            queries.select(F.col(query_id).alias("qid"),
+                           F.explode(tokens_of(F.col(query_text))).alias("term"))
+            .distinct()
+            .join(stats.select("term", "df", "idf", "maxc"), "term"), f"{run_id}/qterms")
         key = ["qid", "doc_id", "pos"]
         best = Window.partitionBy("qid").orderBy(F.desc("s"), "doc_id", "pos")
 
@@ -142,18 +154,21 @@ class LexicalIndex:
                    .groupBy(*key).agg(F.sum("c").alias("s")))
         pool = top(partial, k * seed_pool).select(*key)
         pool_exact = lookup(pool, qterms, "s")
-        theta = (top(pool_exact, k).groupBy("qid")
-                 .agg(F.min("s").cast("double").alias("t"), F.count(F.lit(1)).alias("found"))
-                 .select("qid", F.when(F.col("found") >= k, F.col("t")).otherwise(0.0)
-                         .alias("theta")))
+        theta = self._keep(
+            top(pool_exact, k).groupBy("qid")
+            .agg(F.min("s").cast("double").alias("t"), F.count(F.lit(1)).alias("found"))
+            .select("qid", F.when(F.col("found") >= k, F.col("t")).otherwise(0.0)
+                    .alias("theta")), f"{run_id}/theta")
 
         # (2) non-essential terms: the low-impact prefix whose summed maxima < theta
         run = (Window.partitionBy("qid").orderBy("maxc", "term")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        split = (qterms.withColumn("upto", F.sum("maxc").over(run))
-                 .join(theta, "qid", "left")
-                 .withColumn("essential",
-                             F.col("upto") + MARGIN >= F.coalesce(F.col("theta"), F.lit(0.0))))
+        split = self._keep(
+            qterms.withColumn("upto", F.sum("maxc").over(run))
+            .join(theta, "qid", "left")
+            .withColumn("essential",
+                        F.col("upto") + MARGIN >= F.coalesce(F.col("theta"), F.lit(0.0))),
+            f"{run_id}/split")
         ess = split.filter(F.col("essential"))
         non = split.filter(~F.col("essential"))
         bound = (non.groupBy("qid").agg(F.sum("maxc").alias("ne_max"))
