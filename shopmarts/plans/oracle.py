@@ -480,3 +480,4 @@ WHERE d.doc_id IN (SELECT doc_id FROM (
     FROM r_scores) WHERE rn <= 5)""", "r_scores")
 oracle("csv_roundtrip", "SELECT * FROM b_access_logs", "b_access_logs")
 ORACLES["pass_rate_stream"] = ORACLES["pass_rate"]
+ORACLES["customer_360_colocated"] = ORACLES["customer_360"]

@@ -40,16 +40,26 @@ def create_database(spark: SparkSession, database: str, location: str) -> None:
 
 def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], database: str,
                  location: str | None = None, partition_silver: bool = True,
-                 comments: bool = True) -> DataFrame:
-    """Write 6 bronze, 6 silver and 6 gold tables; return their row counts."""
+                 comments: bool = True, user_buckets: int | None = None) -> DataFrame:
+    """Write 6 bronze, 6 silver and 6 gold tables; return their row counts.
+
+    With ``user_buckets`` the user-keyed tables (silver_users, gold_customer_rfm,
+    gold_user_risk) are bucketed by user id into that many buckets, so later
+    joins among them (``customer_360_from_tables``) read co-located buckets
+    and need no shuffle."""
     location = location or shared_path(spark, "warehouse", database)
     create_database(spark, database, location)
     counts: list[tuple[str, str, int]] = []
 
+    bucket_keys = {("silver", "users"): "user_id", ("gold", "customer_rfm"): "user_id",
+                   ("gold", "user_risk"): "usr_ref"}
+
     def save(layer: str, name: str, df: DataFrame, partition_by=None) -> None:
         table = f"{layer}_{name}"
+        key = bucket_keys.get((layer, name)) if user_buckets else None
         n = files.save_table(df, f"{database}.{table}", path=posixpath.join(location, table),
-                             partition_by=partition_by)
+                             partition_by=partition_by,
+                             bucket_by=(user_buckets, [key]) if key else None)
         counts.append((layer, name, n))
 
     for t in RAW_TABLES:
@@ -72,3 +82,11 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], database: str,
     if comments:
         catalog.apply_comments(spark, database)
     return spark.createDataFrame(counts, COUNT_SCHEMA)
+
+
+def customer_360_from_tables(spark: SparkSession, database: str) -> DataFrame:
+    """Q11 over the written tables; co-located when they were bucketed by user."""
+    from shopmarts.operators import questions
+    return questions.customer_360(spark.table(f"{database}.silver_users"),
+                                  spark.table(f"{database}.gold_customer_rfm"),
+                                  spark.table(f"{database}.gold_user_risk"))

@@ -211,3 +211,12 @@ def _pass_rate_stream(spark, sf_dir):
     _verdicts(spark, sf_dir).repartition(8).write.parquet(f"{base}/in")
     return M.run_until_caught_up(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt",
                                  files_per_trigger=2)
+
+
+@register("customer_360_colocated")
+def _customer_360_colocated(spark, sf_dir):
+    """Q11 over pipeline tables bucketed by user id: the joins read co-located
+    buckets instead of shuffling the user dimension and both marts."""
+    db = _fresh_database()
+    PL.run_pipeline(spark, _shop(spark, sf_dir).raw, db, comments=False, user_buckets=8)
+    return PL.customer_360_from_tables(spark, db)
