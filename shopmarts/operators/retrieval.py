@@ -231,41 +231,44 @@ def label_centroids(embeddings: DataFrame, label: str = "label",
 def vector_topk(corpus: DataFrame, queries: DataFrame, k: int = 10, *,
                 corpus_id: str = "vec_id", corpus_vec: str = "embedding",
                 query_id: str = "query_id", query_vec: str = "vector",
-                max_batch: int = 1024) -> DataFrame:
+                max_values: int = 1 << 16) -> DataFrame:
     """Exact cosine top-k of every query against the whole corpus.
 
-    The query batch is checked to hold at most ``max_batch`` vectors before it is
-    inlined into the plan; larger query sets are processed batch by batch, each
-    batch one scan of the corpus.  Each corpus row scores all queries of the
-    batch (JVM-side array arithmetic), then a per-partition top-k per query
-    (WindowGroupLimit) runs before the only shuffle, so at most k rows per query
-    and partition cross the network."""
-    out = None
-    batch: list = []
-
-    def flush(rows):
-        ids = [r[0] for r in rows]
-        vecs = F.array(*[F.array(*[F.lit(float(x)) for x in r[1]]) for r in rows])
-        x = F.transform(corpus_vec_col, lambda v: v.cast("double"))
-        xn = _norm(x)
-        scores = F.transform(vecs, lambda q: _dot(q, x) / (_norm(q) * xn))
+    Queries are inlined into the plan in batches of at most ``max_values``
+    numbers (queries x dimensions), a size checked before any batch is built;
+    each batch is one scan of the corpus, and batches are unioned.  Every corpus
+    row scores all queries of its batch with JVM-side array arithmetic, then a
+    per-partition top-k per query (WindowGroupLimit) runs before the only
+    shuffle, so at most k rows per query and partition cross the network.
+    Query norms are computed once by Spark, not per corpus row."""
+    x = F.transform(F.col(corpus_vec), lambda v: v.cast("double"))
+    xn = _norm(x)
+
+    def scan(rows):
+        vecs = F.array(*[F.array(*[F.lit(float(v)) for v in r[1]]) for r in rows])
+        norms = F.array(*[F.lit(float(r[2])) for r in rows])
+        ids = F.array(*[F.lit(r[0]) for r in rows])
+        scores = F.transform(vecs, lambda q, i: _dot(q, x) / (F.element_at(norms, i + 1) * xn))
         ex = corpus.select(F.col(corpus_id).alias("cid"),
                            F.posexplode(scores).alias("qi", "score"))
         w = Window.partitionBy("qi").orderBy(F.desc("score"), "cid")
         top = ex.withColumn("rank_no", F.row_number().over(w)).filter(F.col("rank_no") <= k)
-        idmap = F.array(*[F.lit(i) for i in ids])
-        return top.select(F.element_at(idmap, F.col("qi") + 1).alias(query_id), "rank_no",
+        return top.select(F.element_at(ids, F.col("qi") + 1).alias(query_id), "rank_no",
                           F.col("cid").alias(corpus_id), F.round("score", 6).alias("score"))
 
-    corpus_vec_col = F.col(corpus_vec)
-    for row in queries.select(query_id, query_vec).toLocalIterator():
-        batch.append((row[0], row[1]))
-        if len(batch) == max_batch:
-            part = flush(batch)
+    qv = F.transform(F.col(query_vec), lambda v: v.cast("double"))
+    prepared = queries.select(query_id, qv.alias("q"), _norm(qv).alias("qn"))
+    out, batch, limit = None, [], None
+    for row in prepared.toLocalIterator():
+        if limit is None:
+            limit = max(1, max_values // max(1, len(row[1])))
+        batch.append((row[0], row[1], row[2]))
+        if len(batch) == limit:
+            part = scan(batch)
             out = part if out is None else out.unionByName(part)
             batch = []
     if batch:
-        part = flush(batch)
+        part = scan(batch)
         out = part if out is None else out.unionByName(part)
     if out is None:
         raise ValueError("empty query batch")

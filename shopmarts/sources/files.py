@@ -51,6 +51,11 @@ def save_table(df: DataFrame, name: str, *, path: str | None = None,
     Returns the row count observed during the write (no second job).
     """
     def writer(d: DataFrame) -> None:
+        if partition_by and not bucket_by:
+            # group rows by partition value into right-sized files: AQE splits a
+            # hot value (a huge month) and coalesces small ones, instead of every
+            # input task writing one small file per value
+            d = d.hint("rebalance", *partition_by)
         w = d.write.format(fmt).mode("overwrite")
         if path:
             w = w.option("path", path)
@@ -66,6 +71,8 @@ def save_table(df: DataFrame, name: str, *, path: str | None = None,
 
 def write_parquet(df: DataFrame, path: str, partition_by=None) -> int:
     def writer(d: DataFrame) -> None:
+        if partition_by:
+            d = d.hint("rebalance", *partition_by)
         w = d.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)

@@ -117,5 +117,5 @@ def test_vector_topk_batches(spark):
     queries = spark.createDataFrame([(q, [1.0, float(q), 0.5]) for q in range(7)],
                                     "query_id long, vector array<double>")
     one = sorted(map(tuple, R.vector_topk(corpus, queries, 3).collect()))
-    many = sorted(map(tuple, R.vector_topk(corpus, queries, 3, max_batch=2).collect()))
+    many = sorted(map(tuple, R.vector_topk(corpus, queries, 3, max_values=6).collect()))
     assert one == many and len(one) == 21
