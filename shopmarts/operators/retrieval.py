@@ -28,7 +28,7 @@ Scale notes
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
@@ -51,11 +51,13 @@ def tokens_of(text: Column) -> Column:
 
 
 def postings(psg: DataFrame) -> DataFrame:
-    """(doc_id, pos, term, tf, dl) for every distinct term of every passage."""
+    """(doc_id, pos, dl, term, tf, first) for every distinct term of every passage;
+    ``first`` marks the term at token 0, so each passage has exactly one."""
     toks = psg.select("doc_id", "pos", tokens_of(F.col("passage")).alias("toks"))
     return (toks.select("doc_id", "pos", F.size("toks").cast("long").alias("dl"),
-                        F.explode("toks").alias("term"))
-            .groupBy("doc_id", "pos", "dl", "term").agg(F.count(F.lit(1)).alias("tf")))
+                        F.posexplode("toks").alias("at", "term"))
+            .groupBy("doc_id", "pos", "dl", "term")
+            .agg(F.count(F.lit(1)).alias("tf"), (F.min("at") == 0).alias("first")))
 
 
 def _tf_part(tf: Column, dl: Column, avgdl: Column) -> Column:
@@ -94,16 +96,22 @@ class LexicalIndex:
         from shopmarts.session import shared_path
         path = path or shared_path(spark, "lexical_index", unique=True)
         # Tokenizing is the costly step: spread it when the input has few splits
-        # (e.g. one large row group); big inputs already have enough file splits.
+        # (e.g. one large row group).  Hashing by doc_id also satisfies the
+        # postings aggregation's distribution, so it adds no second shuffle.
         par = spark.sparkContext.defaultParallelism
         if documents.rdd.getNumPartitions() < par:
-            documents = documents.repartition(par)
-        postings(passages(documents)).write.mode("overwrite").parquet(f"{path}/postings0")
-        post = spark.read.parquet(f"{path}/postings0")
-        lengths = post.select("doc_id", "pos", "dl").distinct()
-        n_passages, avgdl = lengths.agg(F.count(F.lit(1)), F.avg("dl")).first()
+            documents = documents.repartition(par, "doc_id")
+        # passage count and total length come with the write (one job):
+        # every passage has one ``first`` term, and its tf values sum to dl
+        obs = Observation()
+        (postings(passages(documents))
+         .observe(obs, F.count_if("first").alias("n"), F.sum("tf").alias("tokens"))
+         .write.mode("overwrite").parquet(f"{path}/postings0"))
+        n_passages, tokens = obs.get["n"], obs.get["tokens"]
         if not n_passages:
             raise ValueError("no passages with terms in the corpus")
+        avgdl = tokens / n_passages
+        post = spark.read.parquet(f"{path}/postings0")
         post = post.withColumn("tfp", _tf_part(F.col("tf"), F.col("dl"), F.lit(avgdl)))
         (post.groupBy("term")
          .agg(F.count(F.lit(1)).alias("df"), F.max("tfp").alias("max_tfp"))
