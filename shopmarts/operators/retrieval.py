@@ -185,10 +185,11 @@ class LexicalIndex:
         # (3) essential terms fan out; drop passages whose upper bound < theta
         es = (contrib(ess.join(post.select("term", "doc_id", "pos", "tfp"), "term"))
               .groupBy(*key).agg(F.sum("c").alias("es")))
-        surv = (es.join(bound, "qid", "left")
-                .filter(F.col("es").cast("double") + F.coalesce(F.col("ne_max"), F.lit(0.0))
-                        + MARGIN >= F.coalesce(F.col("theta"), F.lit(0.0)))
-                .select(*key, "es"))
+        surv = self._keep(
+            es.join(bound, "qid", "left")
+            .filter(F.col("es").cast("double") + F.coalesce(F.col("ne_max"), F.lit(0.0))
+                    + MARGIN >= F.coalesce(F.col("theta"), F.lit(0.0)))
+            .select(*key, "es"), f"{run_id}/survivors")
 
         # (4) exact score = essential part + non-essential part by lookups
         rest = lookup(surv.select(*key), non, "ns")
