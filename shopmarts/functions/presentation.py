@@ -31,27 +31,42 @@ def label(c: Column, mapping: dict) -> Column:
 
 
 def presented_sales(monthly_sales: DataFrame) -> DataFrame:
-    return monthly_sales.select(
+    """Sales report, ascending by month and category (O1)."""
+    return presentation_order(monthly_sales.select(
         month_label(F.col("ym")).alias("month"), "category",
         thousands(F.col("sales_amount")).alias("sales_yen"),
         thousands(F.col("order_count")).alias("orders"),
         thousands(F.col("unique_buyers")).alias("buyers"),
-        "ym", "sales_amount")
+        "ym", "sales_amount"), "ym", "category")
 
 
 def presented_risk(user_risk: DataFrame) -> DataFrame:
-    return user_risk.select(
+    """Risk report, riskiest first (O3), ties by user id."""
+    return presentation_order(user_risk.select(
         "usr_ref", "name", label(F.col("rsk_cat"), RISK_LABELS).alias("risk_level"),
         thousands(F.col("rsk_val")).alias("risk_score"),
-        thousands(F.col("acc_cnt")).alias("events"), "rsk_val")
+        thousands(F.col("acc_cnt")).alias("events"), "rsk_val"),
+        F.desc("rsk_val"), F.asc_nulls_last("usr_ref"))
 
 
 def presented_threats(access_summary: DataFrame) -> DataFrame:
-    return access_summary.select(
+    """Access report by month and threat kind (O1), then band."""
+    return presentation_order(access_summary.select(
         month_label(F.col("period")).alias("month"),
         label(F.col("thr_cls"), THREAT_LABELS).alias("threat"), "tz_band",
         thousands(F.col("evt_cnt")).alias("events"),
-        thousands(F.col("fail_cnt")).alias("failures"), "fail_pct", "period", "thr_cls")
+        thousands(F.col("fail_cnt")).alias("failures"), "fail_pct", "period", "thr_cls"),
+        "period", "thr_cls", "tz_band")
+
+
+def presented_threat_events(threat_events: DataFrame) -> DataFrame:
+    """Threat report: months ascending, busiest sources first (O2)."""
+    return presentation_order(threat_events.select(
+        month_label(F.col("period")).alias("month"),
+        label(F.col("thr_cls"), THREAT_LABELS).alias("threat"), "src_addr",
+        thousands(F.col("evt_cnt")).alias("events"),
+        thousands(F.col("tgt_usr")).alias("targets"), "period", "evt_cnt", "thr_cls"),
+        "period", F.desc("evt_cnt"), "thr_cls", "src_addr")
 
 
 def presentation_order(df: DataFrame, *keys) -> DataFrame:

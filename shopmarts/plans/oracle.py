@@ -481,3 +481,11 @@ WHERE d.doc_id IN (SELECT doc_id FROM (
 oracle("csv_roundtrip", "SELECT * FROM b_access_logs", "b_access_logs")
 ORACLES["pass_rate_stream"] = ORACLES["pass_rate"]
 ORACLES["customer_360_colocated"] = ORACLES["customer_360"]
+oracle("presented_threat_events", f"""
+SELECT {_MONTH.format(c='period')} AS month,
+       CASE thr_cls WHEN 'normal' THEN '通常' WHEN 'brute_force' THEN '総当たり攻撃'
+                    WHEN 'bot' THEN 'BOTアクセス' WHEN 'fraud' THEN '不正購入試行'
+                    ELSE thr_cls END AS threat,
+       src_addr, format('{{:,}}', evt_cnt) AS events, format('{{:,}}', tgt_usr) AS targets,
+       period, evt_cnt, thr_cls
+FROM g_threat_events ORDER BY period, evt_cnt DESC, thr_cls, src_addr""", "g_threat_events")

@@ -220,3 +220,4 @@ def _customer_360_colocated(spark, sf_dir):
     db = _fresh_database()
     PL.run_pipeline(spark, _shop(spark, sf_dir).raw, db, comments=False, user_buckets=8)
     return PL.customer_360_from_tables(spark, db)
+_q(lambda s: P.presented_threat_events(s.threat_events()))("presented_threat_events")

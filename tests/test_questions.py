@@ -94,3 +94,21 @@ def test_threat_trend_since(spark):
     r = Q.threat_trend_since(te).collect()
     assert [(x.period, x.evt_cnt, x.src_cnt) for x in r] == [("2025-10", 5, 2)]
     assert F is not None
+
+
+def test_presentation_orders_and_labels(spark):
+    from shopmarts.functions import presentation as P
+    ms = spark.createDataFrame([("2024-02", "B", 1234567, 2, 1), ("2024-01", "Z", 5, 1, 1),
+                                ("2024-02", "A", 10, 1, 1)],
+                               "ym string, category string, sales_amount long, order_count long, "
+                               "unique_buyers long")
+    got = [(r.month, r.category, r.sales_yen) for r in P.presented_sales(ms).collect()]
+    assert got == [("2024年01月", "Z", "5"), ("2024年02月", "A", "10"),
+                   ("2024年02月", "B", "1,234,567")]
+    te = spark.createDataFrame([("2025-11", "bot", "a", 3, 1), ("2025-11", "fraud", "b", 9, 2),
+                                ("2025-10", "bot", "c", 1, 1)],
+                               "period string, thr_cls string, src_addr string, evt_cnt long, "
+                               "tgt_usr long")
+    got = [(r.period, r.src_addr, r.threat) for r in P.presented_threat_events(te).collect()]
+    assert got == [("2025-10", "c", "BOTアクセス"), ("2025-11", "b", "不正購入試行"),
+                   ("2025-11", "a", "BOTアクセス")]
