@@ -5,13 +5,25 @@ Each query reads the driver tables of ``sf_dir`` (through the adapters) in full.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as _F
+
+from shopmarts.functions import presentation as P
+from shopmarts.operators import evalstats as E
+from shopmarts.operators import quality as V
+from shopmarts.operators import questions as Q
+from shopmarts.operators import retrieval as R
+from shopmarts.plans import catalog as C
+from shopmarts.plans import pipeline as PL
 from shopmarts.plans.shop import Shop
 from shopmarts.session import shared_path
+from shopmarts.sources import adapters as A
 from shopmarts.sources import files
+from shopmarts.sources.tables import DriverTables
+from shopmarts.streaming import monitor as M
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,8 +65,6 @@ for _m in ("monthly_sales", "rfm_base", "rfm_scores", "customer_rfm", "cart_aban
     QUERIES[_m] = (lambda m: lambda spark, sf_dir: getattr(_shop(spark, sf_dir), m)())(_m)
 
 # ---------------------------------------------------------------- business questions
-from shopmarts.functions import presentation as P  # noqa: E402
-from shopmarts.operators import questions as Q  # noqa: E402
 
 
 def _q(fn):
@@ -84,7 +94,6 @@ _q(lambda s: P.presented_risk(s.user_risk()))("presented_risk")
 _q(lambda s: P.presented_threats(s.access_summary()))("presented_threats")
 
 # ---------------------------------------------------------------- data quality
-from shopmarts.operators import quality as V  # noqa: E402
 
 _q(lambda s: V.item_subtotal(s.silver["order_items"]))("dq_item_subtotal")
 _q(lambda s: V.order_total(s.silver["orders"], s.silver["order_items"]))("dq_order_total")
@@ -98,10 +107,6 @@ _q(lambda s: V.bot_orders(s.silver["orders"], s.silver["access_logs"]))("dq_bot_
 _q(lambda s: V.rejects(s.raw))("dq_rejects")
 
 # ---------------------------------------------------------------- sinks, pipeline, catalog
-import uuid  # noqa: E402
-
-from shopmarts.plans import catalog as C  # noqa: E402
-from shopmarts.plans import pipeline as PL  # noqa: E402
 
 
 def _fresh_database() -> str:
@@ -154,8 +159,6 @@ def _document_inventory(spark, sf_dir):
     return files.require_documents(files.document_inventory(spark, sf_dir, "*.parquet"), 10)
 
 # ---------------------------------------------------------------- retrieval
-from shopmarts.operators import retrieval as R  # noqa: E402
-from shopmarts.sources.tables import DriverTables  # noqa: E402
 
 
 def _t(spark, sf_dir) -> DriverTables:
@@ -168,10 +171,6 @@ register("lexical_topk")(lambda spark, sf_dir: R.lexical_topk_with_source(
 register("vector_topk")(lambda spark, sf_dir: R.centroid_topk(_t(spark, sf_dir).embeddings, k=10))
 
 # ---------------------------------------------------------------- evaluation statistics
-from pyspark.sql import functions as _F  # noqa: E402
-
-from shopmarts.operators import evalstats as E  # noqa: E402
-from shopmarts.sources import adapters as A  # noqa: E402
 
 
 def _spans(spark, sf_dir):
@@ -200,7 +199,6 @@ def _evaluation_dataset(spark, sf_dir):
     return E.evaluation_dataset(traces, chosen, labels)
 
 # ---------------------------------------------------------------- streaming
-from shopmarts.streaming import monitor as M  # noqa: E402
 
 
 @register("pass_rate_stream")
