@@ -8,13 +8,15 @@ lost executor only recomputes from the last written layer.  Row counts come
 from an ``Observation`` on each write: one job per table, no re-count.
 
 Silver facts are partitioned by month (``ym``) so month-filtered questions
-prune files; the pipeline never repartitions by month, which would put a whole
-(possibly huge) month into one task.
+prune files; rows are rebalanced by month before the write (AQE splits a huge
+month across tasks), never hash-repartitioned into one task per month.  The
+six tables of a layer are independent and are written by concurrent jobs.
 """
 
 from __future__ import annotations
 
 import posixpath
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,9 +30,12 @@ SILVER_PARTITIONS = {"orders": ["ym"], "sessions": ["ym"], "access_logs": ["ym"]
 COUNT_SCHEMA = "layer string, table_name string, row_count bigint"
 
 
-def raw_from_csv(spark: SparkSession, src_dir: str) -> dict[str, DataFrame]:
-    """The six raw CSV files of ``src_dir`` with their explicit schemas."""
-    return {t: files.read_csv(spark, posixpath.join(src_dir, f"{t}.csv"), RAW_SCHEMAS[t])
+def raw_from_csv(spark: SparkSession, src_dir: str,
+                 schemas: dict | None = None) -> dict[str, DataFrame]:
+    """The six raw CSV files of ``src_dir`` with their explicit schemas
+    (the raw-file schemas unless ``schemas`` overrides some of them)."""
+    schemas = {**RAW_SCHEMAS, **(schemas or {})}
+    return {t: files.read_csv(spark, posixpath.join(src_dir, f"{t}.csv"), schemas[t])
             for t in RAW_TABLES}
 
 
@@ -54,31 +59,31 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], database: str,
     bucket_keys = {("silver", "users"): "user_id", ("gold", "customer_rfm"): "user_id",
                    ("gold", "user_risk"): "usr_ref"}
 
-    def save(layer: str, name: str, df: DataFrame, partition_by=None) -> None:
+    def save(layer: str, name: str, df: DataFrame, partition_by=None):
         table = f"{layer}_{name}"
         key = bucket_keys.get((layer, name)) if user_buckets else None
         n = files.save_table(df, f"{database}.{table}", path=posixpath.join(location, table),
                              partition_by=partition_by,
                              bucket_by=(user_buckets, [key]) if key else None)
-        counts.append((layer, name, n))
+        return (layer, name, n)
 
-    for t in RAW_TABLES:
-        save("bronze", t, raw[t])
-    for t in RAW_TABLES:
-        parts = SILVER_PARTITIONS.get(t) if partition_silver else None
-        save("silver", t, silver.SILVER[t](spark.table(f"{database}.bronze_{t}")), parts)
+    def wave(jobs) -> None:
+        """The tables of one layer are independent: submit their write jobs
+        together so Spark schedules their tasks side by side."""
+        with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+            counts.extend(pool.map(lambda j: save(*j), jobs))
+
+    wave([("bronze", t, raw[t]) for t in RAW_TABLES])
+    wave([("silver", t, silver.SILVER[t](spark.table(f"{database}.bronze_{t}")),
+           SILVER_PARTITIONS.get(t) if partition_silver else None) for t in RAW_TABLES])
 
     s = {t: spark.table(f"{database}.silver_{t}") for t in RAW_TABLES}
-    gold = {
-        "monthly_sales": marts.monthly_sales(s["orders"]),
-        "customer_rfm": marts.customer_rfm(s["orders"], s["users"]),
-        "cart_abandonment": marts.cart_abandonment(s["sessions"]),
-        "access_summary": marts.access_summary(s["access_logs"]),
-        "threat_events": marts.threat_events(s["access_logs"]),
-        "user_risk": marts.user_risk(s["access_logs"], s["users"]),
-    }
-    for name, df in gold.items():
-        save("gold", name, df)
+    wave([("gold", "monthly_sales", marts.monthly_sales(s["orders"])),
+          ("gold", "customer_rfm", marts.customer_rfm(s["orders"], s["users"])),
+          ("gold", "cart_abandonment", marts.cart_abandonment(s["sessions"])),
+          ("gold", "access_summary", marts.access_summary(s["access_logs"])),
+          ("gold", "threat_events", marts.threat_events(s["access_logs"])),
+          ("gold", "user_risk", marts.user_risk(s["access_logs"], s["users"]))])
     if comments:
         catalog.apply_comments(spark, database)
     return spark.createDataFrame(counts, COUNT_SCHEMA)
