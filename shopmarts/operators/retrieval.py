@@ -92,14 +92,15 @@ class LexicalIndex:
 
     @classmethod
     def build(cls, documents: DataFrame, path: str | None = None) -> "LexicalIndex":
+        from shopmarts.session import default_parallelism, num_partitions, shared_path
         spark = documents.sparkSession
-        from shopmarts.session import shared_path
         path = path or shared_path(spark, "lexical_index", unique=True)
         # Tokenizing is the costly step: spread it when the input has few splits
         # (e.g. one large row group).  Hashing by doc_id also satisfies the
         # postings aggregation's distribution, so it adds no second shuffle.
-        par = spark.sparkContext.defaultParallelism
-        if documents.rdd.getNumPartitions() < par:
+        par = default_parallelism(spark)
+        have = num_partitions(documents)
+        if have is not None and have < par:
             documents = documents.repartition(par, "doc_id")
         # passage count and total length come with the write (one job):
         # every passage has one ``first`` term, and its tf values sum to dl
