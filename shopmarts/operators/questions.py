@@ -40,7 +40,8 @@ def category_sales_trend(monthly_sales: DataFrame, category: str | None = None)
 
 
 def churn_risk_by_age_group(customer_rfm: DataFrame) -> DataFrame:
-    """Q2: churn-risk customers per age group, ranked (rank over <= 4 groups)."""
+    """Q2: churn-risk customers per age group, ranked.  The rank is a global
+    window over the aggregate, which has at most 4 rows (one per age group)."""
     agg = (customer_rfm.filter(F.col("segment") == B.CHURN_RISK)
            .groupBy("age_group").agg(F.count(F.lit(1)).alias("churn_customers")))
     return agg.withColumn("rank_no", F.rank().over(Window.orderBy(F.desc("churn_customers"))))
@@ -48,7 +49,8 @@ def churn_risk_by_age_group(customer_rfm: DataFrame) -> DataFrame:
 
 def abandonment_by_category(cart_abandonment: DataFrame) -> DataFrame:
     """Q3: abandonment rate per category over all months: sum(abandons) /
-    sum(total_sessions), never a mean of monthly rates; ranked."""
+    sum(total_sessions), never a mean of monthly rates; ranked.  The rank is a
+    global window over one row per category (the category dimension)."""
     agg = (cart_abandonment.groupBy("category")
            .agg(F.sum("total_sessions").alias("total_sessions"),
                 F.sum("abandons").alias("abandons"))
