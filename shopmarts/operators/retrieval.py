@@ -95,13 +95,15 @@ class LexicalIndex:
         from shopmarts.session import default_parallelism, num_partitions, shared_path
         spark = documents.sparkSession
         path = path or shared_path(spark, "lexical_index", unique=True)
-        # Tokenizing is the costly step: spread it when the input has few splits
-        # (e.g. one large row group).  Hashing by doc_id also satisfies the
-        # postings aggregation's distribution, so it adds no second shuffle.
+        # All tokens of a passage come from one document row, so hash-partitioning
+        # the documents by doc_id satisfies the postings aggregation: the text is
+        # shuffled once (fewer bytes than the token rows would be) and the
+        # aggregation runs without a shuffle of its own.  It also spreads the
+        # tokenizing when the input has few splits (e.g. one large row group).
         par = default_parallelism(spark)
         have = num_partitions(documents)
-        if have is not None and have < par:
-            documents = documents.repartition(par, "doc_id")
+        documents = (documents.repartition(par, "doc_id") if have is not None and have < par
+                     else documents.repartition("doc_id"))
         # passage count and total length come with the write (one job):
         # every passage has one ``first`` term, and its tf values sum to dl
         obs = Observation()
