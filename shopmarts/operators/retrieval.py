@@ -17,11 +17,14 @@ Scale notes
 * A naive BM25 join of query terms with postings emits, for every common term,
   all (query, passage) pairs.  Instead, for each query we (1) score passages
   from its rarest terms only, giving a lower bound ``theta`` on its k-th best
-  score; (2) drop the longest run of low-impact terms whose summed maximal
-  contributions stay below ``theta`` -- no passage holding only those terms can
-  reach the top k; (3) take as candidates the passages holding any remaining
-  term and score them exactly by keyed lookups on (passage, term).  The result
-  equals brute force (MaxScore, Turtle & Flood 1995).
+  score; (2) set aside a run of low-impact terms whose summed maximal
+  contributions stay below a fraction of ``theta`` -- no passage holding only
+  those terms can reach the top k; (3) fan out only the remaining terms, drop
+  passages whose upper bound stays below ``theta``, and finish the survivors by
+  keyed lookups on (passage, term).  The result equals brute force (MaxScore,
+  Turtle & Flood 1995).  The fraction trades fan-out against lookups: on 10x
+  sf0.1, 0.3 runs in about half the time of either extreme (1.0, or 0.0 = fan
+  out every term like a naive join).
 * Scores are summed as DECIMAL, so the sum does not depend on the order rows
   arrive in; exact copies of a passage tie exactly and are ordered by id.
 """
@@ -125,11 +128,12 @@ class LexicalIndex:
 
     def search(self, queries: DataFrame, k: int = 5, query_id: str = "item_id",
                query_text: str = "text", seed_postings: int = 2000,
-               seed_pool: int = 4) -> DataFrame:
+               seed_pool: int = 4, split_ratio: float = 0.3) -> DataFrame:
         """Exact BM25 top-k passages per query: (query_id, rank_no, doc_id, pos, score).
 
-        ``seed_postings`` and ``seed_pool`` only tune how tight the pruning bound
-        is; the result is the same for any value."""
+        ``seed_postings``, ``seed_pool`` and ``split_ratio`` (in (0, 1]) only tune
+        the work; the result is the same for any value.  A smaller ``split_ratio``
+        fans out more terms but lets fewer passages survive to the lookups."""
         import uuid
         run_id = f"search_{uuid.uuid4().hex[:10]}"
         post, stats = self.postings, self.stats
@@ -178,7 +182,8 @@ class LexicalIndex:
             qterms.withColumn("upto", F.sum("maxc").over(run))
             .join(theta, "qid", "left")
             .withColumn("essential",
-                        F.col("upto") + MARGIN >= F.coalesce(F.col("theta"), F.lit(0.0))),
+                        F.col("upto") + MARGIN
+                        >= F.coalesce(F.col("theta"), F.lit(0.0)) * split_ratio),
             f"{run_id}/split")
         ess = split.filter(F.col("essential"))
         non = split.filter(~F.col("essential"))
