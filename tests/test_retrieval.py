@@ -119,3 +119,14 @@ def test_vector_topk_batches(spark):
     one = sorted(map(tuple, R.vector_topk(corpus, queries, 3).collect()))
     many = sorted(map(tuple, R.vector_topk(corpus, queries, 3, max_values=6).collect()))
     assert one == many and len(one) == 21
+
+
+def test_pruning_knobs_never_change_results(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    qs = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
+    idx = R.LexicalIndex.build(docs)
+    want = sorted(map(tuple, _naive(docs, qs, 3).collect()))
+    for ratio, seeds, pool in [(1.0, 2000, 4), (0.3, 50, 1), (0.0, 1, 2)]:
+        got = sorted(map(tuple, idx.search(qs, 3, split_ratio=ratio, seed_postings=seeds,
+                                           seed_pool=pool).collect()))
+        assert got == want, (ratio, seeds, pool)
