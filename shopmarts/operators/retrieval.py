@@ -109,9 +109,13 @@ class LexicalIndex:
                      else documents.repartition("doc_id"))
         # passage count and total length come with the write (one job):
         # every passage has one ``first`` term, and its tf values sum to dl
+        # sorted by term inside each file (a local sort, no shuffle): parquet
+        # row-group statistics then let a search that pushes its terms down
+        # skip most of the index
         obs = Observation()
         (postings(passages(documents))
          .observe(obs, F.count_if("first").alias("n"), F.sum("tf").alias("tokens"))
+         .sortWithinPartitions("term")
          .write.mode("overwrite").parquet(f"{path}/postings0"))
         n_passages, tokens = obs.get["n"], obs.get["tokens"]
         if not n_passages:
@@ -128,12 +132,16 @@ class LexicalIndex:
 
     def search(self, queries: DataFrame, k: int = 5, query_id: str = "item_id",
                query_text: str = "text", seed_postings: int = 2000,
-               seed_pool: int = 4, split_ratio: float = 0.3) -> DataFrame:
+               seed_pool: int = 4, split_ratio: float = 0.3,
+               max_pushed_terms: int = 4096) -> DataFrame:
         """Exact BM25 top-k passages per query: (query_id, rank_no, doc_id, pos, score).
 
         ``seed_postings``, ``seed_pool`` and ``split_ratio`` (in (0, 1]) only tune
         the work; the result is the same for any value.  A smaller ``split_ratio``
-        fans out more terms but lets fewer passages survive to the lookups."""
+        fans out more terms but lets fewer passages survive to the lookups.
+        When the batch has at most ``max_pushed_terms`` distinct terms (counted
+        first), they are pushed into the postings scan as ``term IN (...)``, so
+        an interactive search reads only the row groups holding its terms."""
         import uuid
         run_id = f"search_{uuid.uuid4().hex[:10]}"
         post, stats = self.postings, self.stats
@@ -144,6 +152,10 @@ class LexicalIndex:
             .join(stats.select("term", "df", "idf", "maxc"), "term"), f"{run_id}/qterms")
         key = ["qid", "doc_id", "pos"]
         best = Window.partitionBy("qid").orderBy(F.desc("s"), "doc_id", "pos")
+        terms = qterms.select("term").distinct()
+        if terms.count() <= max_pushed_terms:
+            # every join below needs postings of query terms only
+            post = post.filter(F.col("term").isin([r[0] for r in terms.collect()]))
 
         def contrib(p: DataFrame) -> DataFrame:
             return p.withColumn("c", (F.col("idf") * F.col("tfp")).cast(SCORE_TYPE))
