@@ -126,7 +126,7 @@ def test_pruning_knobs_never_change_results(spark):
     qs = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
     idx = R.LexicalIndex.build(docs)
     want = sorted(map(tuple, _naive(docs, qs, 3).collect()))
-    for ratio, seeds, pool in [(1.0, 2000, 4), (0.3, 50, 1), (0.0, 1, 2)]:
+    for ratio, seeds, pool, push in [(1.0, 2000, 4, 0), (0.3, 50, 1, 4096), (0.0, 1, 2, 0)]:
         got = sorted(map(tuple, idx.search(qs, 3, split_ratio=ratio, seed_postings=seeds,
-                                           seed_pool=pool).collect()))
-        assert got == want, (ratio, seeds, pool)
+                                           seed_pool=pool, max_pushed_terms=push).collect()))
+        assert got == want, (ratio, seeds, pool, push)
