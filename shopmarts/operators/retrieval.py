@@ -227,11 +227,16 @@ def lexical_topk(documents: DataFrame, queries: DataFrame, k: int = 5,
 
 def lexical_topk_with_source(documents: DataFrame, queries: DataFrame, k: int = 5,
                              **kw) -> DataFrame:
-    """R2 with the answering passage's source and text (joined on the top-k only)."""
+    """R2 with the answering passage's source and text.
+
+    Only the documents that appear in the top-k are re-read and split (a semi
+    join against the small top-k id set, which AQE broadcasts once it has
+    measured it), so attaching text never shuffles the whole corpus."""
     top = lexical_topk(documents, queries, k, **kw)
-    src = documents.select("doc_id", "source")
-    return (top.join(src, "doc_id")
-            .join(passages(documents), ["doc_id", "pos"])
+    hits = documents.join(top.select("doc_id").distinct(), "doc_id", "left_semi")
+    text = passages(hits.select("doc_id", "text"))
+    return (top.join(hits.select("doc_id", "source"), "doc_id")
+            .join(text, ["doc_id", "pos"])
             .select(*top.columns, "source", "passage"))
 
 
