@@ -56,10 +56,8 @@ FROM events""")
 cte("b_access_logs", f"""
 SELECT event_id AS access_id, user_id, strftime({_SHIFT}, '%Y-%m-%d %H:%M:%S') AS timestamp,
        '198.51.100.' || CAST(event_id % 250 AS VARCHAR) AS ip_address,
-       CASE event_id % 4 WHEN 0 THEN 'Mozilla/5.0 (Windows NT 10.0; Win64; x64) Chrome/120'
-                         WHEN 1 THEN 'Mozilla/5.0 (Macintosh; Intel Mac OS X) Safari/17'
-                         WHEN 2 THEN 'Mozilla/5.0 (iPhone; CPU iPhone OS 17) Mobile Safari'
-                         WHEN 3 THEN 'Mozilla/5.0 (Linux; Android 14) Chrome/120 Mobile' END AS user_agent,
+       CASE event_id % 4 WHEN 0 THEN 'shop-web/desktop' WHEN 1 THEN 'shop-web/mobile'
+                         WHEN 2 THEN 'shop-app/ios' WHEN 3 THEN 'shop-app/android' END AS user_agent,
        CASE WHEN event_type = 'error' AND event_id % 4 = 0 THEN 0 ELSE 1 END AS success,
        CASE WHEN event_id % 200 = 0 THEN 'purchase_attempt' WHEN event_id % 100 = 1 THEN 'page_view'
             ELSE 'login' END AS event_type,

@@ -20,10 +20,8 @@ STATUS_BY_CODE = {"F": "completed", "O": "cancelled", "P": "returned"}
 CHANNELS = ("web", "mobile", "app")                      # by o_orderkey % 3
 SESSION_EVENT_BY_EVENT = {"view": "view", "signup": "view", "click": "add_to_cart",
                           "purchase": "purchase", "error": "abandon"}
-USER_AGENTS = ("Mozilla/5.0 (Windows NT 10.0; Win64; x64) Chrome/120",
-               "Mozilla/5.0 (Macintosh; Intel Mac OS X) Safari/17",
-               "Mozilla/5.0 (iPhone; CPU iPhone OS 17) Mobile Safari",
-               "Mozilla/5.0 (Linux; Android 14) Chrome/120 Mobile")  # by event_id % 4
+USER_AGENTS = ("shop-web/desktop", "shop-web/mobile", "shop-app/ios",
+               "shop-app/android")                       # by event_id % 4
 REGISTRATION_EPOCH = "2023-01-01"
 MONTH_SPREAD = 24          # events cover one month; spread them over 24 months
 DAYS_PER_STEP = 30

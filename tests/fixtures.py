@@ -17,5 +17,5 @@ def order(oid, uid, date, status="completed", total=1000, channel="web", categor
 
 
 def access(aid, uid, ts="2025-01-01 10:00:00", ip="203.0.113.1", success=1,
-           event="login", threat="normal", ua="Mozilla/5.0"):
+           event="login", threat="normal", ua="test-agent"):
     return (aid, uid, ts, ip, ua, success, event, threat)
