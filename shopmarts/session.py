@@ -91,3 +91,22 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     if "://" not in p:
         os.makedirs(posixpath.dirname(p), exist_ok=True)
     return p
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_bytes: int = 256 << 20) -> dict:
+    """Partition sizing for a run over ``input_bytes`` of input on ``total_cores``.
+
+    Scan splits and shuffle partitions aim at ``target_bytes`` each (so a task's
+    working set fits executor memory and spills stay small), never fewer than
+    two tasks per core; AQE then coalesces small shuffle partitions and splits
+    skewed ones at runtime.  E.g. 100 TB on 8,000 cores: 256 MB splits and
+    ~400k shuffle partitions before coalescing."""
+    parts = max(2 * total_cores, -(-input_bytes // target_bytes))
+    split = max(8 << 20, min(target_bytes, -(-input_bytes // (2 * total_cores))))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(
+            min(target_bytes // 2, max(1 << 20, input_bytes // (4 * total_cores)))),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_bytes),
+    }
