@@ -107,11 +107,11 @@ class LexicalIndex:
         have = num_partitions(documents)
         documents = (documents.repartition(par, "doc_id") if have is not None and have < par
                      else documents.repartition("doc_id"))
-        # passage count and total length come with the write (one job):
-        # every passage has one ``first`` term, and its tf values sum to dl
-        # sorted by term inside each file (a local sort, no shuffle): parquet
-        # row-group statistics then let a search that pushes its terms down
-        # skip most of the index
+        # The passage count and total length come with the write (one job):
+        # every passage has one ``first`` term, and its tf values sum to dl.
+        # Rows are sorted by term inside each file (a local sort, no shuffle), so
+        # parquet row-group statistics let a search that pushes its terms down
+        # skip most of the index.
         obs = Observation()
         (postings(passages(documents))
          .observe(obs, F.count_if("first").alias("n"), F.sum("tf").alias("tokens"))
@@ -152,10 +152,10 @@ class LexicalIndex:
             .join(stats.select("term", "df", "idf", "maxc"), "term"), f"{run_id}/qterms")
         key = ["qid", "doc_id", "pos"]
         best = Window.partitionBy("qid").orderBy(F.desc("s"), "doc_id", "pos")
-        terms = qterms.select("term").distinct()
-        if terms.count() <= max_pushed_terms:
+        terms = qterms.select("term").distinct().limit(max_pushed_terms + 1).collect()
+        if len(terms) <= max_pushed_terms:
             # every join below needs postings of query terms only
-            post = post.filter(F.col("term").isin([r[0] for r in terms.collect()]))
+            post = post.filter(F.col("term").isin([r[0] for r in terms]))
 
         def contrib(p: DataFrame) -> DataFrame:
             return p.withColumn("c", (F.col("idf") * F.col("tfp")).cast(SCORE_TYPE))
@@ -215,8 +215,10 @@ class LexicalIndex:
         rest = lookup(surv.select(*key), non, "ns")
         exact = (surv.join(rest, key, "left")
                  .withColumn("s", F.col("es") + F.coalesce(F.col("ns"), F.lit(0).cast(SCORE_TYPE))))
-        return top(exact, k).select(F.col("qid").alias(query_id), "rank_no", "doc_id", "pos",
-                                    F.round(F.col("s").cast("double"), 6).alias("score"))
+        return self._keep(
+            top(exact, k).select(F.col("qid").alias(query_id), "rank_no", "doc_id", "pos",
+                                 F.round(F.col("s").cast("double"), 6).alias("score")),
+            f"{run_id}/topk")
 
 
 def lexical_topk(documents: DataFrame, queries: DataFrame, k: int = 5,
