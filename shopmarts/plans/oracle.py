@@ -354,7 +354,7 @@ _LAYERS += [("silver", t, f"s_{t}") for t in ("users", "products", "orders", "or
                                                 "sessions", "access_logs")]
 _LAYERS += [("gold", t, f"g_{t}") for t in ("monthly_sales", "customer_rfm", "cart_abandonment",
                                               "access_summary", "threat_events", "user_risk")]
-oracle("pipeline_row_counts", " UNION ALL ".join(
+oracle("medallion_row_counts", " UNION ALL ".join(
     f"SELECT '{layer}' AS layer, '{t}' AS table_name, count(*) AS row_count FROM {c}"
     for layer, t, c in _LAYERS), *[c for _, _, c in _LAYERS])
 

@@ -113,8 +113,8 @@ def _fresh_database() -> str:
     return f"shopmarts_{uuid.uuid4().hex[:10]}"
 
 
-@register("pipeline_row_counts")
-def _pipeline_row_counts(spark, sf_dir):
+@register("medallion_row_counts")
+def _medallion_row_counts(spark, sf_dir):
     """Whole CSV-free pipeline on the driver tables: 18 tables, counts observed."""
     return PL.run_pipeline(spark, _shop(spark, sf_dir).raw, _fresh_database())
 
