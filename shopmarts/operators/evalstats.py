@@ -1,8 +1,9 @@
 """Evaluation statistics over agent traces and judge verdicts (E1-E5).
 
-Every statistic is a grouped aggregation with partial (map-side) combine; exact
-percentiles keep a value->count map per group, so their memory grows with the
-number of *distinct* durations of an agent, not with its number of calls.
+Every statistic is a grouped aggregation with partial (map-side) combine (the
+call profile adds windows, over chunks of bounded size only); exact percentiles
+keep a value->count map per group, so their memory grows with the number of
+*distinct* durations of an agent, not with its number of calls.
 """
 
 from __future__ import annotations
