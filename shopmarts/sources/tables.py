@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import posixpath
-from functools import cached_property
-
 from pyspark.sql import DataFrame, SparkSession
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -30,7 +28,3 @@ class DriverTables:
             setattr(self, name, df)
             return df
         raise AttributeError(name)
-
-    @cached_property
-    def names(self) -> tuple:
-        return DRIVER_TABLES

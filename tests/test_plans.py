@@ -57,3 +57,19 @@ def test_no_python_udfs_in_headline_plans(spark):
               "vector_topk", "trace_call_profile", "passages"):
         plan = _plan(qs[k](spark, SF_SMALL))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, k
+
+
+def test_marts_aggregate_map_side_before_every_shuffle(spark):
+    """In the aggregation-only marts, every hash exchange is fed directly by a
+    partial aggregate: a hot key is combined inside every map task before
+    anything is shuffled."""
+    from __spark_entry__ import queries
+    qs = queries()
+    for k in ("monthly_sales", "rfm_base", "cart_abandonment", "access_summary",
+              "threat_events", "risk_counters"):
+        lines = [ln for ln in _plan(qs[k](spark, SF_SMALL)).splitlines() if ln.strip()]
+        exchanges = [i for i, ln in enumerate(lines) if "Exchange hashpartitioning" in ln]
+        assert exchanges, k
+        for i in exchanges:
+            below = lines[i + 1]
+            assert "HashAggregate" in below and "partial_" in below, (k, below)
