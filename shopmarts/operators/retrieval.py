@@ -38,6 +38,10 @@ TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 K1, B = 1.2, 0.75
 SCORE_TYPE = "decimal(20,12)"
 MARGIN = 1e-6   # slack on every pruning test: float bounds never drop a true top-k row
+# Postings row groups: small enough for fine-grained skipping of term-sorted data
+# and for bounded writer memory per task (parquet buffers a whole row group).
+ROW_GROUP_BYTES = 16 << 20
+BUILD_FANOUT = 4
 
 
 # ---------------------------------------------------------------- R1 passages
@@ -103,10 +107,12 @@ class LexicalIndex:
         # shuffled once (fewer bytes than the token rows would be) and the
         # aggregation runs without a shuffle of its own.  It also spreads the
         # tokenizing when the input has few splits (e.g. one large row group).
+        # Each input split is spread over BUILD_FANOUT tasks, so the per-task
+        # postings (aggregated and sorted) stay a fraction of a split.
         par = default_parallelism(spark)
-        have = num_partitions(documents)
-        documents = (documents.repartition(par, "doc_id") if have is not None and have < par
-                     else documents.repartition("doc_id"))
+        have = num_partitions(documents) or 0
+        shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        documents = documents.repartition(max(par, shuffle, have * BUILD_FANOUT), "doc_id")
         # The passage count and total length come with the write (one job):
         # every passage has one ``first`` term, and its tf values sum to dl.
         # Rows are sorted by term inside each file (a local sort, no shuffle), so
@@ -116,7 +122,8 @@ class LexicalIndex:
         (postings(passages(documents))
          .observe(obs, F.count_if("first").alias("n"), F.sum("tf").alias("tokens"))
          .sortWithinPartitions("term")
-         .write.mode("overwrite").parquet(f"{path}/postings0"))
+         .write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES)
+         .parquet(f"{path}/postings0"))
         n_passages, tokens = obs.get["n"], obs.get["tokens"]
         if not n_passages:
             raise ValueError("no passages with terms in the corpus")
