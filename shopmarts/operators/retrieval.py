@@ -94,7 +94,7 @@ class LexicalIndex:
         """Write a small per-query table next to the index and read it back
         (cuts lineage, so later branches do not recompute it)."""
         p = f"{self.path}/{name}"
-        df.write.mode("overwrite").parquet(p)
+        df.write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES).parquet(p)
         return df.sparkSession.read.parquet(p)
 
     @classmethod
