@@ -42,6 +42,7 @@ MARGIN = 1e-6   # slack on every pruning test: float bounds never drop a true to
 # and for bounded writer memory per task (parquet buffers a whole row group).
 ROW_GROUP_BYTES = 16 << 20
 BUILD_FANOUT = 4
+ROWS_PER_TASK = 4_000_000
 
 
 # ---------------------------------------------------------------- R1 passages
@@ -152,11 +153,14 @@ class LexicalIndex:
         import uuid
         run_id = f"search_{uuid.uuid4().hex[:10]}"
         post, stats = self.postings, self.stats
-        qterms = self._keep(
+        # query terms are written first, so the join below knows their (small)
+        # size and broadcasts them while streaming the vocabulary statistics
+        asked = self._keep(
             queries.select(F.col(query_id).alias("qid"),
                            F.explode(tokens_of(F.col(query_text))).alias("term"))
-            .distinct()
-            .join(stats.select("term", "df", "idf", "maxc"), "term"), f"{run_id}/qterms")
+            .distinct(), f"{run_id}/asked")
+        qterms = self._keep(asked.join(stats.select("term", "df", "idf", "maxc"), "term"),
+                            f"{run_id}/qterms")
         key = ["qid", "doc_id", "pos"]
         best = Window.partitionBy("qid").orderBy(F.desc("s"), "doc_id", "pos")
         terms = qterms.select("term").distinct().limit(max_pushed_terms + 1).collect()
@@ -210,8 +214,15 @@ class LexicalIndex:
                  .join(theta, "qid", "full_outer"))
 
         # (3) essential terms fan out; drop passages whose upper bound < theta
-        es = (contrib(ess.join(post.select("term", "doc_id", "pos", "tfp"), "term"))
-              .groupBy(*key).agg(F.sum("c").alias("es")))
+        fan = contrib(ess.join(post.select("term", "doc_id", "pos", "tfp"), "term"))
+        # The fan-out emits sum(df) rows over the essential terms (known from the
+        # small split table); give its aggregation enough tasks to keep each one
+        # to about ROWS_PER_TASK rows, whatever the session's default partitions.
+        emitted = ess.agg(F.sum("df")).first()[0] or 0
+        tasks = -(-emitted // ROWS_PER_TASK)
+        if tasks > int(self.postings.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+            fan = fan.repartition(tasks, *key)
+        es = fan.groupBy(*key).agg(F.sum("c").alias("es"))
         surv = self._keep(
             es.join(bound, "qid", "left")
             .filter(F.col("es").cast("double") + F.coalesce(F.col("ne_max"), F.lit(0.0))
