@@ -1,8 +1,8 @@
 """Command line: run the pipeline, ask the business questions, run queries.
 
   python -m shopmarts pipeline --src DIR --database DB [--driver] [--user-buckets N]
-  python -m shopmarts ask QUESTION --database DB [--param k=v ...] [--out PATH] [--show N]
-  python -m shopmarts query NAME --sf DIR [--out PATH] [--show N]
+  python -m shopmarts ask QUESTION --database DB [--param k=v ...] [--out PATH] [--show N] [--explain]
+  python -m shopmarts query NAME --sf DIR [--out PATH] [--show N] [--explain]
   python -m shopmarts list
 
 ``pipeline`` reads raw CSV files (``--driver``: a driver parquet folder) and
@@ -69,8 +69,10 @@ def ask(spark: SparkSession, database: str, question: str, **params) -> DataFram
     return QUESTIONS[question](Warehouse(spark, database), **params)
 
 
-def _emit(df: DataFrame, out: str | None, show: int) -> None:
-    if out:
+def _emit(df: DataFrame, out: str | None, show: int, explain: bool = False) -> None:
+    if explain:
+        df.explain("formatted")
+    elif out:
         df.write.mode("overwrite").parquet(out)
         print(f"written to {out}")
     else:
@@ -91,11 +93,13 @@ def main(argv=None) -> int:
     a.add_argument("--param", action="append", default=[], help="k=v question parameter")
     a.add_argument("--out")
     a.add_argument("--show", type=int, default=20)
+    a.add_argument("--explain", action="store_true", help="print the physical plan only")
     q = sub.add_parser("query")
     q.add_argument("name")
     q.add_argument("--sf", required=True)
     q.add_argument("--out")
     q.add_argument("--show", type=int, default=20)
+    q.add_argument("--explain", action="store_true", help="print the physical plan only")
     sub.add_parser("list")
     args = ap.parse_args(argv)
 
@@ -113,9 +117,10 @@ def main(argv=None) -> int:
         run_pipeline(spark, raw, args.database, user_buckets=args.user_buckets).show(18, False)
     elif args.cmd == "ask":
         params = dict(kv.split("=", 1) for kv in args.param)
-        _emit(ask(spark, args.database, args.question, **params), args.out, args.show)
+        _emit(ask(spark, args.database, args.question, **params), args.out, args.show,
+              args.explain)
     else:
-        _emit(QUERIES[args.name](spark, args.sf), args.out, args.show)
+        _emit(QUERIES[args.name](spark, args.sf), args.out, args.show, args.explain)
     return 0
 
 
