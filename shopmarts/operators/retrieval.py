@@ -233,16 +233,33 @@ class LexicalIndex:
         rest = lookup(surv.select(*key), non, "ns")
         exact = (surv.join(rest, key, "left")
                  .withColumn("s", F.col("es") + F.coalesce(F.col("ns"), F.lit(0).cast(SCORE_TYPE))))
-        return self._keep(
+        result = self._keep(
             top(exact, k).select(F.col("qid").alias(query_id), "rank_no", "doc_id", "pos",
                                  F.round(F.col("s").cast("double"), 6).alias("score")),
             f"{run_id}/topk")
+        # the result is written; the per-search tables are no longer needed
+        from shopmarts.session import remove_path
+        for part in ("asked", "qterms", "theta", "split", "survivors"):
+            remove_path(result.sparkSession, f"{self.path}/{run_id}/{part}")
+        return result
+
+    def drop(self) -> None:
+        """Delete the index files (postings, statistics); search results stay."""
+        from shopmarts.session import remove_path
+        for part in ("postings0", "stats"):
+            remove_path(self.postings.sparkSession, f"{self.path}/{part}")
 
 
 def lexical_topk(documents: DataFrame, queries: DataFrame, k: int = 5,
                  query_id: str = "item_id", query_text: str = "text") -> DataFrame:
-    """Exact BM25 top-k passages per query: (query_id, rank_no, doc_id, pos, score)."""
-    return LexicalIndex.build(documents).search(queries, k, query_id, query_text)
+    """Exact BM25 top-k passages per query: (query_id, rank_no, doc_id, pos, score).
+
+    One-shot: the index is built for this batch and dropped once the (written)
+    result exists; build a ``LexicalIndex`` once to serve many batches."""
+    index = LexicalIndex.build(documents)
+    result = index.search(queries, k, query_id, query_text)
+    index.drop()
+    return result
 
 
 def lexical_topk_with_source(documents: DataFrame, queries: DataFrame, k: int = 5,

@@ -110,3 +110,15 @@ def scale_conf(input_bytes: int, total_cores: int, target_bytes: int = 256 << 20
             min(target_bytes // 2, max(1 << 20, input_bytes // (4 * total_cores)))),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_bytes),
     }
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Best-effort recursive delete of an intermediate folder we wrote (any
+    Hadoop-compatible filesystem).  Returns False where it cannot (e.g. no JVM
+    gateway, as under Spark Connect); leftovers are then only disk, not results."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))
+    except Exception:
+        return False
