@@ -207,8 +207,13 @@ def _pass_rate_stream(spark, sf_dir):
     consumes all of them in micro-batches and publishes per-judge pass rates."""
     base = shared_path(spark, "stream", unique=True)
     _verdicts(spark, sf_dir).repartition(8).write.parquet(f"{base}/in")
-    return M.run_until_caught_up(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt",
-                                 files_per_trigger=2)
+    out = M.run_until_caught_up(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt",
+                                files_per_trigger=2)
+    # one-shot run: the landed files and the stream's state are not needed any more
+    from shopmarts.session import remove_path
+    for part in ("in", "ckpt"):
+        remove_path(spark, f"{base}/{part}")
+    return out
 
 
 @register("customer_360_colocated")
