@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import posixpath
 import tempfile
 import uuid
@@ -49,14 +48,20 @@ def _context(spark: SparkSession):
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    A cluster sets it; only when it is unset (local tests) do we make one.
+    A cluster must set it.  Only a local master (tests, one machine) gets a
+    folder of its own when it is unset; elsewhere an unset folder is an error,
+    because a machine-local folder is invisible to the other executors.
     """
     sc = _context(spark)
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="shopmarts-ckpt-")
+        master = sc.master if sc is not None else ""
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver "
+                               f"and all executors share (master: {master or 'unknown'})")
+        d = "file://" + tempfile.mkdtemp(prefix="shopmarts-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
@@ -80,17 +85,14 @@ def num_partitions(df) -> int | None:
 
 
 def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
-    """A path under the shared checkpoint folder (visible to every executor)."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
+    """A path under the shared checkpoint folder (visible to every executor).
+
+    The folder's scheme is kept, so the path means the same to Spark whatever
+    the default filesystem is; Spark's writers create the folders."""
     tail = list(parts)
     if unique:
         tail.append(uuid.uuid4().hex[:12])
-    p = posixpath.join(base, "shopmarts", *tail)
-    if "://" not in p:
-        os.makedirs(posixpath.dirname(p), exist_ok=True)
-    return p
+    return posixpath.join(ensure_checkpoint_dir(spark), "shopmarts", *tail)
 
 
 def scale_conf(input_bytes: int, total_cores: int, target_bytes: int = 256 << 20) -> dict:

@@ -1,3 +1,8 @@
+import types
+
+import pytest
+
+from shopmarts import session
 from shopmarts.session import scale_conf, shared_path
 
 
@@ -13,6 +18,14 @@ def test_scale_conf_sizes_partitions_from_input():
 
 
 def test_shared_path_lives_under_the_checkpoint_dir(spark):
-    base = spark.conf.get("spark.checkpoint.dir").replace("file:", "")
+    base = spark.conf.get("spark.checkpoint.dir")
     p = shared_path(spark, "x", unique=True)
     assert p.startswith(base) and "/shopmarts/x/" in p
+
+
+def test_cluster_without_a_shared_folder_is_an_error(monkeypatch):
+    sc = types.SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    cluster = types.SimpleNamespace(sparkContext=sc,
+                                    conf=types.SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(cluster)
