@@ -48,3 +48,32 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = fit_quality(docs, read_table(spark, sf_dir, "labels"))
     return quality_scores(docs, model)
+
+
+@register
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document."""
+    from shopmarts.llm.secrets import digest, fit_markov, labelled_samples, scan
+
+    docs = read_table(spark, sf_dir, "documents")
+    return digest(scan(docs, fit_markov(labelled_samples(docs))))
+
+
+@register
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    from shopmarts.llm.mixing import mix
+
+    m = mix(read_table(spark, sf_dir, "documents"))
+    return m.select("doc_id", "size", "source_size", "target",
+                    (F.col("size") * F.col("copies")).alias("taken"), "copies")
+
+
+@register
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document; shards are equal in bytes."""
+    from shopmarts.llm.sharding import shard
+
+    return shard(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
