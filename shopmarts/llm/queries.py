@@ -77,3 +77,19 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url."""
+    from shopmarts.llm.urlfilter import judge
+
+    return judge(read_table(spark, sf_dir, "pages"))
+
+
+@register
+def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector, within its label."""
+    from shopmarts.llm.covertree import near_duplicates
+
+    return near_duplicates(read_table(spark, sf_dir, "embeddings"), least=0.93)
