@@ -93,3 +93,16 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shopmarts.llm.covertree import near_duplicates
 
     return near_duplicates(read_table(spark, sf_dir, "embeddings"), least=0.93)
+
+
+@register
+def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model score of every document; a tenth is kept from training."""
+    from shopmarts.llm.ngramtrie import held_out, lm_scores, train
+
+    docs = read_table(spark, sf_dir, "documents")
+    trie = train(docs.filter(~held_out("doc_id")))
+    aside = held_out("doc_id").alias("held_out")
+    tokens = F.lit(trie.words.tokens).cast("long").alias("train_tokens")
+    return lm_scores(docs, trie).select("doc_id", aside, "n_tokens", "n_known", tokens,
+                                        "base_score", "score")
