@@ -283,13 +283,13 @@ class NgramTrie:
         context = np.where(tokens == END, -1, word)
         begin = tokens == BEGIN
         context[begin], before[begin], count[begin] = w.n_words, w.word_tokens, w.n_docs
-        out = {"word": word, "count": count}
-        prev = np.flatnonzero((context[:-1] >= 0) & (word[1:] >= 0))
-        out["pair_at"] = prev + 1
-        out["pair_context"], out["pair_word"] = context[prev], word[prev + 1]
-        out["pair_part"] = self.pair_part(before[prev], count[prev], word[prev + 1])
-        out["known_context"] = context
-        return out
+        # an unknown word has a number of its own, of which there are no n-grams,
+        # so what its context leaves to the lower order is still found
+        code = np.where(word < 0, w.n_words + 1, word)
+        prev = np.flatnonzero((context[:-1] >= 0) & ~begin[1:])
+        part = self.pair_part(before[prev], count[prev], np.minimum(code[prev + 1], w.n_words))
+        return {"word": word, "code": code, "count": count, "pair_at": prev + 1,
+                "pair_context": context[prev], "pair_word": code[prev + 1], "pair_part": part}
 
     def look_pairs(self, tokens: np.ndarray) -> dict[str, np.ndarray]:
         """As ``look``, and the pair that ends at each token with its terms."""
@@ -308,10 +308,9 @@ class NgramTrie:
         base = (x["count"] + BASE_ADD) / (w.tokens + BASE_ADD * (distinct + 1))
         p = x["pair_share"] + x["pair_backoff"] * base
         if self.triples is not None:
-            at = np.flatnonzero((x["pair"][:-1] >= 0) & (x["word"][1:] >= 0)
-                                & (tokens[1:] != BEGIN)) + 1
+            at = np.flatnonzero((x["pair"][:-1] >= 0) & (tokens[1:] != BEGIN)) + 1
             context = x["pair"][at - 1]
-            _, share, backoff = self.triples.query(context, x["word"][at], self.triple_part(context))
+            _, share, backoff = self.triples.query(context, x["code"][at], self.triple_part(context))
             p[at] = share + backoff * p[at]
         return np.log10(base), np.log10(p), x["word"] >= 0
 
