@@ -106,3 +106,13 @@ def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = F.lit(trie.words.tokens).cast("long").alias("train_tokens")
     return lm_scores(docs, trie).select("doc_id", aside, "n_tokens", "n_known", tokens,
                                         "base_score", "score")
+
+
+@register
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and perplexity verdict of every document."""
+    from shopmarts.llm.perplexity import judge
+
+    out = judge(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                      "n_repeat_words", "base_failed", "kept", "perplexity", "lower", "upper")

@@ -87,9 +87,9 @@ def hashed_blocks(texts: Iterable[str | None], lower: bool = True,
                   limit: int = PIECE) -> Iterator[tuple[np.ndarray, np.ndarray, Words]]:
     """Blocks of about ``limit`` bytes over many texts, short ones together.
 
-    Yields ``(text_index, word_text, words)``: ``text_index`` numbers the texts
-    that have bytes in the block, ``word_text`` gives for each word its text's
-    number.  A long text spans several blocks, in order.
+    Yields ``(piece_text, word_text, words)``: the text's number of each piece in
+    the block (pieces end at ``words.piece_ends``) and of each word.  A long text
+    spans several blocks, in order.
     """
     held, owners, size = [], [], 0
     for k, text in enumerate(texts):
@@ -107,6 +107,6 @@ def hashed_blocks(texts: Iterable[str | None], lower: bool = True,
 def _block(held: list[bytes], owners: list[int], lower: bool):
     data = b"\n".join(held)
     words = Words(data.lower() if lower else data)
-    ends = np.cumsum([len(p) + 1 for p in held])
+    words.piece_ends = np.cumsum([len(p) + 1 for p in held])
     owner = np.array(owners)
-    return owner, owner[np.searchsorted(ends, words.start, side="right")], words
+    return owner, owner[np.searchsorted(words.piece_ends, words.start, side="right")], words
