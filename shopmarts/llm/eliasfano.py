@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 _U = np.uint64
-STEP = 16        # every so many ones (zeros) the bit vector's position is noted
+STEP = 16        # every so many ones (zeros) their position is noted
 
 
 class EliasFano:
@@ -19,6 +19,7 @@ class EliasFano:
         self.n, self.bits = (int(x) for x in arrays[prefix + "meta"])
         self.low, self.high = arrays[prefix + "low"], arrays[prefix + "high"]
         self.ones, self.zeros = arrays[prefix + "ones"], arrays[prefix + "zeros"]
+        self.before = arrays[prefix + "before"]
 
     @staticmethod
     def encode(values: np.ndarray, prefix: str = "") -> dict[str, np.ndarray]:
@@ -41,28 +42,37 @@ class EliasFano:
         flags[one] = 1
         high = np.packbits(flags, bitorder="little").view(_U)
         zero = np.flatnonzero(flags == 0)
+        before = np.cumsum(np.bitwise_count(high), dtype=np.int64) - np.bitwise_count(high)
         return {prefix + "meta": np.array([n, bits], np.int64), prefix + "low": low,
-                prefix + "high": high, prefix + "ones": one[::STEP].astype(np.uint32),
+                prefix + "high": high, prefix + "before": before.astype(np.uint32), prefix + "ones": one[::STEP].astype(np.uint32),
                 prefix + "zeros": zero[::STEP].astype(np.uint32)}
 
     def _select(self, i: np.ndarray, marks: np.ndarray, flip: bool) -> np.ndarray:
-        """Bit position of the i-th one (zero, if ``flip``)."""
-        at = marks[i >> 4].astype(np.int64)
-        k = (i & (STEP - 1)).astype(np.int64)
-        word = at >> 6
+        """Bit position of the i-th one (zero, if ``flip``).
+
+        Two marks bound the word; between them the counts of ones before each
+        word are searched by halves, so crowded or empty stretches cost little."""
+        i = i.astype(np.int64)
+        m = i >> 4
+        lo = (marks[m] >> 6).astype(np.int64)
+        hi = (marks[np.minimum(m + 1, len(marks) - 1)] >> 6).astype(np.int64)
+        hi = np.where(m + 1 < len(marks), hi, len(self.high) - 1)
+
+        def before(word):
+            ones = self.before[word].astype(np.int64)
+            return (word << 6) - ones if flip else ones
+
+        act = np.flatnonzero(lo < hi)
+        while len(act):
+            mid = (lo[act] + hi[act] + 1) >> 1
+            up = before(mid) <= i[act]
+            lo[act] = np.where(up, mid, lo[act])
+            hi[act] = np.where(up, hi[act], mid - 1)
+            act = act[lo[act] < hi[act]]
+        word, k = lo, i - before(lo)
         w = self.high[word]
         if flip:
             w = ~w
-        w &= ~_U(0) << (at & 63).astype(_U)
-        have = np.bitwise_count(w).astype(np.int64)
-        far = np.flatnonzero(have <= k)
-        while len(far):
-            k[far] -= have[far]
-            word[far] += 1
-            x = self.high[word[far]]
-            w[far] = ~x if flip else x
-            have[far] = np.bitwise_count(w[far])
-            far = far[have[far] <= k[far]]
         # the k-th one inside the word, halving the width
         out = word << 6
         for half in (32, 16, 8, 4, 2, 1):
@@ -101,10 +111,17 @@ class EliasFano:
         last = int(self.access(np.array([self.n - 1]))[0]) >> self.bits
         ok = np.flatnonzero(h <= last)
         h = h[ok]
-        end = self._select(h, self.zeros, True) - h
-        lo = np.zeros(len(h), np.int64)
+        # a high part's values are the ones between two zeros
+        begin = np.zeros(len(h), np.int64)
         some = np.flatnonzero(h > 0)
-        lo[some] = self._select(h[some] - 1, self.zeros, True) - h[some] + 1
+        begin[some] = self._select(h[some] - 1, self.zeros, True) + 1
+        lo = begin - h
+        off = (begin & 63).astype(_U)
+        rest = ~(self.high[begin >> 6] >> off)
+        run = np.bitwise_count((rest & (~rest + _U(1))) - _U(1)).astype(np.int64)
+        end = lo + run
+        far = np.flatnonzero(run >= 64 - (begin & 63))      # the run leaves its word
+        end[far] = self._select(h[far], self.zeros, True) - h[far]
         want = value[ok] & _U((1 << self.bits) - 1)
         hi = end.copy()
         act = np.flatnonzero(lo < hi)

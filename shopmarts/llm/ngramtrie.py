@@ -21,7 +21,7 @@ from shopmarts.llm.wordblocks import hashed_blocks
 from shopmarts.session import remove_path, shared_path
 
 BEGIN, END = np.uint64(0), np.uint64(1)      # reserved word hashes
-CHUNK = 1 << 18                              # tokens looked up together
+CHUNK = 1 << 20                              # tokens looked up together
 FLUSH = 1 << 22                              # counted keys a task holds before it sends them
 GRID = 2048                                  # steps of the quantised log2 in one halving
 BASE_ADD = 0.1
@@ -132,6 +132,16 @@ def _received(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarr
 # ---------------------------------------------------------------- the model's files
 
 
+def _by_part(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each file's number and the positions that ask for it."""
+    part = part.astype(np.int16 if len(part) and part.max() < 1 << 15 else np.int32)
+    order = np.argsort(part, kind="stable")
+    own = part[order]
+    cut = np.concatenate([[0], np.flatnonzero(np.diff(own)) + 1, [len(own)]]) if len(own) else [0]
+    for s, e in zip(cut[:-1], cut[1:]):
+        yield int(own[s]), order[s:e]
+
+
 @dataclass
 class Level:
     """N-grams of one length as an Elias-Fano sequence by context.
@@ -155,42 +165,46 @@ class Level:
 
     def query(self, context: np.ndarray, word: np.ndarray, part: np.ndarray):
         """``(number, share, backoff)`` of n-grams: number -1 and share 0 where the
-        n-gram is not there; backoff 1 where the context is not."""
-        number = np.full(len(context), -1, np.int64)
-        share, backoff = np.zeros(len(context)), np.ones(len(context))
-        order = np.argsort(part, kind="stable")
-        ranges = part[order]
-        cut = np.concatenate([[0], np.flatnonzero(np.diff(ranges)) + 1, [len(ranges)]])
-        for s, e in zip(cut[:-1], cut[1:]) if len(ranges) else ():
-            at, p = order[s:e], int(ranges[s])
-            low, n = self.context[p]
-            if len(self.border[0]):
-                k = np.searchsorted(self.border[0], context[at])
-                k = np.minimum(k, len(self.border[0]) - 1)
-                own = self.border[0][k] == context[at]
-                backoff[at[own]] = self.border[1][k[own]]
-            if not n:
-                continue
-            base, gram, a = self.file(p)
+        n-gram is not there; backoff 1 where the context is not.  Each distinct
+        n-gram is looked up once."""
+        n = len(context)
+        number, share, backoff = np.full(n, -1, np.int64), np.zeros(n), np.ones(n)
+        if not n:
+            return number, share, backoff
+        wide = np.uint64(int(word.max()) + 1)
+        _, first, inverse = np.unique(context.astype(np.uint64) * wide + word.astype(np.uint64),
+                                      return_index=True, return_inverse=True)
+        context, word, part = context[first], word[first], part[first]
+        number, share, backoff = number[first], share[first], backoff[first]
+        if len(self.border[0]):
+            k = np.minimum(np.searchsorted(self.border[0], context), len(self.border[0]) - 1)
+            backoff = np.where(self.border[0][k] == context, self.border[1][k], 1.0)
+        for p, at in _by_part(part):
+            low, size = self.context[p]
             j = context[at] - low
-            inside = np.flatnonzero((j >= 0) & (j < n))
+            inside = np.flatnonzero((j >= 0) & (j < size))
+            if not len(inside):
+                continue
             at, j = at[inside], j[inside]
+            base, gram, a = self.file(p)
             backoff[at] = _unquantised(a["backoff"][j])
-            begin = base.access(j)
-            want = begin + word[at].astype(np.uint64)
-            ok = np.flatnonzero(want < base.access(j + 1))
+            # contexts are in order, so equal ones stand together
+            new = np.concatenate([[True], j[1:] != j[:-1]])
+            own = np.cumsum(new) - 1
+            begin, end = base.access(j[new]), base.access(j[new] + 1)
+            want = begin[own] + word[at].astype(np.uint64)
+            ok = np.flatnonzero(want < end[own])
             found = gram.find(want[ok])
             hit = np.flatnonzero(found >= 0)
             number[at[ok[hit]]] = found[hit] + self.first[p]
             share[at[ok[hit]]] = _unquantised(a["share"][found[hit]])
-        return number, share, backoff
+        return number[inverse], share[inverse], backoff[inverse]
 
     def counts(self, number: np.ndarray) -> np.ndarray:
         out = np.zeros(len(number), np.int64)
         part = np.searchsorted(np.array(self.first), number, side="right") - 1
-        for p in np.unique(part):
-            own = part == p
-            out[own] = self.file(int(p))[2]["count"][number[own] - self.first[p]]
+        for p, at in _by_part(part):
+            out[at] = self.file(p)[2]["count"][number[at] - self.first[p]]
         return out
 
 
@@ -229,11 +243,7 @@ class Vocabulary:
         before, count = np.zeros(len(tokens), np.int64), np.zeros(len(tokens), np.int64)
         part = _hash_range(tokens, len(self.first)).astype(np.int32)
         part[tokens <= END] = len(self.first)
-        order = np.argsort(part, kind="stable")
-        ranges = part[order]
-        cut = np.concatenate([[0], np.flatnonzero(np.diff(ranges)) + 1, [len(ranges)]])
-        for s, e in zip(cut[:-1], cut[1:]) if len(ranges) else ():
-            p, at = int(ranges[s]), order[s:e]
+        for p, at in _by_part(part):
             if p == len(self.first):
                 continue
             if p not in self.files:
