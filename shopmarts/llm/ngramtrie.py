@@ -204,7 +204,10 @@ class Level:
         out = np.zeros(len(number), np.int64)
         part = np.searchsorted(np.array(self.first), number, side="right") - 1
         for p, at in _by_part(part):
-            out[at] = self.file(p)[2]["count"][number[at] - self.first[p]]
+            a, k = self.file(p)[2], number[at] - self.first[p]
+            out[at] = a["count"][k]
+            large = np.flatnonzero(out[at] == 255)
+            out[at[large]] = a["large"][np.searchsorted(a["large_at"], k[large])]
         return out
 
 
@@ -358,7 +361,6 @@ def train(docs: DataFrame, text_col: str = "text", least_triple: int = 2) -> Ngr
     _count_pairs(texts, folder, trie)
     if trie.n_pairs:
         _count_triples(texts, folder, trie, least_triple)
-    remove_path(spark, f"{folder}/raw")
     return trie
 
 
@@ -402,7 +404,8 @@ def _write_raw(folder: str, name: str, wide: int, least: int):
         for part, keys, counts in _received(batches):
             ones = [int((counts == k).sum()) for k in (1, 2, 3, 4)]
             keys, counts = keys[counts >= least], counts[counts >= least]
-            write_arrays(f"{folder}/raw", f"{name}-{part}", {"key": keys, "count": counts})
+            write_arrays(f"{folder}/raw", f"{name}-{part}", {
+                "key": keys, "count": counts.astype(np.uint32)})
             context = keys // np.uint64(wide)
             edge = sorted({int(c) for c in (*context[:1], *context[-1:])})
             own = [counts[context == np.uint64(c)] for c in edge]
@@ -438,7 +441,7 @@ def _build(spark, folder: str, name: str, rows: list, wide: int, d: np.ndarray,
         for b in batches:
             for part in b.column(0).to_pylist():
                 raw = read_arrays(f"{folder}/raw", f"{name}-{part}")
-                keys, counts = raw["key"], raw["count"]
+                keys, counts = raw["key"], raw["count"].astype(np.int64)
                 context = (keys // np.uint64(wide)).astype(np.int64)
                 word = (keys % np.uint64(wide)).astype(np.int64)
                 low, n = int(context[0]), int(context[-1] - context[0]) + 1
@@ -461,7 +464,10 @@ def _build(spark, folder: str, name: str, rows: list, wide: int, d: np.ndarray,
                           **EliasFano.encode(base, "base_"),
                           **EliasFano.encode(base[context - low] + word, "gram_")}
                 if keep_counts:
-                    arrays["count"] = counts.astype(np.uint32)
+                    # most counts fit a byte; the others stand apart
+                    large = np.flatnonzero(counts >= 255)
+                    arrays |= {"count": np.minimum(counts, 255).astype(np.uint8),
+                               "large_at": large, "large": counts[large]}
                 write_arrays(folder, f"{name}-{part}", arrays)
                 yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()),
                                                   "low": [low], "n": [n]})
@@ -469,6 +475,7 @@ def _build(spark, folder: str, name: str, rows: list, wide: int, d: np.ndarray,
     full = [p for p in sorted(sizes) if sizes[p]]
     todo = spark.createDataFrame([(p,) for p in full], "part int").repartition(max(1, len(full)))
     got = {r["part"]: r for r in todo.mapInArrow(build, "part int, low long, n long").collect()}
+    remove_path(spark, f"{folder}/raw")
     return Level(folder, name, _starts([sizes.get(p, 0) for p in range(parts)]),
                  [(got[p]["low"], got[p]["n"]) if p in got else (0, 0) for p in range(parts)],
                  (np.array(border[0], np.int64), np.array(border[1])))
