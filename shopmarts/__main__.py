@@ -53,6 +53,7 @@ QUESTIONS = {
     "gold_members": lambda w: Q.gold_members(w.gold("customer_rfm")),
     "top_categories_last_month": lambda w, k="3": Q.top_categories_last_month(
         w.gold("monthly_sales"), int(k)),
+    "top_categories_by_month": lambda w: Q.top_categories_by_month(w.gold("monthly_sales")),
     "recent_threat_types": lambda w: Q.recent_threat_types(w.gold("threat_events")),
     "customer_360": _c360,
     "response_decision": lambda w, user_id=None: Q.response_decision(_c360(w, user_id)),
@@ -61,6 +62,7 @@ QUESTIONS = {
     "presented_sales": lambda w: P.presented_sales(w.gold("monthly_sales")),
     "presented_risk": lambda w: P.presented_risk(w.gold("user_risk")),
     "presented_threats": lambda w: P.presented_threats(w.gold("access_summary")),
+    "presented_threat_events": lambda w: P.presented_threat_events(w.gold("threat_events")),
     "catalog_search": lambda w, term: C.search_catalog(C.table_catalog(w.spark, w.db), term),
 }
 

@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shopmarts.sources.files import CORRUPT
+
 # The value domains of the raw data.
 DOMAINS = {
     ("orders", "status"): ("completed", "cancelled", "returned"),
@@ -52,21 +54,22 @@ def order_total(orders: DataFrame, order_items: DataFrame) -> DataFrame:
 
 
 def orphans(order_items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
-    """V3: items whose order or product does not exist."""
+    """V3: items whose order or product does not exist; one pass over the items."""
     cols = ["item_id", "order_id", "product_id"]
-    no_order = (order_items.select(*cols)
-                .join(orders.select("order_id"), "order_id", "left_anti")
-                .withColumn("issue", F.lit("unknown_order")))
-    no_product = (order_items.select(*cols)
-                  .join(products.select("product_id"), "product_id", "left_anti")
-                  .withColumn("issue", F.lit("unknown_product")))
-    return no_order.unionByName(no_product).select(*cols, "issue")
+    known_o = orders.select(F.col("order_id").alias("o")).distinct()
+    known_p = products.select(F.col("product_id").alias("p")).distinct()
+    issues = F.array_compact(F.array(F.when(F.col("o").isNull(), "unknown_order"),
+                                     F.when(F.col("p").isNull(), "unknown_product")))
+    return (order_items.select(*cols)
+            .join(known_o, F.col("order_id") == F.col("o"), "left")
+            .join(known_p, F.col("product_id") == F.col("p"), "left")
+            .select(*cols, F.explode(issues).alias("issue")))
 
 
 def category_match(order_items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """V4: an item's product must belong to its order's category."""
-    o = orders.select("order_id", F.col("category").alias("order_category"))
-    p = products.select("product_id", F.col("category").alias("product_category"))
+    o = orders.select("order_id", F.col("category").alias("order_category")).distinct()
+    p = products.select("product_id", F.col("category").alias("product_category")).distinct()
     return (order_items.select("item_id", "order_id", "product_id")
             .join(o, "order_id").join(p, "product_id")
             .filter(~F.col("order_category").eqNullSafe(F.col("product_category")))
@@ -75,7 +78,7 @@ def category_match(order_items: DataFrame, orders: DataFrame, products: DataFram
 
 def duplicate_keys(raw: dict[str, DataFrame]) -> DataFrame:
     """V5: keys that occur more than once, per table."""
-    parts = [df.groupBy(F.col(KEYS[t]).cast("long").alias("key_value"))
+    parts = [df.groupBy(F.col(KEYS[t]).cast("string").alias("key_value"))
              .agg(F.count(F.lit(1)).alias("n"))
              .filter(F.col("n") > 1)
              .select(F.lit(t).alias("table_name"), "key_value", "n")
@@ -84,16 +87,17 @@ def duplicate_keys(raw: dict[str, DataFrame]) -> DataFrame:
 
 
 def domains(raw: dict[str, DataFrame]) -> DataFrame:
-    """V6: value histogram of every domain-bound column, flagged in or out."""
+    """V6: value histogram of every domain-bound column, flagged in or out; one
+    pass per table, its checked columns as (column, value) pairs."""
     parts = []
-    for (t, c), allowed in DOMAINS.items():
-        if t in raw:
-            parts.append(raw[t].groupBy(F.col(c).alias("value"))
-                         .agg(F.count(F.lit(1)).alias("n"))
-                         .select(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"),
-                                 "value", "n",
-                                 F.coalesce(F.col("value").isin(*allowed), F.lit(False))
-                                  .alias("in_domain")))
+    for t in dict.fromkeys(t for t, _ in DOMAINS if t in raw):
+        own = {c: allowed for (u, c), allowed in DOMAINS.items() if u == t}
+        pairs = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value"),
+                                   F.coalesce(F.col(c).isin(*allowed), F.lit(False)).alias("in_domain"))
+                          for c, allowed in own.items()))
+        parts.append(raw[t].select(F.inline(pairs))
+                     .groupBy("column_name", "value", "in_domain").agg(F.count(F.lit(1)).alias("n"))
+                     .select(F.lit(t).alias("table_name"), "column_name", "value", "n", "in_domain"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -105,13 +109,17 @@ def bot_orders(orders: DataFrame, access_logs: DataFrame) -> DataFrame:
 
 
 def rejects(raw: dict[str, DataFrame]) -> DataFrame:
-    """V8: raw date/timestamp strings that would fail the strict silver cast."""
-    parts = []
+    """V8: raw date/timestamp strings that would fail the strict silver cast, and
+    the raw text of rows that are not well-formed CSV."""
+    parts = [df.filter(F.col(CORRUPT).isNotNull())
+             .select(F.lit(t).alias("table_name"), F.col(KEYS[t]).cast("string").alias("key_value"),
+                     F.lit(CORRUPT).alias("column_name"), F.col(CORRUPT).alias("raw_value"))
+             for t, df in raw.items() if CORRUPT in df.columns]
     for (t, c), typ in DATE_COLUMNS.items():
         if t in raw:
             v = F.col(c)
             parts.append(raw[t].filter(v.isNotNull() & v.try_cast(typ).isNull())
                          .select(F.lit(t).alias("table_name"),
-                                 F.col(KEYS[t]).cast("long").alias("key_value"),
+                                 F.col(KEYS[t]).cast("string").alias("key_value"),
                                  F.lit(c).alias("column_name"), v.alias("raw_value")))
     return reduce(DataFrame.unionByName, parts)

@@ -34,6 +34,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from shopmarts.sources.files import written
+
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 K1, B = 1.2, 0.75
 SCORE_TYPE = "decimal(20,12)"
@@ -42,7 +44,6 @@ MARGIN = 1e-6   # slack on every pruning test: float bounds never drop a true to
 # and for bounded writer memory per task (parquet buffers a whole row group).
 ROW_GROUP_BYTES = 16 << 20
 BUILD_FANOUT = 4
-ROWS_PER_TASK = 4_000_000
 
 
 # ---------------------------------------------------------------- R1 passages
@@ -140,16 +141,14 @@ class LexicalIndex:
 
     def search(self, queries: DataFrame, k: int = 5, query_id: str = "item_id",
                query_text: str = "text", seed_postings: int = 2000,
-               seed_pool: int = 4, split_ratio: float = 0.3,
-               max_pushed_terms: int = 4096) -> DataFrame:
+               seed_pool: int = 4, split_ratio: float = 0.3) -> DataFrame:
         """Exact BM25 top-k passages per query: (query_id, rank_no, doc_id, pos, score).
 
         ``seed_postings``, ``seed_pool`` and ``split_ratio`` (in (0, 1]) only tune
         the work; the result is the same for any value.  A smaller ``split_ratio``
         fans out more terms but lets fewer passages survive to the lookups.
-        When the batch has at most ``max_pushed_terms`` distinct terms (counted
-        first), they are pushed into the postings scan as ``term IN (...)``, so
-        an interactive search reads only the row groups holding its terms."""
+        The postings of the batch's terms are selected in one pass, by a join
+        with the written term table; the later steps read only those."""
         import uuid
         run_id = f"search_{uuid.uuid4().hex[:10]}"
         post, stats = self.postings, self.stats
@@ -163,10 +162,9 @@ class LexicalIndex:
                             f"{run_id}/qterms")
         key = ["qid", "doc_id", "pos"]
         best = Window.partitionBy("qid").orderBy(F.desc("s"), "doc_id", "pos")
-        terms = qterms.select("term").distinct().limit(max_pushed_terms + 1).collect()
-        if len(terms) <= max_pushed_terms:
-            # every join below needs postings of query terms only
-            post = post.filter(F.col("term").isin([r[0] for r in terms]))
+        # every join below needs postings of query terms only
+        post = self._keep(post.join(qterms.select("term").distinct(), "term", "left_semi"),
+                          f"{run_id}/postings")
 
         def contrib(p: DataFrame) -> DataFrame:
             return p.withColumn("c", (F.col("idf") * F.col("tfp")).cast(SCORE_TYPE))
@@ -215,13 +213,6 @@ class LexicalIndex:
 
         # (3) essential terms fan out; drop passages whose upper bound < theta
         fan = contrib(ess.join(post.select("term", "doc_id", "pos", "tfp"), "term"))
-        # The fan-out emits sum(df) rows over the essential terms (known from the
-        # small split table); give its aggregation enough tasks to keep each one
-        # to about ROWS_PER_TASK rows, whatever the session's default partitions.
-        emitted = ess.agg(F.sum("df")).first()[0] or 0
-        tasks = -(-emitted // ROWS_PER_TASK)
-        if tasks > int(self.postings.sparkSession.conf.get("spark.sql.shuffle.partitions")):
-            fan = fan.repartition(tasks, *key)
         es = fan.groupBy(*key).agg(F.sum("c").alias("es"))
         surv = self._keep(
             es.join(bound, "qid", "left")
@@ -239,7 +230,7 @@ class LexicalIndex:
             f"{run_id}/topk")
         # the result is written; the per-search tables are no longer needed
         from shopmarts.session import remove_path
-        for part in ("asked", "qterms", "theta", "split", "survivors"):
+        for part in ("asked", "qterms", "postings", "theta", "split", "survivors"):
             remove_path(result.sparkSession, f"{self.path}/{run_id}/{part}")
         return result
 
@@ -302,48 +293,50 @@ def label_centroids(embeddings: DataFrame, label: str = "label",
 def vector_topk(corpus: DataFrame, queries: DataFrame, k: int = 10, *,
                 corpus_id: str = "vec_id", corpus_vec: str = "embedding",
                 query_id: str = "query_id", query_vec: str = "vector",
-                max_values: int = 1 << 16) -> DataFrame:
+                block: int = 16, salts: int = 64, sample: int = 32) -> DataFrame:
     """Exact cosine top-k of every query against the whole corpus.
 
-    Queries are inlined into the plan in batches of at most ``max_values``
-    numbers (queries x dimensions), a size checked before any batch is built;
-    each batch is one scan of the corpus, and batches are unioned.  Every corpus
-    row scores all queries of its batch with JVM-side array arithmetic, then a
-    per-partition top-k per query (WindowGroupLimit) runs before the only
-    shuffle, so at most k rows per query and partition cross the network.
-    Query norms are computed once by Spark, not per corpus row."""
-    x = F.transform(F.col(corpus_vec), lambda v: v.cast("double"))
-    xn = _norm(x)
-
-    def scan(rows):
-        vecs = F.array(*[F.array(*[F.lit(float(v)) for v in r[1]]) for r in rows])
-        norms = F.array(*[F.lit(float(r[2])) for r in rows])
-        ids = F.array(*[F.lit(r[0]) for r in rows])
-        scores = F.transform(vecs, lambda q, i: _dot(q, x) / (F.element_at(norms, i + 1) * xn))
-        ex = corpus.select(F.col(corpus_id).alias("cid"),
-                           F.posexplode(scores).alias("qi", "score"))
-        w = Window.partitionBy("qi").orderBy(F.desc("score"), "cid")
-        top = ex.withColumn("rank_no", F.row_number().over(w)).filter(F.col("rank_no") <= k)
-        return top.select(F.element_at(ids, F.col("qi") + 1).alias(query_id), "rank_no",
-                          F.col("cid").alias(corpus_id), F.round("score", 6).alias("score"))
+    Queries are written as a table of blocks of about ``block`` vectors; each
+    corpus row is joined with every block (by block number and a salt that
+    spreads a block over ``salts`` keys) and scores a block's queries with
+    JVM-side array arithmetic, so plan and driver do not grow with the queries.
+    A first pass over one in ``sample`` corpus rows gives each query a score that
+    at least k rows reach; the full pass unpacks only scores not below it, which
+    loses none of the top k.
 
+    Null, empty and all-zero vectors have no cosine: such corpus rows are never a
+    hit and such queries have no rows in the result."""
     qv = F.transform(F.col(query_vec), lambda v: v.cast("double"))
-    prepared = queries.select(query_id, qv.alias("q"), _norm(qv).alias("qn"))
-    out, batch, limit = None, [], None
-    for row in prepared.toLocalIterator():
-        if limit is None:
-            limit = max(1, max_values // max(1, len(row[1])))
-        batch.append((row[0], row[1], row[2]))
-        if len(batch) == limit:
-            part = scan(batch)
-            out = part if out is None else out.unionByName(part)
-            batch = []
-    if batch:
-        part = scan(batch)
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        raise ValueError("empty query batch")
-    return out
+    q = queries.select(F.col(query_id).alias("qid"), qv.alias("q")).withColumn("qn", _norm(F.col("q")))
+    q = written(q.filter(F.col("qn") > 0), "vector_queries")
+    blocks = max(1, -(-q.count() // block))
+    q = q.withColumn("block", F.pmod(F.xxhash64("qid"), F.lit(blocks)).cast("int"))
+    x = F.transform(F.col(corpus_vec), lambda v: v.cast("double"))
+    rows = (corpus.select(F.col(corpus_id).alias("cid"), x.alias("x"))
+            .withColumn("xn", _norm(F.col("x"))).filter(F.col("xn") > 0)
+            .withColumn("salt", F.pmod(F.xxhash64("cid", "x"), F.lit(salts)).cast("int")))
+    best = Window.partitionBy("qid").orderBy(F.desc("score"), "cid")
+
+    def top(corpus_rows: DataFrame, query_rows: DataFrame) -> DataFrame:
+        packed = (query_rows.groupBy("block").agg(F.collect_list(F.struct("qid", "q", "qn", "least")).alias("qs"))
+                  .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
+        each = corpus_rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        scored = each.join(packed, ["block", "salt"])
+        scores = F.transform("qs", lambda s: F.struct(
+            s["qid"].alias("qid"), (_dot(s["q"], F.col("x")) / (s["qn"] * F.col("xn"))).alias("score"),
+            s["least"].alias("least")))
+        hits = F.filter(scores, lambda s: s["least"].isNull() | (s["score"] >= s["least"]))
+        return (scored.select("cid", F.inline(hits)).select("cid", "qid", "score")
+                .withColumn("rank_no", F.row_number().over(best)).filter(F.col("rank_no") <= k))
+
+    some = rows.filter(F.pmod(F.xxhash64(F.lit(1), "cid", "x"), F.lit(sample)) == 0)
+    first = top(some, q.withColumn("least", F.lit(None).cast("double")))
+    least = (first.groupBy("qid").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("s"))
+             .select("qid", F.when(F.col("n") >= k, F.col("s")).alias("least")))
+    bounded = written(q.join(least, "qid", "left"), "vector_bounds")
+    return top(rows, bounded).select(
+        F.col("qid").alias(query_id), "rank_no", F.col("cid").alias(corpus_id),
+        F.round("score", 6).alias("score"))
 
 
 def centroid_topk(embeddings: DataFrame, k: int = 10) -> DataFrame:

@@ -2,15 +2,15 @@
 catalog view built from them (Q15).
 
 Comments live in the metastore.  An overwrite drops them, so ``apply_comments``
-runs after every pipeline write; a failing statement is only warned about.
+runs after every pipeline write; failing statements are raised.
 """
 
 from __future__ import annotations
 
-import warnings
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 # The semantic-layer comments of the gold marts (table comment,
@@ -36,7 +36,7 @@ COMMENTS = {
             "segment": "顧客セグメント（優良顧客、成長顧客、休眠予備軍、離脱リスク）。「ゴールド会員」は優良顧客の社内呼称。",
         }),
     "gold_cart_abandonment": (
-        "月別・カテゴリ別のカゴ落ち率。カートに入れたが購入しなかった割合。",
+        "月別・カテゴリ別のカゴ落ち率。全セッションのうち離脱（abandon）で終わった割合。",
         {
             "abandonment_rate": "カゴ落ち率（%）。高いほど離脱が多い。「バスケット落ち」と同義。",
         }),
@@ -86,16 +86,20 @@ def comment_statements(database: str) -> list[str]:
     return out
 
 
-def apply_comments(spark: SparkSession, database: str) -> int:
-    """Run every comment statement; warn (do not fail) on errors.  Returns #applied."""
-    ok = 0
+def apply_comments(spark: SparkSession, database: str, strict: bool = True) -> dict[str, str]:
+    """Run every comment statement; returns the failed ones with their errors.
+
+    All statements are tried; with ``strict`` a failure is raised in the end, so
+    no run reports success with half a semantic layer."""
+    failed: dict[str, str] = {}
     for stmt in comment_statements(database):
         try:
             spark.sql(stmt)
-            ok += 1
-        except Exception as e:  # a missing table must not stop the others
-            warnings.warn(f"comment failed: {stmt[:60]}... -> {e}")
-    return ok
+        except AnalysisException as e:
+            failed[stmt] = str(e)
+    if failed and strict:
+        raise RuntimeError(f"{len(failed)} comments failed, first: {next(iter(failed.items()))}")
+    return failed
 
 
 def table_catalog(spark: SparkSession, database: str, tables=None) -> DataFrame:

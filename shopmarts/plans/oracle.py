@@ -40,7 +40,7 @@ FROM orders""")
 cte("b_order_items", """
 SELECT item_id, order_id, product_id, quantity,
        CAST(CASE WHEN quantity <> 0 THEN subtotal // quantity END AS INTEGER) AS unit_price, subtotal
-FROM (SELECT ((l_orderkey * 100000 + l_partkey) * 10000 + l_suppkey) * 10 + l_linenumber AS item_id,
+FROM (SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS item_id,
              l_orderkey AS order_id, l_partkey AS product_id,
              CAST(trunc(l_quantity) AS INTEGER) AS quantity,
              CAST(floor(l_extendedprice / 10) AS INTEGER) AS subtotal
@@ -288,41 +288,69 @@ SELECT {_MONTH.format(c='period')} AS month,
 FROM g_access_summary""", "g_access_summary")
 
 # ---------------------------------------------------------------- data quality
+cte("f_items", """
+SELECT item_id, order_id, product_id, quantity, unit_price,
+       CASE WHEN order_id % 7 = 0 THEN subtotal ELSE unit_price * quantity END AS subtotal
+FROM b_order_items""", "b_order_items")
+cte("f_order_items", """
+SELECT item_id, CASE WHEN order_id % 97 = 0 THEN -order_id ELSE order_id END AS order_id,
+       CASE WHEN product_id % 97 = 0 THEN -product_id ELSE product_id END AS product_id,
+       quantity, unit_price, subtotal FROM f_items""", "f_items")
+cte("f_orders_once", """
+SELECT o.order_id, user_id,
+       CASE WHEN o.order_id % 89 = 0 THEN order_date || '?' ELSE order_date END AS order_date, status,
+       CAST(CASE WHEN o.order_id % 7 = 0 THEN total_amount ELSE items END AS INTEGER) AS total_amount,
+       channel, 'cat' || CAST(o.order_id % 8 AS VARCHAR) AS category
+FROM b_orders o LEFT JOIN (SELECT order_id, sum(subtotal) AS items FROM f_items GROUP BY order_id) s
+  ON o.order_id = s.order_id""", "b_orders", "f_items")
+cte("f_orders", """
+SELECT * FROM f_orders_once UNION ALL SELECT * FROM f_orders_once WHERE order_id % 251 = 0""",
+    "f_orders_once")
+cte("f_products", """
+SELECT * REPLACE ('cat' || CAST(product_id % 8 AS VARCHAR) AS category) FROM b_products""", "b_products")
+cte("f_users", "SELECT * FROM b_users UNION ALL SELECT * FROM b_users WHERE user_id % 251 = 0", "b_users")
+cte("f_sessions", """
+SELECT * REPLACE (CASE WHEN session_id % 89 = 0 THEN session_date || '?' ELSE session_date END
+                  AS session_date) FROM b_sessions""", "b_sessions")
+cte("f_access_logs", """
+SELECT * REPLACE (CASE WHEN access_id % 89 = 0 THEN timestamp || '?' ELSE timestamp END AS timestamp)
+FROM b_access_logs""", "b_access_logs")
 oracle("dq_item_subtotal", """
 SELECT item_id, order_id, quantity, unit_price, subtotal,
        CAST(unit_price AS BIGINT) * quantity AS expected_subtotal
-FROM s_order_items WHERE subtotal IS DISTINCT FROM CAST(unit_price AS BIGINT) * quantity""",
-       "s_order_items")
+FROM f_order_items WHERE subtotal IS DISTINCT FROM CAST(unit_price AS BIGINT) * quantity""",
+       "f_order_items")
 oracle("dq_order_total", """
 SELECT * FROM (
   SELECT coalesce(o.order_id, i.order_id) AS order_id, o.total_amount, i.item_total,
          CASE WHEN o.total_amount IS NULL AND i.item_total IS NOT NULL THEN 'no_order'
               WHEN i.item_total IS NULL THEN 'no_items'
               WHEN o.total_amount <> i.item_total THEN 'mismatch' END AS issue
-  FROM s_orders o
+  FROM f_orders o
   FULL OUTER JOIN (SELECT order_id, CAST(sum(subtotal) AS BIGINT) AS item_total
-                   FROM s_order_items GROUP BY order_id) i ON o.order_id = i.order_id)
-WHERE issue IS NOT NULL""", "s_orders", "s_order_items")
+                   FROM f_order_items GROUP BY order_id) i ON o.order_id = i.order_id)
+WHERE issue IS NOT NULL""", "f_orders", "f_order_items")
 oracle("dq_orphans", """
-SELECT item_id, order_id, product_id, 'unknown_order' AS issue FROM s_order_items i
-WHERE NOT EXISTS (SELECT 1 FROM s_orders o WHERE o.order_id = i.order_id)
+SELECT item_id, order_id, product_id, 'unknown_order' AS issue FROM f_order_items i
+WHERE NOT EXISTS (SELECT 1 FROM f_orders o WHERE o.order_id = i.order_id)
 UNION ALL
-SELECT item_id, order_id, product_id, 'unknown_product' AS issue FROM s_order_items i
-WHERE NOT EXISTS (SELECT 1 FROM s_products p WHERE p.product_id = i.product_id)""",
-       "s_order_items", "s_orders", "s_products")
+SELECT item_id, order_id, product_id, 'unknown_product' AS issue FROM f_order_items i
+WHERE NOT EXISTS (SELECT 1 FROM f_products p WHERE p.product_id = i.product_id)""",
+       "f_order_items", "f_orders", "f_products")
 oracle("dq_category_match", """
 SELECT i.item_id, i.order_id, i.product_id, o.category AS order_category,
        p.category AS product_category
-FROM s_order_items i JOIN s_orders o ON i.order_id = o.order_id
-JOIN s_products p ON i.product_id = p.product_id
-WHERE o.category IS DISTINCT FROM p.category""", "s_order_items", "s_orders", "s_products")
+FROM f_order_items i JOIN (SELECT DISTINCT order_id, category FROM f_orders) o
+  ON i.order_id = o.order_id
+JOIN f_products p ON i.product_id = p.product_id
+WHERE o.category IS DISTINCT FROM p.category""", "f_order_items", "f_orders", "f_products")
 oracle("dq_duplicate_keys", " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, CAST({k} AS BIGINT) AS key_value, count(*) AS n "
-    f"FROM b_{t} GROUP BY {k} HAVING count(*) > 1"
+    f"SELECT '{t}' AS table_name, CAST({k} AS VARCHAR) AS key_value, count(*) AS n "
+    f"FROM f_{t} GROUP BY {k} HAVING count(*) > 1"
     for t, k in (("users", "user_id"), ("products", "product_id"), ("orders", "order_id"),
                  ("order_items", "item_id"), ("sessions", "session_id"),
                  ("access_logs", "access_id"))),
-       "b_users", "b_products", "b_orders", "b_order_items", "b_sessions", "b_access_logs")
+       "f_users", "f_products", "f_orders", "f_order_items", "f_sessions", "f_access_logs")
 _DOM = (("orders", "status", "'completed', 'cancelled', 'returned'"),
         ("orders", "channel", "'web', 'mobile', 'app'"),
         ("sessions", "event_type", "'view', 'add_to_cart', 'purchase', 'abandon'"),
@@ -337,13 +365,13 @@ SELECT order_id, user_id, status, order_date FROM s_orders o
 WHERE EXISTS (SELECT 1 FROM s_access_logs a WHERE a.threat_type = 'bot' AND a.user_id = o.user_id)""",
        "s_orders", "s_access_logs")
 oracle("dq_rejects", " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, CAST({k} AS BIGINT) AS key_value, '{c}' AS column_name, "
-    f"{c} AS raw_value FROM b_{t} WHERE {c} IS NOT NULL AND TRY_CAST({c} AS {typ}) IS NULL"
+    f"SELECT '{t}' AS table_name, CAST({k} AS VARCHAR) AS key_value, '{c}' AS column_name, "
+    f"{c} AS raw_value FROM f_{t} WHERE {c} IS NOT NULL AND TRY_CAST({c} AS {typ}) IS NULL"
     for t, k, c, typ in (("users", "user_id", "registration_date", "DATE"),
                          ("orders", "order_id", "order_date", "DATE"),
                          ("sessions", "session_id", "session_date", "DATE"),
                          ("access_logs", "access_id", "timestamp", "TIMESTAMP"))),
-       "b_users", "b_orders", "b_sessions", "b_access_logs")
+       "f_users", "f_orders", "f_sessions", "f_access_logs")
 
 # ---------------------------------------------------------------- sinks, pipeline
 oracle("table_roundtrip", "SELECT * FROM g_user_risk", "g_user_risk")

@@ -19,6 +19,7 @@ import posixpath
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopmarts.operators import marts, silver
 from shopmarts.plans import catalog
@@ -30,13 +31,23 @@ SILVER_PARTITIONS = {"orders": ["ym"], "sessions": ["ym"], "access_logs": ["ym"]
 COUNT_SCHEMA = "layer string, table_name string, row_count bigint"
 
 
-def raw_from_csv(spark: SparkSession, src_dir: str,
-                 schemas: dict | None = None) -> dict[str, DataFrame]:
+def raw_from_csv(spark: SparkSession, src_dir: str, schemas: dict | None = None,
+                 keep_corrupt: bool = True) -> dict[str, DataFrame]:
     """The six raw CSV files of ``src_dir`` with their explicit schemas
-    (the raw-file schemas unless ``schemas`` overrides some of them)."""
+    (the raw-file schemas unless ``schemas`` overrides some of them).
+
+    A malformed row's raw text is kept beside it, for ``quality.rejects``; the
+    bronze tables hold only rows that parsed."""
     schemas = {**RAW_SCHEMAS, **(schemas or {})}
-    return {t: files.read_csv(spark, posixpath.join(src_dir, f"{t}.csv"), schemas[t])
-            for t in RAW_TABLES}
+    return {t: files.read_csv(spark, posixpath.join(src_dir, f"{t}.csv"), schemas[t],
+                              keep_corrupt=keep_corrupt) for t in RAW_TABLES}
+
+
+def parsed(raw: DataFrame) -> DataFrame:
+    """The rows of a raw table that are well formed, without the raw text."""
+    if files.CORRUPT not in raw.columns:
+        return raw
+    return raw.filter(F.col(files.CORRUPT).isNull()).drop(files.CORRUPT)
 
 
 def create_database(spark: SparkSession, database: str, location: str) -> None:
@@ -73,7 +84,7 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], database: str,
         with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
             counts.extend(pool.map(lambda j: save(*j), jobs))
 
-    wave([("bronze", t, raw[t]) for t in RAW_TABLES])
+    wave([("bronze", t, parsed(raw[t])) for t in RAW_TABLES])
     wave([("silver", t, silver.SILVER[t](spark.table(f"{database}.bronze_{t}")),
            SILVER_PARTITIONS.get(t) if partition_silver else None) for t in RAW_TABLES])
 

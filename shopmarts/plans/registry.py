@@ -16,10 +16,9 @@ from shopmarts.operators import evalstats as E
 from shopmarts.operators import quality as V
 from shopmarts.operators import questions as Q
 from shopmarts.operators import retrieval as R
-from shopmarts.plans import catalog as C
 from shopmarts.plans import pipeline as PL
 from shopmarts.plans.shop import Shop
-from shopmarts.session import shared_path
+from shopmarts.session import default_parallelism, shared_path
 from shopmarts.sources import adapters as A
 from shopmarts.sources import files
 from shopmarts.sources.tables import DriverTables
@@ -95,16 +94,24 @@ _q(lambda s: P.presented_threats(s.access_summary()))("presented_threats")
 
 # ---------------------------------------------------------------- data quality
 
-_q(lambda s: V.item_subtotal(s.silver["order_items"]))("dq_item_subtotal")
-_q(lambda s: V.order_total(s.silver["orders"], s.silver["order_items"]))("dq_order_total")
-_q(lambda s: V.orphans(s.silver["order_items"], s.silver["orders"], s.silver["products"]))(
-    "dq_orphans")
-_q(lambda s: V.category_match(s.silver["order_items"], s.silver["orders"],
-                              s.silver["products"]))("dq_category_match")
-_q(lambda s: V.duplicate_keys(s.raw))("dq_duplicate_keys")
+
+
+def _checked(fn):
+    """A check over the raw shapes with faults that follow from their keys."""
+    def deco(name):
+        QUERIES[name] = lambda spark, sf_dir: fn(A.with_faults(_shop(spark, sf_dir).raw))
+    return deco
+
+
+_checked(lambda r: V.item_subtotal(r["order_items"]))("dq_item_subtotal")
+_checked(lambda r: V.order_total(r["orders"], r["order_items"]))("dq_order_total")
+_checked(lambda r: V.orphans(r["order_items"], r["orders"], r["products"]))("dq_orphans")
+_checked(lambda r: V.category_match(r["order_items"], r["orders"], r["products"]))(
+    "dq_category_match")
+_checked(V.duplicate_keys)("dq_duplicate_keys")
 _q(lambda s: V.domains(s.raw))("dq_domains")
 _q(lambda s: V.bot_orders(s.silver["orders"], s.silver["access_logs"]))("dq_bot_orders")
-_q(lambda s: V.rejects(s.raw))("dq_rejects")
+_checked(V.rejects)("dq_rejects")
 
 # ---------------------------------------------------------------- sinks, pipeline, catalog
 
@@ -119,17 +126,6 @@ def _medallion_row_counts(spark, sf_dir):
     return PL.run_pipeline(spark, _shop(spark, sf_dir).raw, _fresh_database())
 
 
-def _piped_catalog(spark, sf_dir):
-    db = _fresh_database()
-    PL.run_pipeline(spark, _shop(spark, sf_dir).raw, db)
-    return C.table_catalog(spark, db)
-
-
-register("table_catalog")(_piped_catalog)
-register("catalog_search")(
-    lambda spark, sf_dir: C.search_catalog(_piped_catalog(spark, sf_dir), "同義"))
-
-
 @register("table_roundtrip")
 def _table_roundtrip(spark, sf_dir):
     """Mart -> parquet table in the shared folder -> named-table scan."""
@@ -153,11 +149,6 @@ def _schema_evolution_overwrite(spark, sf_dir):
     return spark.table(f"{db}.gold_monthly_sales")
 
 
-@register("document_inventory")
-def _document_inventory(spark, sf_dir):
-    """File listing (name, size) of the data folder, gated on a minimum count."""
-    return files.require_documents(files.document_inventory(spark, sf_dir, "*.parquet"), 10)
-
 # ---------------------------------------------------------------- retrieval
 
 
@@ -206,9 +197,9 @@ def _pass_rate_stream(spark, sf_dir):
     """Verdicts land as files in the shared folder; the streaming monitor
     consumes all of them in micro-batches and publishes per-judge pass rates."""
     base = shared_path(spark, "stream", unique=True)
-    _verdicts(spark, sf_dir).repartition(8).write.parquet(f"{base}/in")
+    _verdicts(spark, sf_dir).write.parquet(f"{base}/in")
     out = M.run_until_caught_up(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt",
-                                files_per_trigger=2)
+                                files_per_trigger=max(1, default_parallelism(spark)))
     # one-shot run: the landed files and the stream's state are not needed any more
     from shopmarts.session import remove_path
     for part in ("in", "ckpt"):
@@ -221,6 +212,8 @@ def _customer_360_colocated(spark, sf_dir):
     """Q11 over pipeline tables bucketed by user id: the joins read co-located
     buckets instead of shuffling the user dimension and both marts."""
     db = _fresh_database()
-    PL.run_pipeline(spark, _shop(spark, sf_dir).raw, db, comments=False, user_buckets=8)
+    # as many buckets as a shuffle of the session would have partitions
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    PL.run_pipeline(spark, _shop(spark, sf_dir).raw, db, comments=False, user_buckets=buckets)
     return PL.customer_360_from_tables(spark, db)
 _q(lambda s: P.presented_threat_events(s.threat_events()))("presented_threat_events")

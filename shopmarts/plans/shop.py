@@ -63,13 +63,3 @@ class Shop:
 
     def user_risk(self) -> DataFrame:
         return marts.user_risk(self.silver["access_logs"], self.silver["users"])
-
-    def gold(self) -> dict[str, DataFrame]:
-        return {
-            "monthly_sales": self.monthly_sales(),
-            "customer_rfm": self.customer_rfm(),
-            "cart_abandonment": self.cart_abandonment(),
-            "access_summary": self.access_summary(),
-            "threat_events": self.threat_events(),
-            "user_risk": self.user_risk(),
-        }

@@ -71,8 +71,8 @@ def orders(orders_t: DataFrame) -> DataFrame:
 
 
 def order_items(lineitem: DataFrame) -> DataFrame:
-    item_id = (((F.col("l_orderkey") * 100000 + F.col("l_partkey")) * 10000
-                + F.col("l_suppkey")) * 10 + F.col("l_linenumber"))
+    # a delimited text: distinct for keys of any width
+    item_id = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     return (lineitem.select(
                 item_id.alias("item_id"),
                 F.col("l_orderkey").alias("order_id"),
@@ -85,7 +85,7 @@ def order_items(lineitem: DataFrame) -> DataFrame:
                     "subtotal"))
 
 
-def shifted_ts(events: DataFrame | None = None) -> Column:
+def shifted_ts() -> Column:
     """Event time moved by 30 days x ((event_id div 7) % 24): 24 months of data."""
     steps = F.expr(f"CAST((event_id div 7) % {MONTH_SPREAD} AS INT)")
     return F.col("ts") + F.make_dt_interval(days=steps * DAYS_PER_STEP)
@@ -135,6 +135,54 @@ def from_driver(t) -> dict[str, DataFrame]:
     }
 
 
+# ---------------------------------------------------------------- faulty shapes
+# Fixed values of the fault rules (chosen by us, mirrored in the SQL oracle).
+REPEAT_EVERY = 251        # keys divisible by this occur twice
+LOST_EVERY = 97           # references divisible by this point nowhere
+BAD_DATE_EVERY = 89       # keys divisible by this have an unparsable date
+WRONG_EVERY = 7           # orders divisible by this keep totals and items that differ
+N_CATEGORIES = 8
+
+
+def with_faults(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The raw shapes as input of the quality checks: consistent but for faults
+    that follow from the rows' own keys.
+
+    Categories are ``cat0`` .. ``cat7`` by order and product key, items' subtotals
+    are quantity times unit price and orders' totals the sum of their items,
+    except in orders divisible by ``WRONG_EVERY``; some keys occur twice, some
+    references point nowhere, some dates do not parse."""
+    def category(key):
+        return F.concat(F.lit("cat"), (F.col(key) % N_CATEGORIES).cast("string"))
+
+    def twice(df, key):
+        return df.unionByName(df.filter(F.col(key) % REPEAT_EVERY == 0))
+
+    def bad_date(key, col):
+        return F.when(F.col(key) % BAD_DATE_EVERY == 0, F.concat(F.col(col), F.lit("?"))
+                      ).otherwise(F.col(col))
+
+    wrong = F.col("order_id") % WRONG_EVERY == 0
+    items = raw["order_items"].withColumn("subtotal", F.when(wrong, F.col("subtotal")).otherwise(
+        F.col("unit_price") * F.col("quantity")))
+    sums = items.groupBy(F.col("order_id").alias("of")).agg(F.sum("subtotal").alias("items"))
+    orders = raw["orders"].join(sums, F.col("order_id") == F.col("of"), "left").withColumn(
+        "total_amount", F.when(wrong, F.col("total_amount")).otherwise(F.col("items"))
+        .cast("int")).drop("of", "items")
+    orders = orders.withColumns({"category": category("order_id"),
+                                 "order_date": bad_date("order_id", "order_date")})
+    lost = lambda c: F.when(F.col(c) % LOST_EVERY == 0, -F.col(c)).otherwise(F.col(c))
+    items = items.withColumns({"order_id": lost("order_id"), "product_id": lost("product_id")})
+    return {
+        "users": twice(raw["users"], "user_id"),
+        "products": raw["products"].withColumn("category", category("product_id")),
+        "orders": twice(orders, "order_id"),
+        "order_items": items,
+        "sessions": raw["sessions"].withColumn("session_date", bad_date("session_id", "session_date")),
+        "access_logs": raw["access_logs"].withColumn("timestamp", bad_date("access_id", "timestamp")),
+    }
+
+
 # ---------------------------------------------------------------- evaluation shapes
 SPAN_STEP_MS = 1000   # a turn starts every second; it lasts one ms per character
 

@@ -7,8 +7,20 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from shopmarts.session import shared_path
+
 CORRUPT = "_corrupt_record"
 
+# One dialect for reading and writing: quotes are doubled inside quotes, line
+# breaks may stand inside quotes, nothing is trimmed, and only an unquoted empty
+# field is null.
+DIALECT = {"header": "true", "encoding": "UTF-8", "quote": '"', "escape": '"',
+           "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# What the parser puts for an unquoted empty field, so that a quoted one can differ.
+NO_VALUE = "\x01"
+# A file with quoted line breaks is read by one task, so files stay this short.
+ROWS_PER_FILE = 500_000
+
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, *,
              keep_corrupt: bool = False) -> DataFrame:
@@ -17,13 +29,15 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, *,
     ``enforceSchema=false`` checks each file's header against the schema, so a
     reordered header raises instead of silently shifting position-bound columns.
     With ``keep_corrupt`` a malformed row keeps its raw text in ``_corrupt_record``
-    (PERMISSIVE mode) so quality checks can report it.
+    (PERMISSIVE mode) so quality checks can report it.  Quoted line breaks are
+    part of a value (``multiLine``): a file is read by one task, so large inputs
+    should come as many files, as ``write_csv`` makes them.
     """
     if keep_corrupt:
         schema = StructType(list(schema.fields) + [StructField(CORRUPT, StringType())])
     r = (spark.read.format("csv")
-         .option("header", "true")
-         .option("encoding", "UTF-8")
+         .options(**DIALECT, emptyValue="", nullValue=NO_VALUE)
+         .option("multiLine", "true")
          .option("enforceSchema", "false")
          .option("mode", "PERMISSIVE")
          .schema(schema))
@@ -33,8 +47,18 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, *,
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Distributed header CSV write, one file per partition, overwrite."""
-    df.write.mode("overwrite").option("header", "true").option("encoding", "UTF-8").csv(path)
+    """Distributed header CSV write, overwrite; values come back as they were
+    (line breaks, quotes, backslashes, padding, empty against null)."""
+    (df.write.mode("overwrite").options(**DIALECT, emptyValue='""', nullValue="")
+     .option("maxRecordsPerFile", ROWS_PER_FILE).csv(path))
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as Parquet under the shared folder and read back, so that
+    several readers share one computation and a lost executor costs a reread."""
+    path = shared_path(df.sparkSession, "steps", label, unique=True)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_counted(df: DataFrame, writer) -> int:
@@ -63,24 +87,15 @@ def save_table(df: DataFrame, name: str, *, path: str | None = None,
             w = w.partitionBy(*partition_by)
         if bucket_by:
             n, cols = bucket_by
+            # one task per bucket, so one file per bucket
+            w = d.repartition(n, *cols).write.format(fmt).mode("overwrite")
+            w = w.option("path", path) if path else w
             w = w.bucketBy(n, *cols).sortBy(*cols)
         w.saveAsTable(name)
 
     return write_counted(df, writer)
 
 
-def write_parquet(df: DataFrame, path: str, partition_by=None) -> int:
-    def writer(d: DataFrame) -> None:
-        if partition_by:
-            d = d.hint("rebalance", *partition_by)
-        w = d.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-
-    return write_counted(df, writer)
-
-
 def document_inventory(spark: SparkSession, path: str, glob: str = "*.pdf") -> DataFrame:
     """File listing (name, size) of a folder; the file contents are never read.
 

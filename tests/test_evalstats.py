@@ -58,8 +58,14 @@ def test_call_profile_chunked_equals_whole_trace(spark):
     spans = spark.createDataFrame(
         rows, "trace_id string, span_id int, agent string, start_ms long, end_ms long")
     whole = sorted(map(tuple, E.trace_call_profile(spans).collect()))
-    chunked = sorted(map(tuple, E.trace_call_profile(spans, chunk_rows=4).collect()))
-    assert whole == chunked
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        chunked = sorted(map(tuple, E.trace_call_profile(spans).collect()))
+        pieces = E.ordered_pieces(spans, ["trace_id"], ["start_ms", "span_id"], "test")
+        split = pieces.filter("trace_id = 't0'").select("piece").distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert whole == chunked and split > 3     # the large trace lies in several pieces
     # and against a direct definition
     by = {}
     for r in rows:
@@ -74,3 +80,20 @@ def test_call_profile_chunked_equals_whole_trace(spark):
             mx = r[4] if mx is None else max(mx, r[4])
     got = {(r[0], r[1], r[6], r[7], r[8]) for r in chunked}
     assert got == want
+
+
+def test_percentiles_equal_the_direct_definition_on_any_split(spark):
+    import random
+    rnd = random.Random(11)
+    rows = [(f"t{i % 9}", i, f"a{i % 2}", 0, rnd.choice([1, 5, 5, 7, 900, i])) for i in range(101)]
+    spans = spark.createDataFrame(
+        rows, "trace_id string, span_id int, agent string, start_ms long, end_ms long")
+    got = {r.agent: r for r in E.latency_profile(spans).collect()}
+    for a in ("a0", "a1"):
+        d = sorted(r[4] for r in rows if r[2] == a)
+        for q, v in ((0.5, got[a].p50_ms), (0.95, got[a].p95_ms)):
+            place = q * (len(d) - 1)
+            low = d[int(place)]
+            high = d[min(int(place) + 1, len(d) - 1)]
+            assert abs(v - (low + (place - int(place)) * (high - low))) < 1e-6
+        assert (got[a].calls, got[a].max_ms) == (len(d), d[-1])

@@ -50,7 +50,7 @@ def test_planted_rows_are_found(spark):
     assert {(r.item_id, r.issue) for r in c["orphans"].collect()} == \
         {(4, "unknown_order"), (5, "unknown_product")}
     assert 6 in {r.item_id for r in c["category"].collect()}
-    assert {(r.table_name, r.key_value) for r in c["dupes"].collect()} == {("orders", 2)}
+    assert {(r.table_name, r.key_value) for r in c["dupes"].collect()} == {("orders", "2")}
     assert [r.order_id for r in c["bots"].collect()] == [4]
     assert [(r.table_name, r.raw_value) for r in c["rejects"].collect()] == \
         [("orders", "2024-13-01")]

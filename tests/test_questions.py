@@ -112,3 +112,16 @@ def test_presentation_orders_and_labels(spark):
     got = [(r.period, r.src_addr, r.threat) for r in P.presented_threat_events(te).collect()]
     assert got == [("2025-10", "c", "BOTアクセス"), ("2025-11", "b", "不正購入試行"),
                    ("2025-11", "a", "BOTアクセス")]
+
+
+def test_reports_come_in_their_stated_order(spark):
+    from shopmarts.plans.registry import QUERIES
+    from tests.conftest import SF_SMALL
+
+    keys = {"presented_sales": lambda r: (r.ym, r.category),
+            "presented_risk": lambda r: (-r.rsk_val, r.usr_ref),
+            "presented_threats": lambda r: (r.period, r.thr_cls, r.tz_band),
+            "presented_threat_events": lambda r: (r.period, -r.evt_cnt, r.thr_cls, r.src_addr)}
+    for name, key in keys.items():
+        got = [key(r) for r in QUERIES[name](spark, SF_SMALL).collect()]
+        assert len(got) > 1 and got == sorted(got), name

@@ -117,16 +117,37 @@ def test_vector_topk_batches(spark):
     queries = spark.createDataFrame([(q, [1.0, float(q), 0.5]) for q in range(7)],
                                     "query_id long, vector array<double>")
     one = sorted(map(tuple, R.vector_topk(corpus, queries, 3).collect()))
-    many = sorted(map(tuple, R.vector_topk(corpus, queries, 3, max_values=6).collect()))
+    many = sorted(map(tuple, R.vector_topk(corpus, queries, 3, block=2, salts=3, sample=4).collect()))
     assert one == many and len(one) == 21
 
 
+def test_vectors_without_a_cosine_are_left_out(spark):
+    corpus = spark.createDataFrame(
+        [(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [0.5, 0.5]), (5, [])],
+        "vec_id long, embedding array<float>")
+    queries = spark.createDataFrame([(7, [2.0, 0.0]), (8, [0.0, 0.0]), (9, None)],
+                                    "query_id long, vector array<double>")
+    got = sorted((r.query_id, r.rank_no, r.vec_id) for r in R.vector_topk(corpus, queries, 3).collect())
+    assert got == [(7, 1, 1), (7, 2, 4)]
+
+
+def test_vector_plan_does_not_grow_with_the_queries(spark):
+    corpus = spark.createDataFrame([(1, [1.0, 0.0])], "vec_id long, embedding array<float>")
+
+    def size(n):
+        queries = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(n)],
+                                        "query_id long, vector array<double>")
+        return R.vector_topk(corpus, queries)._jdf.queryExecution().optimizedPlan().toString().count("\n")
+
+    assert size(2) == size(300)
+
+
 def test_pruning_knobs_never_change_results(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     qs = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
     idx = R.LexicalIndex.build(docs)
     want = sorted(map(tuple, _naive(docs, qs, 3).collect()))
-    for ratio, seeds, pool, push in [(1.0, 2000, 4, 0), (0.3, 50, 1, 4096), (0.0, 1, 2, 0)]:
+    for ratio, seeds, pool in [(1.0, 2000, 4), (0.3, 50, 1), (0.0, 1, 2)]:
         got = sorted(map(tuple, idx.search(qs, 3, split_ratio=ratio, seed_postings=seeds,
-                                           seed_pool=pool, max_pushed_terms=push).collect()))
+                                           seed_pool=pool).collect()))
         assert got == want, (ratio, seeds, pool, push)

@@ -45,6 +45,36 @@ def test_csv_roundtrip_keeps_rows(spark):
     assert files.read_csv(spark, path, ORDERS).collect() == raw["orders"].collect()
 
 
+def test_csv_values_come_back_as_they_were(spark):
+    values = ["plain", "two\nlines", 'quo"te', '"whole"', "back\\slash", "tail\\", "", None, "  padded ",
+              "comma, here", "tab\there", "'", '""', "日本 é"]
+    raw = raw_frames(spark, orders=[order(i, 1, "2025-01-01", category=v)
+                                    for i, v in enumerate(values)])["orders"]
+    path = shared_path(spark, "test_csv", unique=True)
+    files.write_csv(raw, path)
+    got = {r.order_id: r.category for r in files.read_csv(spark, path, ORDERS).collect()}
+    assert got == dict(enumerate(values))
+
+
+def test_malformed_rows_are_reported_and_kept_out_of_bronze(spark, tmp_path):
+    from shopmarts.operators import quality
+    body = HEADER + "\n1,10,2025-01-01,completed,100,web,a\nx4,13,2025-01-04,completed,400,web,b\n"
+    df = files.read_csv(spark, _write(tmp_path, "o.csv", body), ORDERS, keep_corrupt=True)
+    assert [r.order_id for r in PL.parsed(df).collect()] == [1]
+    bad = quality.rejects({"orders": df}).collect()
+    assert [(r.table_name, r.column_name) for r in bad] == [("orders", files.CORRUPT)]
+    assert bad[0].raw_value.startswith("x4,13")
+
+
+def test_item_ids_stay_distinct_for_wide_keys(spark):
+    from shopmarts.sources import adapters
+    rows = [(10 ** 12, 10 ** 9, 1, 1), (1, 100001, 1, 1), (2, 1, 1, 1), (1, 1, 1, 1)]
+    df = spark.createDataFrame([(*r, 1.0, 10.0) for r in rows],
+                               "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int,"
+                               " l_quantity double, l_extendedprice double")
+    assert adapters.order_items(df).select("item_id").distinct().count() == 4
+
+
 def test_pipeline_end_to_end_from_csv(spark):
     raw = raw_frames(spark, users=[user(1), user(2, age=25)],
                      products=[(1, "p", "食品", 100, 50)],
