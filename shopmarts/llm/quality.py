@@ -28,19 +28,18 @@ def text_features(texts: list[str | None]) -> np.ndarray:
     n = len(texts)
     ones, pairs = np.zeros((n, 128)), np.zeros((n, N_PAIRS))
     size, upper, n_words, word_bytes = (np.zeros(n) for _ in range(4))
-    for _, word_text, w in hashed_blocks(texts, lower=False):
-        if not len(w.start):
-            continue
-        # each byte belongs to the word before it, so spaces count too
-        bounds = np.append(w.start, len(w.data))
-        bounds[0] = 0
-        of = np.repeat(word_text, np.diff(bounds))
+    for piece_text, word_text, w in hashed_blocks(texts, lower=False):
         d = w.data
+        # every byte of a text, but not the breaks that stand between texts
+        own = np.ones(len(d), bool)
+        own[w.piece_ends[:-1] - 1] = False
+        of = np.repeat(piece_text, np.diff(np.concatenate([[0], w.piece_ends])))[:len(d)]
         low = np.minimum(d, 127).astype(np.int64)
-        ones += np.bincount(of * 128 + low, minlength=n * 128).reshape(n, 128)
+        ones += np.bincount(of[own] * 128 + low[own], minlength=n * 128).reshape(n, 128)
         pair = (d[:-1].astype(np.int64) * 31 + d[1:]) % N_PAIRS
-        pairs += np.bincount(of[:-1] * N_PAIRS + pair, minlength=n * N_PAIRS).reshape(n, N_PAIRS)
-        size += np.bincount(of, minlength=n)
+        both = own[:-1] & own[1:]
+        pairs += np.bincount(of[:-1][both] * N_PAIRS + pair[both], minlength=n * N_PAIRS).reshape(n, N_PAIRS)
+        size += np.bincount(of[own], minlength=n)
         upper += np.bincount(of, weights=(d >= 65) & (d <= 90), minlength=n)
         n_words += np.bincount(word_text, minlength=n)
         word_bytes += np.bincount(word_text, weights=w.end - w.start, minlength=n)

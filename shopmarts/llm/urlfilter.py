@@ -53,12 +53,13 @@ def matched_rule(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def node_of(url: Column) -> Column:
-    """The resource a url names: without scheme and fragment, host lower-cased.
-    A url without ``://`` names itself; null names nothing."""
+    """The resource a url names: without scheme and fragment, host lower-cased,
+    an empty path as ``/``.  A url without ``://`` names itself (after ``=``); null
+    names nothing."""
     query = F.regexp_extract(url, r"^[^?#]*(\?[^#]*)?", 1)
     return F.when(F.instr(url, "://") > 0, F.concat(
         F.lit("//"), host_of(url), F.when(path_of(url) == "", F.lit("/")).otherwise(path_of(url)),
-        query)).otherwise(url)
+        query)).otherwise(F.concat(F.lit("="), url))
 
 
 def linked_urls(url: Column, html: Column) -> Column:
@@ -107,7 +108,7 @@ def judge(pages: DataFrame, rules=RULES, redirects: DataFrame | None = None,
     either direction and over any number of steps, whether the alias was
     crawled or only linked to.  An explicit allow rule has precedence: its page
     stays allowed whatever its aliases are.  All else is allowed.  Urls that
-    differ in scheme or fragment only are one.  Null urls and pages have empty
+    differ in scheme, fragment or an empty path's slash only are one.  Null urls and pages have empty
     host and path, no alias and are allowed; repeated rows come back as often;
     other columns are not read.
     """
@@ -122,7 +123,8 @@ def judge(pages: DataFrame, rules=RULES, redirects: DataFrame | None = None,
             node_of(F.col("source").cast("string")).alias("node"),
             node_of(F.col("target").cast("string")).alias("to")))
     aliases = connected_components(edges)
-    verdict = matched_rule(host_of(F.col("node")), path_of(F.col("node")), rules)["verdict"]
+    address = F.concat(F.lit("any:"), F.col("node"))
+    verdict = matched_rule(host_of(address), path_of(address), rules)["verdict"]
     aliases = written(aliases.withColumn("bad", F.coalesce(verdict == "block", F.lit(False))), "aliases")
     bad = aliases.filter("bad").select("component").distinct()
     blocked = written(aliases.join(bad, "component", "left_semi")
