@@ -116,3 +116,54 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = judge(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                       "n_repeat_words", "base_failed", "kept", "perplexity", "lower", "upper")
+
+
+# ---------------------------------------------------------------- SQL of the above
+# The other queries have none: SQL has no tokenizer (2), XXH64 (3, 6), trained
+# classifier or model (1, 4, 5, 7) or ordered filling of a gap (9); their tests
+# compare them with brute-force versions.
+ORACLES["op8_urls"] = r"""
+WITH RECURSIVE p AS (
+  SELECT page_id, coalesce(url, '') AS u, coalesce(html, '') AS h FROM pages),
+split AS (
+  SELECT page_id, u, h,
+         CASE WHEN strpos(u, '://') > 0 THEN substr(u, strpos(u, '://') + 3) ELSE '' END AS rest FROM p),
+parts AS (
+  SELECT page_id, u, h, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                  'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+         regexp_extract(rest, '^([^#]*)', 1) AS node FROM split),
+judged AS (
+  SELECT *, CASE WHEN ('.' || host) LIKE '%.example.net' AND starts_with(path, '/en/') THEN 'example.net/en/'
+                 WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/de/') THEN 'example.com/de/'
+                 WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/fr/') THEN 'org/fr/'
+                 WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/') THEN 'net/' END AS rule FROM parts),
+links AS (
+  SELECT node AS a, regexp_extract(regexp_extract(h, '(?is)<link\b[^>]*rel\s*=\s*["'']?canonical[^>]*>'),
+                                   '(?is)href\s*=\s*["'']?[a-z]+://([^"''\s>#]*)', 1) AS b FROM judged),
+edges AS (SELECT a, b FROM links WHERE b <> '' UNION SELECT b, a FROM links WHERE b <> ''),
+bad AS (
+  SELECT node AS n FROM judged WHERE rule IN ('net/', 'example.com/de/')
+  UNION SELECT e.b FROM bad JOIN edges e ON e.a = bad.n)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN node IN (SELECT n FROM bad) THEN 'block' ELSE 'allow' END AS verdict,
+       rule IS NULL AND node IN (SELECT n FROM bad) AS alias_block
+FROM judged"""
+
+ORACLES["op10_embeddings"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (
+  SELECT vec_id AS n, vec_id AS m FROM embeddings
+  UNION SELECT r.n, l.b FROM reach r JOIN links l ON l.a = r.m),
+low AS (SELECT n, min(m) AS component_id FROM reach GROUP BY n),
+deg AS (SELECT a, count(*) AS c FROM links GROUP BY a)
+SELECT vec_id, coalesce(c, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN low ON n = vec_id LEFT JOIN deg ON a = vec_id"""

@@ -1,0 +1,80 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__
+import corpus_pipeline as C
+from tests.conftest import SF_SMALL
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    from shopmarts.llm.storage import written
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    out = [docs]
+    for name, stage in C.STAGES:
+        out.append(written(stage(spark, out[-1], SF_SMALL), "test_stage"))
+    return out
+
+
+def test_stages_and_their_columns(stages):
+    assert [n for n, _ in C.STAGES] == ["quality classifier", "SimHash near-dedup", "secret scans",
+                                        "mixing sources to target weights", "packing"]
+    for df in stages[1:-1]:
+        assert df.dtypes == stages[0].dtypes and df.count() > 0
+
+
+def test_each_stage_acts_on_all_that_came_before(spark, stages):
+    from shopmarts.llm import mixing, quality, simhash
+    docs, good, unique, clean, mixed, packed = stages
+    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+    model = quality.fit_quality(docs, labels)
+    keep = quality.quality_scores(docs, model).filter("kept").select("doc_id")
+    assert sorted(r[0] for r in keep.collect()) == sorted(r.doc_id for r in good.collect())
+    firsts = simhash.near_duplicates(good).select("component_id").distinct()
+    assert sorted(r[0] for r in firsts.collect()) == sorted(r.doc_id for r in unique.collect())
+    before = {r.doc_id: r for r in unique.collect()}
+    after = {r.doc_id: r for r in clean.collect()}
+    assert before.keys() == after.keys()
+    changed = [i for i in before if before[i].text != after[i].text]
+    assert all("[SECRET]" in after[i].text and after[i].n_chars == len(after[i].text) for i in changed)
+    taken = {r.doc_id: r["copies"] for r in mixing.mix(clean).collect()}
+    got = {r.doc_id: r["count"] for r in mixed.groupBy("doc_id").count().collect()}
+    assert got == {i: c for i, c in taken.items() if c}
+    tokens = packed.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("t"))
+    assert all(r.n == r.t * got[r.doc_id] for r in tokens.collect())
+    assert tokens.count() == len(got)
+
+
+def test_packed_ids_are_those_of_the_texts(stages):
+    from tests.llm.test_packing import PATH, plain
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(PATH)
+    once = {r.doc_id for r in stages[4].groupBy("doc_id").count().filter("count = 1").collect()}
+    texts = {r.doc_id: r.text for r in stages[4].collect()}
+    rows = stages[5].collect()
+    got = {}
+    for r in rows:
+        if r.doc_id in once:
+            got.setdefault(r.doc_id, []).append((r.start, np.frombuffer(r.ids, "<u4").tolist()))
+    for i, ps in got.items():
+        assert [x for _, ids in sorted(ps) for x in ids] == plain(tokenizer, texts[i])
+
+
+def test_queries_are_registered(spark):
+    names = list(__spark_entry__.queries())
+    for n in range(1, 11):
+        assert sum(k.startswith(f"op{n}_") for k in names) == 1
+    assert "pipeline" in names
+
+
+@pytest.mark.parametrize("name", [f"op{n}_" for n in range(1, 11)])
+def test_queries_return_whole_tables(spark, name):
+    key = next(k for k in __spark_entry__.queries() if k.startswith(name))
+    table = {"op8_": "pages", "op10_": "embeddings"}.get(name, "documents")
+    rows = spark.read.parquet(f"{SF_SMALL}/{table}.parquet")
+    out = __spark_entry__.queries()[key](spark, SF_SMALL)
+    keys = rows.columns[0]
+    assert out.select(keys).distinct().count() == rows.select(keys).distinct().count()
+    if name != "op2_":
+        assert out.count() == rows.count()
