@@ -15,6 +15,7 @@ import argparse
 import os
 import re
 import sys
+from collections import Counter
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -25,23 +26,21 @@ NOTABLE = ["BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin", "BroadcastN
 
 
 def summarize(plan: str) -> dict:
-    out = {"exchanges": len(re.findall(r"\bExchange (hashpartitioning|rangepartitioning|"
-                                       r"SinglePartition|RoundRobinPartitioning)", plan)),
-           "broadcasts": plan.count("BroadcastExchange"),
-           "subqueries": len(re.findall(r"Subquery subquery", plan))}
-    for n in NOTABLE:
-        c = len(re.findall(rf"\b{n}\b", plan))
-        if c:
-            out[n] = c
+    nodes = Counter(re.findall(r"(?m)^\(\d+\) (\w+)", plan))
+    out = {"exchanges": nodes["Exchange"], "broadcasts": nodes["BroadcastExchange"],
+           "subqueries": len(re.findall(r"(?m)^Subquery:", plan))}
+    out |= {n: nodes[n] for n in NOTABLE if nodes[n]}
     scans = []
-    for ln in plan.splitlines():
-        if "FileScan parquet" in ln:
-            rs = re.search(r"ReadSchema: struct<([^>]*)>", ln)
-            pf = re.search(r"PushedFilters: \[([^\]]*)\]", ln)
-            loc = re.search(r"Location: \w+\(\d+ paths\)\[([^\]]*)\]", ln)
-            cols = [c.split(":")[0] for c in rs.group(1).split(",")] if rs else []
-            scans.append((os.path.basename(loc.group(1)) if loc else "?",
-                          ", ".join(cols), pf.group(1) if pf else ""))
+    # explain("formatted") gives every scan a section of its own, uncut
+    for part in re.split(r"\n\n+", plan):
+        if re.match(r"\(\d+\) (Scan|BatchScan) parquet", part.strip()):
+            rs = re.search(r"ReadSchema: struct<(.*)>", part)
+            pf = re.search(r"PushedFilters: \[(.*)\]", part)
+            loc = re.search(r"Location: \w+ \[([^\]]*)\]", part)
+            cols = re.findall(r"(?:^|,)([^,:<>]+):", rs.group(1)) if rs else []
+            name = os.path.basename(loc.group(1).split(",")[0]) if loc else "?"
+            scans.append((re.sub(r"[0-9a-f]{12}$", "written step", name), ", ".join(cols),
+                          pf.group(1) if pf else ""))
     out["scans"] = scans
     return out
 
@@ -51,13 +50,17 @@ def main() -> None:
     ap.add_argument("--sf", default="/root/testdata/sf0.1")
     ap.add_argument("--out", default="PLANS.md")
     args = ap.parse_args()
-    from __spark_entry__ import queries
+    from shopmarts.plans.registry import QUERIES
     from shopmarts.session import build_session
     spark = build_session("local[8]", 16, conf={"spark.driver.memory": "16g"})
     rows = []
-    for key, fn in queries().items():
+    for key, fn in QUERIES.items():
+        spark.sparkContext.setJobGroup(key, key)
         df = fn(spark, args.sf)
-        rows.append((key, summarize(df._jdf.queryExecution().executedPlan().toString())))
+        # jobs that ran while the frame was built (tables written on the way)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(key))
+        plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        rows.append((key, summarize(plan) | {"jobs before": jobs}))
     lines = ["# PLANS: physical plans of the registered queries",
              "",
              f"Generated by `tools/plan_report.py` at `{args.sf}` (planned physical plans; AQE may",
@@ -65,11 +68,14 @@ def main() -> None:
              "`exch` = shuffles, `bcast` = broadcast exchanges (chosen by Spark's size check; no",
              "hints are forced), `subq` = scalar subqueries.  No plan contains a Python UDF.",
              "",
-             "| query | exch | bcast | subq | notable operators |",
-             "|---|---|---|---|---|"]
+             "`jobs` = jobs that ran while the frame was built: steps written to the shared",
+             "folder, whose own plans are not in the last one shown here.",
+             "",
+             "| query | jobs | exch | bcast | subq | notable operators |",
+             "|---|---|---|---|---|---|"]
     for key, s in rows:
         notable = ", ".join(f"{n}x{s[n]}" for n in NOTABLE if n in s)
-        lines.append(f"| `{key}` | {s['exchanges']} | {s['broadcasts']} | {s['subqueries']} | "
+        lines.append(f"| `{key}` | {s['jobs before']} | {s['exchanges']} | {s['broadcasts']} | {s['subqueries']} | "
                      f"{notable} |")
     lines += ["", "## Scans (table: columns read | pushed filters)", ""]
     for key, s in rows:
