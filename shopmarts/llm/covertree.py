@@ -201,7 +201,9 @@ def near_duplicates(rows: DataFrame, least: float = 0.93, block: int = 1024,
     named_by = written(named_by.join(counts, "node", "left").select(
         "node", "low", F.coalesce("c", "node").alias("c"),
         (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")), "vector_nodes")
-    lows = named_by.groupBy("c").agg(F.min("low").alias("component_id"))
+    # written, so that the join below shuffles both sides and a large component
+    # is a skewed join that can be split
+    lows = written(named_by.groupBy("c").agg(F.min("low").alias("component_id")), "vector_lows")
     final = written(named_by.join(lows, "c").select(
         F.col("node").alias("n"), "n_links", "component_id"), "vector_names")
     out = named.select("id", "node").join(final, F.col("node") == F.col("n"), "left")

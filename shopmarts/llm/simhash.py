@@ -183,7 +183,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4,
     nodes = written(
         per_fp.join(labels, F.col("fp") == F.col("node"), "left")
         .select("fp", "low", F.coalesce("component", "fp").alias("component")), "fp_components")
-    lows = nodes.groupBy("component").agg(F.min("low").alias("component_id"))
+    # written, so that a large component is a skewed join that can be split
+    lows = written(nodes.groupBy("component").agg(F.min("low").alias("component_id")), "fp_lows")
     named = written(nodes.join(lows, "component").select("fp", "component_id"), "fp_names")
     return (rows.join(named, "fp")
             .select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
