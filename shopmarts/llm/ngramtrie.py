@@ -23,6 +23,7 @@ from shopmarts.session import remove_path, shared_path
 BEGIN, END = np.uint64(0), np.uint64(1)      # reserved word hashes
 CHUNK = 1 << 20                              # tokens looked up together
 FLUSH = 1 << 22                              # counted keys a task holds before it sends them
+MOST_PARTS = 4096                            # ranges of a level
 GRID = 2048                                  # steps of the quantised log2 in one halving
 BASE_ADD = 0.1
 
@@ -350,12 +351,13 @@ def train(docs: DataFrame, text_col: str = "text", least_triple: int = 2) -> Ngr
     Triples are kept from ``least_triple`` occurrences on; only those whose two
     pairs occur as often are counted at all, which loses none.  Discounts are
     those of modified Kneser-Ney smoothing, from the counts of counts; the
-    lowest order is the add-0.1 word distribution.  Files number about twice
-    the input's partitions, so a range's size does not grow with the input.
+    lowest order is the add-0.1 word distribution.  Ranges (and files of a level)
+    number twice the input's partitions, at most ``MOST_PARTS``: a task sends one
+    row to each range, so more would make the rows many and small.
     """
     spark = docs.sparkSession
     folder = shared_path(spark, "llm", "ngram_trie", unique=True)
-    parts = max(4, 2 * docs.rdd.getNumPartitions())
+    parts = min(MOST_PARTS, max(4, 2 * docs.rdd.getNumPartitions()))
     texts = _texts(docs, text_col)
     trie = NgramTrie(_count_words(texts, folder, parts), parts)
     _count_pairs(texts, folder, trie)
