@@ -70,7 +70,9 @@ def latency_profile(spans: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.min("span_id").alias("first_id")), "latency")
     counts = own.groupBy("agent", "duration_ms").agg(F.sum("n").alias("n"))
     pieces = prefix_sums(counts, ["agent"], "duration_ms", "n")
-    per = counts.groupBy("agent").agg(F.sum("n").alias("calls"), F.max(d).alias("max_ms"))
+    # one written row per agent, so the join below can be broadcast or split
+    per = written(counts.groupBy("agent").agg(F.sum("n").alias("calls"), F.max(d).alias("max_ms")),
+                  "latency_totals")
     at = pieces.join(per, "agent")
     for name, q in (("p50", 0.5), ("p95", 0.95)):
         place = F.lit(q) * (F.col("calls") - 1)
