@@ -21,7 +21,7 @@ from shopmarts.llm.wordblocks import hashed_blocks
 from shopmarts.session import remove_path, shared_path
 
 BEGIN, END = np.uint64(0), np.uint64(1)      # reserved word hashes
-CHUNK = 1 << 20                              # tokens looked up together
+CHUNK = 1 << 19                              # tokens looked up together
 FLUSH = 1 << 22                              # counted keys a task holds before it sends them
 MOST_PARTS = 4096                            # ranges of a level
 GRID = 2048                                  # steps of the quantised log2 in one halving

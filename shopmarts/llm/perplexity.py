@@ -31,7 +31,7 @@ _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS)] = True
 _SPACE_CHARS = " \t\n\x0b\x0c\r"
 WINDOW = 8
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 _FLUSH = 1 << 20
 
 
