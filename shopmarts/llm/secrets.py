@@ -51,10 +51,10 @@ def base_spans(text: Column) -> dict[str, Column]:
     return {"assign": assign, "access": find_all(text, ACCESS), "hex": find_all(text, HEX)}
 
 
-def _code(value: Column, at: Column) -> Column:
-    """Alphabet index of the character at a position; 0 before the first."""
-    return F.when(at < 1, F.lit(0)).otherwise(
-        F.instr(F.lit(ALPHABET), F.substr(value, at, F.lit(1))))
+def _codes(value: Column) -> Column:
+    """Alphabet index of every character; split once, so long runs cost no more
+    a character than short ones."""
+    return F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c))
 
 
 def random_strings(spark, n: int) -> DataFrame:
@@ -101,10 +101,10 @@ def fit_markov(samples: DataFrame) -> list[int]:
     two counts for each pair of alphabet characters.  Add-one-half smoothing.
     """
     x = samples.filter(F.col("label").isin(0, 1) & (F.length("value") > 0))
-    pairs = x.select("label", "value", F.explode(F.sequence(F.lit(1), F.length("value"))).alias("i"))
-    counts = (pairs.select("label", _code(F.col("value"), F.col("i") - 1).alias("a"),
-                           _code(F.col("value"), F.col("i")).alias("b"))
-              .groupBy("label", "a", "b").count().collect())
+    codes = x.select("label", _codes(F.col("value")).alias("c"))
+    steps = F.arrays_zip(F.concat(F.array(F.lit(0)), F.col("c")).alias("a"), F.col("c").alias("b"))
+    pairs = codes.select("label", F.explode(steps).alias("s")).select("label", "s.a", "s.b")
+    counts = pairs.filter("b is not null").groupBy("label", "a", "b").count().collect()
     n = [[[0.5] * SIDE for _ in range(SIDE)] for _ in range(2)]
     for r in counts:
         n[r["label"]][r["a"]][r["b"]] += r["count"]
@@ -115,8 +115,11 @@ def fit_markov(samples: DataFrame) -> list[int]:
 def score(value: Column, table: list[int]) -> Column:
     """Log-likelihood ratio of a string in thousandths of a nat."""
     ratios = F.split(F.lit(",".join(map(str, table))), ",").cast("array<int>")
-    return F.aggregate(F.sequence(F.lit(1), F.length(value)), F.lit(0), lambda acc, i: acc + F.get(
-        ratios, _code(value, i - 1) * SIDE + _code(value, i)))
+    start = F.struct(F.lit(0).alias("last"), F.lit(0).cast("long").alias("sum"))
+    # a long: an int overflows after half a million random characters
+    return F.aggregate(_codes(value), start, lambda acc, c: F.struct(
+        c.alias("last"), (acc["sum"] + F.get(ratios, acc["last"] * SIDE + c)).alias("sum")),
+        lambda acc: acc["sum"])
 
 
 def _numbered(spans: Column, kind: int) -> Column:

@@ -99,3 +99,13 @@ def test_empty_table_and_no_python_in_the_plan(spark, table):
 def test_repeated_and_null_rows_come_back(spark, table):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (None, None)], "doc_id long, text string")
     assert S.scan(df, table).count() == 3
+
+
+def test_an_unbroken_run_of_three_million_characters(spark, table):
+    rng = random.Random(11)
+    run = secret(rng, 3_000_000)
+    df = spark.createDataFrame([(1, f"image {run} end"), (2, "-" * 300_000)], "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in S.digest(S.scan(df, table)).collect()}
+    assert found[1] == "random:6:3000006"
+    samples = spark.createDataFrame([(run, 1), ("ordinary", 0)], "value string, label int")
+    assert len(S.fit_markov(samples)) == S.SIDE ** 2
