@@ -23,6 +23,12 @@ CANDIDATE = r"[A-Za-z0-9+/_-]{16,}={0,2}"
 ALPHABET = string.ascii_lowercase + string.ascii_uppercase + string.digits + "+/_-="
 SIDE = len(ALPHABET) + 1              # row 0: the start of a string; any other character
 SCALE = 1000                          # scores are whole thousandths of a nat
+LEAST = 16                            # characters of the shortest candidate
+#: Neither an identifier nor known to be random: left out of the ordinary class.
+MIXED = r"(?=[A-Za-z]*[0-9])(?=[0-9]*[A-Za-z])[A-Za-z0-9]{16,}"
+#: What a class keeps for transitions it has not seen: a random string may use any
+#: alphabet, and one rare transition of an ordinary string is no proof.
+OPEN = (0.05, 0.5)
 SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
@@ -68,11 +74,26 @@ def random_strings(spark, n: int) -> DataFrame:
     return spark.range(n).select(value.alias("value"), F.lit(1).alias("label"))
 
 
+def structured_strings(spark, n: int) -> DataFrame:
+    """Ordinary strings of digits and separators: dates, numbers, rules."""
+    day = F.date_add(F.lit("1990-01-01").cast("date"), (F.col("id") * 7 % 15000).cast("int"))
+    part = lambda k, size: F.lpad(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(10 ** size))
+                                  .cast("string"), size, "0")
+    rules = [F.repeat(F.lit(c), (F.lit(LEAST) + F.col("id") % 64).cast("int")) for c in "-_/+"]
+    values = F.array(*(F.date_format(day, f) for f in ("yyyy/MM/dd/", "yyyy-MM-dd-", "yyyy_MM_dd_",
+                                                       "yyyyMMdd_HHmmss", "/yyyy/MM", "_yyyyMMdd-")),
+                     F.concat(F.lit("+"), F.concat_ws("-", *(part(k, 2 + k // 2) for k in range(4)))),
+                     F.concat_ws("/", part(5, 3), part(6, 4)), part(7, 12), *rules)
+    return spark.range(n).select(F.explode(values).alias("value"), F.lit(0).alias("label"))
+
+
 def labelled_samples(docs: DataFrame, max_docs: int = 2000, max_random: int = 3000,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``value, label`` from at most ``max_docs`` documents, chosen by a hash of
     their id: label 1 for the base rules' values and for random strings, 0 for
-    words and identifiers put together from neighbouring words."""
+    words and identifiers put together from neighbouring words, for strings of
+    digits and separators, and for the candidates of texts without a base span
+    (but those with a long run of mixed letters and digits)."""
     chosen = (docs.select(id_col).filter(F.col(id_col).isNotNull()).distinct()
               .orderBy(F.xxhash64(F.col(id_col), F.lit(5)), id_col).limit(max_docs))
     text = (docs.select(F.col(id_col), F.col(text_col).cast("string").alias("t"))
@@ -85,31 +106,51 @@ def labelled_samples(docs: DataFrame, max_docs: int = 2000, max_random: int = 30
                       lambda a, b: F.when(b.isNotNull(), F.array(
                           a, F.upper(a), F.initcap(a), F.concat(a, F.initcap(b)),
                           F.concat_ws("_", a, b), F.concat_ws("-", a, b), F.concat_ws("/", a, b),
-                          F.concat(F.upper(a), F.lit("_"), F.upper(b)))))
+                          F.concat(F.upper(a), F.lit("_"), F.upper(b)),
+                          *_numbered_words(a, b))))
     ordinary = words.select(F.explode(F.flatten(F.filter(pair, lambda x: x.isNotNull())))
                             .alias("value"), F.lit(0).alias("label"))
+    clean = text.filter(F.size(secret) == 0).select(F.explode(F.regexp_extract_all(
+        "t", F.lit(CANDIDATE), F.lit(0))).alias("value"), F.lit(0).alias("label"))
+    ordinary = (ordinary.unionByName(clean.filter(~F.col("value").rlike(MIXED)))
+                .unionByName(structured_strings(docs.sparkSession, max_random // 6)))
     return (text.select(F.explode(secret).alias("value"), F.lit(1).alias("label"))
             .unionByName(random_strings(docs.sparkSession, max_random)).distinct()
             .unionByName(ordinary.distinct()))
 
 
+def _numbered_words(a: Column, b: Column) -> list[Column]:
+    """Identifiers of two words and a number."""
+    n = F.pmod(F.xxhash64(a, b), F.lit(1000)).cast("string")
+    return [F.concat(a, n), *(F.concat_ws(c, F.concat(a, n), n, b) for c in "_-/")]
+
+
 def fit_markov(samples: DataFrame) -> list[int]:
     """Log-likelihood ratios (random against ordinary) of every transition.
 
     ``samples`` has ``value`` and ``label`` (1 random, 0 ordinary; others and
     nulls are not used).  Counts are added up in Spark; the driver gets at most
-    two counts for each pair of alphabet characters.  Add-one-half smoothing.
+    two counts for each pair of alphabet characters.  Shares are mixed with a
+    uniform distribution (``OPEN``); after a character that a class has never
+    seen, it is all there is.  A character's repeat or its successor (rules of
+    dashes, alphabets) never counts as random.
     """
     x = samples.filter(F.col("label").isin(0, 1) & (F.length("value") > 0))
     codes = x.select("label", _codes(F.col("value")).alias("c"))
     steps = F.arrays_zip(F.concat(F.array(F.lit(0)), F.col("c")).alias("a"), F.col("c").alias("b"))
     pairs = codes.select("label", F.explode(steps).alias("s")).select("label", "s.a", "s.b")
     counts = pairs.filter("b is not null").groupBy("label", "a", "b").count().collect()
-    n = [[[0.5] * SIDE for _ in range(SIDE)] for _ in range(2)]
+    n = [[[0] * SIDE for _ in range(SIDE)] for _ in range(2)]
     for r in counts:
         n[r["label"]][r["a"]][r["b"]] += r["count"]
-    log = lambda c, a, b: math.log(n[c][a][b] / sum(n[c][a]))
-    return [round(SCALE * (log(1, a, b) - log(0, a, b))) for a in range(SIDE) for b in range(SIDE)]
+
+    def log(c: int, a: int, b: int) -> float:
+        total = sum(n[c][a])
+        return math.log((1 - OPEN[c]) * n[c][a][b] / total + OPEN[c] / SIDE if total else 1 / SIDE)
+
+    ratio = lambda a, b: log(1, a, b) - log(0, a, b)
+    return [round(SCALE * (min(0, ratio(a, b)) if a and b - a in (0, 1) else ratio(a, b)))
+            for a in range(SIDE) for b in range(SIDE)]
 
 
 def score(value: Column, table: list[int]) -> Column:
@@ -130,11 +171,12 @@ def _numbered(spans: Column, kind: int) -> Column:
 def all_spans(text: Column, table: list[int], threshold: float) -> Column:
     """Sorted ``start, kind, end`` of the base spans and of runs of 16 or more
     key characters that overlap none of them and whose ratio reaches
-    ``threshold`` nats.  ``kind`` is the place in ``KINDS``."""
+    ``threshold`` nats for each 16 characters.  ``kind`` is the place in ``KINDS``."""
     kinds = base_spans(text)
     numbered = [_numbered(kinds[k], n) for n, k in enumerate(KINDS[:3])]
     random = F.filter(find_all(text, CANDIDATE),
-                      lambda s: score(s["value"], table) >= int(threshold * SCALE))
+                      lambda s: score(s["value"], table) * LEAST >= F.length(s["value"])
+                      * F.lit(int(threshold * SCALE)).cast("long"))
     both = F.struct(F.concat(*numbered).alias("base"), random.alias("random"))
 
     def join(acc: Column, x: Column) -> Column:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopmarts.llm import secrets as S
+from tests.conftest import SF_SMALL
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
                     r"""([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -109,3 +110,29 @@ def test_an_unbroken_run_of_three_million_characters(spark, table):
     assert found[1] == "random:6:3000006"
     samples = spark.createDataFrame([(run, 1), ("ordinary", 0)], "value string, label int")
     assert len(S.fit_markov(samples)) == S.SIDE ** 2
+
+
+def test_dates_paths_rules_and_numbered_names_are_clean(spark, table):
+    plain = ["-" * 16, "_" * 16, "-" * 400, "/" * 20, "2023/04/12/local-news-story", "report_2021_03_14",
+             "+49-30-1234-5678-90", "20230412_101500-info"]
+    rng = random.Random(12)
+    hidden = [secret(rng, 24, string.ascii_letters + string.digits + "+/") for _ in range(100)]
+    rows = [(i, f"see {s} here") for i, s in enumerate(plain + hidden)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.n_random for r in S.digest(S.scan(df, table)).collect()}
+    assert [s for k, s in enumerate(plain) if found[k]] == []
+    assert sum(found[len(plain) + k] for k in range(100)) >= 95
+    # words that only a larger corpus teaches
+    real = S.fit_markov(S.labelled_samples(spark.read.parquet(f"{SF_SMALL}/documents.parquet")))
+    more = [*plain, "x86_64-unknown-linux-gnu", string.ascii_lowercase]
+    df = spark.createDataFrame(list(enumerate(more + hidden)), "doc_id long, text string")
+    found = {r.doc_id: r.n_random for r in S.digest(S.scan(df, real)).collect()}
+    assert [s for k, s in enumerate(more) if found[k]] == []
+    assert sum(found[len(more) + k] for k in range(100)) >= 95
+
+
+def test_candidates_of_clean_texts_are_learnt_as_ordinary(spark):
+    paths = [f"qx{k}/zk/vq_wz/xj-{k}" for k in range(200)]
+    docs = spark.createDataFrame(list(enumerate(paths)), "doc_id long, text string")
+    got = {r.value for r in S.labelled_samples(docs).filter("label = 0").collect()}
+    assert {p for p in paths if len(p) >= 16} <= got
