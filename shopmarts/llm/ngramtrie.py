@@ -7,6 +7,7 @@ file of the shared folder.  Scoring tasks memory-map the files.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -69,6 +70,23 @@ def _unplanes(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).ravel()
 
 
+def _packed(a: np.ndarray) -> np.ndarray:
+    return np.frombuffer(zlib.compress(_planes(a), 1), np.uint8)
+
+
+def _unpacked(a: np.ndarray, kind: str) -> np.ndarray:
+    return _unplanes(zlib.decompress(a.tobytes()), kind)
+
+
+def _release(spark) -> None:
+    """Let Spark's cleaner drop the shuffle files of jobs that are done: it does
+    so when the driver's collector finds them unused.  Best effort."""
+    try:
+        spark.sparkContext._jvm.System.gc()
+    except Exception:
+        pass
+
+
 def summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, and the sums of their counts."""
     if not len(keys):
@@ -348,10 +366,12 @@ def _ranges(sent: DataFrame, parts: int) -> DataFrame:
 def train(docs: DataFrame, text_col: str = "text", least_triple: int = 2) -> NgramTrie:
     """Count all words, pairs and triples of ``docs`` and write the model.
 
-    Triples are kept from ``least_triple`` occurrences on; only those whose two
-    pairs occur as often are counted at all, which loses none.  Discounts are
-    those of modified Kneser-Ney smoothing, from the counts of counts; the
-    lowest order is the add-0.1 word distribution.  Ranges (and files of a level)
+    The smoothing is interpolated absolute discounting: all orders use raw
+    counts, with three discounts an order (Chen and Goodman's formula) from its
+    counts of counts; the lowest order is the add-0.1 word distribution.  With
+    ``least_triple`` 1 all triples are kept and the counts of counts are whole.
+    A larger one prunes: triples below it go, those with a rarer pair are not
+    counted at all, and the triples' discounts come from what is counted.  Ranges (and files of a level)
     number twice the input's partitions, at most ``MOST_PARTS``: a task sends one
     row to each range, so more would make the rows many and small.
     """
@@ -406,8 +426,9 @@ def _write_raw(folder: str, name: str, wide: int, least: int):
         for part, keys, counts in _received(batches):
             ones = [int((counts == k).sum()) for k in (1, 2, 3, 4)]
             keys, counts = keys[counts >= least], counts[counts >= least]
+            step = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
             write_arrays(f"{folder}/raw", f"{name}-{part}", {
-                "key": keys, "count": counts.astype(np.uint32)})
+                "steps": _packed(step), "counts": _packed(counts.astype("<u4"))})
             context = keys // np.uint64(wide)
             edge = sorted({int(c) for c in (*context[:1], *context[-1:])})
             own = [counts[context == np.uint64(c)] for c in edge]
@@ -421,7 +442,7 @@ def _write_raw(folder: str, name: str, wide: int, least: int):
 
 
 def discounts(ones: list[int]) -> np.ndarray:
-    """Modified Kneser-Ney discounts for counts 0, 1, 2 and 3 or more."""
+    """Absolute discounts (Chen and Goodman) for counts 0, 1, 2 and 3 or more."""
     n1, n2, n3, n4 = (max(1, x) for x in ones)
     y = n1 / (n1 + 2 * n2)
     d = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
@@ -443,7 +464,8 @@ def _build(spark, folder: str, name: str, rows: list, wide: int, d: np.ndarray,
         for b in batches:
             for part in b.column(0).to_pylist():
                 raw = read_arrays(f"{folder}/raw", f"{name}-{part}")
-                keys, counts = raw["key"], raw["count"].astype(np.int64)
+                keys = np.cumsum(_unpacked(raw["steps"], "<u8"), dtype=np.uint64)
+                counts = _unpacked(raw["counts"], "<u4").astype(np.int64)
                 context = (keys // np.uint64(wide)).astype(np.int64)
                 word = (keys % np.uint64(wide)).astype(np.int64)
                 low, n = int(context[0]), int(context[-1] - context[0]) + 1
@@ -475,6 +497,7 @@ def _build(spark, folder: str, name: str, rows: list, wide: int, d: np.ndarray,
                                                   "low": [low], "n": [n]})
 
     full = [p for p in sorted(sizes) if sizes[p]]
+    _release(spark)                                # the raw counts are written
     todo = spark.createDataFrame([(p,) for p in full], "part int").repartition(max(1, len(full)))
     got = {r["part"]: r for r in todo.mapInArrow(build, "part int, low long, n long").collect()}
     remove_path(spark, f"{folder}/raw")
@@ -553,9 +576,10 @@ def _count_triples(texts: DataFrame, folder: str, trie: NgramTrie, least: int) -
             for _, lead, part in _chunks(tokens):
                 x = trie.look_pairs(part)
                 pair = x["pair"]
-                often = np.zeros(len(pair), bool)
-                have = np.flatnonzero(pair >= 0)
-                often[have] = trie.pairs.counts(pair[have]) >= least
+                often = pair >= 0
+                if least > 1:
+                    have = np.flatnonzero(often)
+                    often[have] = trie.pairs.counts(pair[have]) >= least
                 at = np.flatnonzero(often[:-1] & often[1:] & (part[1:] != BEGIN)) + 1
                 at = at[at >= lead]
                 yield from out.add(pair[at - 1].astype(np.uint64) * np.uint64(wide)

@@ -101,7 +101,7 @@ def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shopmarts.llm.ngramtrie import held_out, lm_scores, train
 
     docs = read_table(spark, sf_dir, "documents")
-    trie = train(docs.filter(~held_out("doc_id")))
+    trie = train(docs.filter(~held_out("doc_id")), least_triple=1)
     aside = held_out("doc_id").alias("held_out")
     tokens = F.lit(trie.words.tokens).cast("long").alias("train_tokens")
     return lm_scores(docs, trie).select("doc_id", aside, "n_tokens", "n_known", tokens,

@@ -151,3 +151,16 @@ def test_empty_training_and_empty_table(spark):
     assert N.lm_scores(empty, trie).collect() == []
     r = N.lm_scores(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), trie).collect()[0]
     assert (r.n_tokens, r.n_known, r.score) == (3, 0, r.base_score)
+
+
+def test_the_query_keeps_triples_seen_once(spark, tmp_path):
+    from shopmarts.llm.queries import QUERIES
+
+    rows = corpus()
+    rows = [r for r in rows if r[1] is not None and r[0] is not None]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((str(r.doc_id), r.score) for r in QUERIES["op5_lm"](spark, str(tmp_path)).collect())
+    want = sorted(brute(rows, least=1)[1], key=lambda w: (w[0], w[4]))
+    assert len(got) == len(want)
+    for (i, score), w in zip(got, want):
+        assert i == w[0] and -4e-4 * w[1] - 1e-6 <= score - w[4] <= 1e-6 * w[1] + 1e-6
