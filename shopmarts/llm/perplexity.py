@@ -335,16 +335,19 @@ def measures(docs: DataFrame, model: CharModel, id_col: str = "doc_id", text_col
         "id", id_col)
 
 
-def judge(docs: DataFrame, width: float = 6.0, least_spread: float = 0.03, id_col: str = "doc_id",
+def judge(docs: DataFrame, width: float = 3.5, least_docs: int = 20, id_col: str = "doc_id",
           text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per row: the base counts, ``base_failed``, ``perplexity``,
     ``lower``, ``upper`` and ``kept``.
 
     Base rules: fewer than 20 words, or over 30 % of the words in repeated
     8-word windows.  Perplexity is per byte and word end.  A language's band is
-    the median log perplexity of its documents that pass the base rules, give
-    or take ``width`` robust deviations (1.4826 times the median deviation, at
-    least ``least_spread``); a document outside its band is rejected.  Short
+    the median log perplexity of its documents that pass the base rules, and
+    ``width`` robust deviations to either side: 1.4826 times the median deviation
+    of those above, and of those below.  A language with fewer than
+    ``least_docs`` such documents, or without a deviation, takes that of all
+    documents from their languages' medians.  A document outside its band is
+    rejected.  Short
     texts' estimates scatter more, so a document's band is widened by what 60
     words would vary.  Null languages form one group.  Null and empty texts have
     no words and fail the base rules; repeated rows come back as often.
@@ -358,14 +361,20 @@ def judge(docs: DataFrame, width: float = 6.0, least_spread: float = 0.03, id_co
     sound = x.filter(~F.col("base_failed"))
     middle = sound.groupBy("g").agg(F.percentile_approx("log_ppl", 0.5, 10_000).alias("m"))
     middle = written(middle, "ppl_medians")
-    off = sound.join(middle, "g").groupBy("g").agg(F.first("m").alias("m"), F.percentile_approx(
-        F.abs(F.col("log_ppl") - F.col("m")), 0.5, 10_000).alias("mad"))
-    band = written(off.select(F.col("g").alias("of"), "m", F.greatest(
-        F.lit(least_spread), 1.4826 * F.col("mad")).alias("spread")), "ppl_bands")
+    off = sound.join(middle, "g").select("g", "m", (F.col("log_ppl") - F.col("m")).alias("off"))
+    spreads = [(1.4826 * F.percentile_approx(F.when(s * F.col("off") >= 0, s * F.col("off")),
+                                             0.5, 10_000)).alias(n) for s, n in ((1, "above"), (-1, "below"))]
+    every = off.agg(*spreads).first()
+    own = off.groupBy("g").agg(F.first("m").alias("m"), F.count("*").alias("n"), *spreads)
+    band = written(own.select(F.col("g").alias("of"), "m", *(
+        F.when((F.col("n") >= least_docs) & (F.col(c) > 0), F.col(c)).otherwise(
+            F.lit(every[c] or None).cast("double")).alias(c) for c in ("above", "below"))), "ppl_bands")
     x = x.join(band, F.col("g") == F.col("of"), "left")
-    reach = width * F.col("spread") * F.sqrt(1 + 60 / F.greatest(F.lit(1), F.col("n_words")))
-    inside = F.coalesce(F.abs(F.col("log_ppl") - F.col("m")) <= reach, F.lit(True))
+    wide = width * F.sqrt(1 + 60 / F.greatest(F.lit(1), F.col("n_words")))
+    low, high = F.col("m") - wide * F.col("below"), F.col("m") + wide * F.col("above")
+    inside = (F.coalesce(F.col("log_ppl") >= low, F.lit(True))
+              & F.coalesce(F.col("log_ppl") <= high, F.lit(True)))
     return x.select(id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                     "base_failed", F.exp("log_ppl").alias("perplexity"),
-                    F.exp(F.col("m") - reach).alias("lower"), F.exp(F.col("m") + reach).alias("upper"),
+                    F.exp(low).alias("lower"), F.exp(high).alias("upper"),
                     (~F.col("base_failed") & inside).alias("kept"))

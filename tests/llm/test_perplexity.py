@@ -5,6 +5,8 @@ from collections import Counter, defaultdict
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from shopmarts.llm import perplexity as P
 from shopmarts.llm.ngramtrie import discounts
 
@@ -123,3 +125,18 @@ def test_empty_table_and_null_columns(spark):
     assert P.judge(empty).collect() == []
     one = spark.createDataFrame([(None, None, None), (1, "a", None)], "doc_id long, text string, lang string")
     assert all(r.base_failed and not r.kept for r in P.judge(one).collect())
+
+
+def test_bands_reject_labelled_junk_and_monotonous_text(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    rng = random.Random(4)
+    flat = " ".join(rng.choice(["the", "and", "of", "to", "in"]) for _ in range(400))
+    more = spark.createDataFrame([(-1, flat, "en")], "doc_id long, text string, lang string").select(
+        *(F.col(f.name).cast(f.dataType) for f in docs.schema))
+    out = P.judge(docs.unionByName(more)).filter("not base_failed")
+    one = out.filter("doc_id = -1").collect()[0]
+    assert not one.kept and one.perplexity < one.lower
+    share = {r.quality: r.s for r in out.join(labels, "doc_id").groupBy("quality").agg(
+        F.avg((~F.col("kept")).cast("int")).alias("s")).collect()}
+    assert share[0] > 0.25 and share[1] < 0.02, share
