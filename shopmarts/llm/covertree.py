@@ -252,38 +252,45 @@ def _cells(classes: DataFrame, block: int, max_cells: int, least: float):
     cells = written(cells.withColumn("parts", F.ceil(F.col("n") / block).cast("int")), "vector_cells")
     reach = float(np.sqrt(max(0.0, 2 - 2 * least))) + SLACK
 
-    def pairs(g: pd.DataFrame) -> pd.DataFrame:
-        """The cell pairs of one label (``max_cells`` cells or a few more) that
-        their covering radii allow, by sub-blocks."""
-        g = g.sort_values("cell").reset_index(drop=True)
-        p = g["p"].iloc[0]
-        keep = np.ones((len(g), len(g)), bool)
-        if p is not None and len(p):
-            c = _unit(np.array([list(p[k]) for k in g["cell"]]))
-            r = g["r"].to_numpy()
-            keep = _distances(c, c) <= r[:, None] + r[None, :] + reach
-        out = []
-        for i in range(len(g)):
-            for j in range(i, len(g)):
-                if not keep[i, j]:
-                    continue
-                for s in range(g["parts"][i]):
-                    for t in range(s if i == j else 0, g["parts"][j]):
-                        task = f"{g['label'][0]}/{g['dim'][0]}/{g['cell'][i]}.{s}/{g['cell'][j]}.{t}"
-                        out.append((g["label"][0], g["dim"][0], g["cell"][i], s, task, 0))
-                        if (i, s) != (j, t):
-                            out.append((g["label"][0], g["dim"][0], g["cell"][j], t, task, 1))
-        return pd.DataFrame(out, columns=["label", "dim", "cell", "sub", "task", "side"])
-
     with_pivots = cells.join(pivots.select(*group, "p.v"), group, "left").toDF(
         *group, "cell", "n", "r", "parts", "p")
-    tasks = with_pivots.groupBy(*group).applyInPandas(
-        pairs, f"label {kinds['label']}, dim int, cell int, sub int, task string, side int")
+    allowed = with_pivots.groupBy(*group).applyInPandas(
+        lambda g: cell_pairs(g, reach),
+        f"label {kinds['label']}, dim int, a int, a_parts int, b int, b_parts int")
+    # sub-block pairs grow with the square of a label: made in Spark, a row for
+    # each sub-block of the first cell dealt out before the second's are added
+    upto = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    x = allowed.withColumn("s", F.explode(upto("a_parts"))).repartition(*group, "a", "b", "s")
+    x = x.withColumn("t", F.explode(upto("b_parts"))).filter("a < b or s <= t")
+    sub_block = lambda c, k: F.concat_ws(".", c, k)
+    task = F.concat_ws("/", "label", "dim", sub_block("a", "s"), sub_block("b", "t"))
+    one, two = (F.struct(F.col(c).alias("cell"), F.col(k).alias("sub"), F.lit(n).alias("side"))
+                for n, (c, k) in enumerate((("a", "s"), ("b", "t"))))
+    sides = F.when(F.expr("a = b and s = t"), F.array(one)).otherwise(F.array(one, two))
+    tasks = x.select(*group, task.alias("task"), F.explode(sides).alias("x")).select(
+        *group, "x.cell", "x.sub", "task", "x.side")
     points = placed.join(cells.select(*group, "cell", "parts"), [*group, "cell"]).withColumn(
         "sub", F.pmod(F.xxhash64(F.lit(4), "node"), F.col("parts")).cast("int"))
     return written(tasks, "vector_tasks"), written(points.drop("parts", "dist"), "vector_points")
 
 
+def cell_pairs(g: pd.DataFrame, reach: float) -> pd.DataFrame:
+    """The cell pairs of one label (``max_cells`` cells or a few more) that their
+    covering radii allow, with the sub-blocks of either: as many rows whatever
+    the number of sub-blocks."""
+    g = g.sort_values("cell").reset_index(drop=True)
+    p = g["p"].iloc[0]
+    keep = np.ones((len(g), len(g)), bool)
+    if p is not None and len(p):
+        c = _unit(np.array([list(p[k]) for k in g["cell"]]))
+        r = g["r"].to_numpy()
+        keep = _distances(c, c) <= r[:, None] + r[None, :] + reach
+    i, j = np.nonzero(np.triu(keep))
+    cell, parts = g["cell"].to_numpy(), g["parts"].to_numpy()
+    return pd.DataFrame({"label": g["label"].iloc[0], "dim": g["dim"].iloc[0], "a": cell[i],
+                         "a_parts": parts[i], "b": cell[j], "b_parts": parts[j]})
+
+
 def _unit(v: np.ndarray) -> np.ndarray:
     return v / np.sqrt(np.einsum("ij,ij->i", v, v))[:, None]
 

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from shopmarts.llm import covertree as C
@@ -98,3 +99,11 @@ def test_dual_traversal_tests_few_pairs_on_clustered_points():
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert C.near_duplicates(df).collect() == []
+
+
+def test_a_label_lists_its_cell_pairs_not_its_sub_blocks():
+    g = pd.DataFrame({"label": 1, "dim": 2, "cell": [0, 1, 2], "n": 10 ** 8, "r": [0.1, 0.1, 0.1],
+                      "parts": 100_000, "p": [[[1.0, 0.0], [0.999, 0.04], [-1.0, 0.0]]] * 3})
+    out = C.cell_pairs(g, 0.1)
+    assert list(zip(out["a"], out["b"])) == [(0, 0), (0, 1), (1, 1), (2, 2)]
+    assert set(out["a_parts"]) == set(out["b_parts"]) == {100_000}
