@@ -111,6 +111,10 @@ class CoTrained:
         both = _sigmoid(self.blend[0] * t + self.blend[1] * m + self.blend[2])
         return _sigmoid(t), _sigmoid(m), both
 
+    def kept(self, score: np.ndarray, threshold: float) -> np.ndarray:
+        """Scores that reach the threshold; all where nothing was learned."""
+        return (score >= threshold) | (self.text is None)
+
 
 def co_train(text: np.ndarray, meta: np.ndarray, label: np.ndarray, rounds: int = 4,
              per_round: int = 400, confident: float = 0.97) -> CoTrained:
@@ -119,17 +123,19 @@ def co_train(text: np.ndarray, meta: np.ndarray, label: np.ndarray, rounds: int
     A fifth of the labelled rows is set aside.  In each round either view scores
     the pool and hands its most confident rows, per class, as pseudo-labels to
     the *other* view, which refits on them and the true labels.  The set-aside
-    rows then calibrate: a logistic blend of the two views' log-odds.  With
-    fewer than 10 rows of a class there is nothing to learn: every score is the
-    labelled share of good rows (0.5 without labels).
+    rows then calibrate: a logistic blend of the two views' log-odds.  A class
+    of fewer than 5 rows serves for both.  Without a row of either class there
+    is nothing to learn: every score is the labelled share of good rows (0.5
+    without labels), and all documents are kept.
     """
     known = np.flatnonzero(label >= 0)
     prior = float(label[known].mean()) if len(known) else 0.5
-    if min((label[known] == 1).sum(), (label[known] == 0).sum()) < 10:
+    if not ((label == 1).any() and (label == 0).any()):
         return CoTrained(None, None, np.zeros(3), prior)
-    aside = np.zeros(len(label), bool)
+    aside, twice = np.zeros(len(label), bool), np.zeros(len(label), bool)
     for c in (0, 1):                       # the aside fold holds both classes
-        aside[np.flatnonzero(label == c)[::5]] = True
+        rows = np.flatnonzero(label == c)
+        (aside if len(rows) >= 5 else twice)[rows[::5] if len(rows) >= 5 else rows] = True
     train, pool = np.flatnonzero((label >= 0) & ~aside), np.flatnonzero(label < 0)
     views = {"text": text, "meta": meta}
     given = {"text": {}, "meta": {}}       # pseudo-labels a view has received
@@ -147,7 +153,7 @@ def co_train(text: np.ndarray, meta: np.ndarray, label: np.ndarray, rounds: int
                 best = np.argsort(-sure, kind="stable")[:per_round * (r + 1)]
                 for k in best[sure[best] >= confident]:
                     given[other].setdefault(int(pool[k]), c)
-    held = np.flatnonzero(aside)
+    held = np.flatnonzero(aside | twice)
     z = np.column_stack([_logit(views[v][held], weights[v]) for v in ("text", "meta")])
     return CoTrained(weights["text"], weights["meta"], _fit(z, label[held], l2=0.5), prior)
 
@@ -215,7 +221,7 @@ def quality_scores(docs: DataFrame, model: CoTrained, threshold: float = 0.5,
                              tuple(b.column(k).to_pylist() for k in (2, 3, 4)))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *(pa.array(v.astype(np.float64)) for v in p),
-                 pa.array(p[2] >= threshold)], ["id", "p_text", "p_meta", "score", "kept"])
+                 pa.array(model.kept(p[2], threshold))], ["id", "p_text", "p_meta", "score", "kept"])
 
     kind = x.schema[0].dataType.simpleString()
     out = x.mapInArrow(run, f"id {kind}, p_text double, p_meta double, score double, kept boolean")
@@ -232,6 +238,6 @@ def keep_good(docs: DataFrame, model: CoTrained, threshold: float = 0.5,
         for b in batches:
             col = lambda c: [None] * b.num_rows if at[c] is None else b.column(at[c]).to_pylist()
             p = model.scores(col(text_col), tuple(col(c) for c in META))[2]
-            yield b.filter(pa.array(p >= threshold))
+            yield b.filter(pa.array(model.kept(p, threshold)))
 
     return docs.mapInArrow(run, docs.schema)

@@ -94,3 +94,18 @@ def test_refit_gives_the_same_model(spark):
     labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
     a, b = Q.fit_quality(docs, labels), Q.fit_quality(docs.repartition(5), labels.repartition(3))
     assert np.allclose(a.text, b.text) and np.allclose(a.blend, b.blend)
+
+
+def test_few_labels_of_a_class_are_learnt_from(spark):
+    rows, labels = corpus(300)
+    docs = spark.createDataFrame(rows, SCHEMA)
+    good, bad = ([x for x in labels if x[1] == c] for c in (1, 0))
+    for some in (good + bad[:9], good[:9] + bad):
+        model = Q.fit_quality(docs, spark.createDataFrame(some, "doc_id long, quality int"))
+        kept = {r.doc_id for r in Q.keep_good(docs, model).collect()}
+        right = sum((i in kept) == (i % 4 != 0) for i in range(300))
+        assert right > 0.9 * 300
+    one = Q.fit_quality(docs, spark.createDataFrame(good + bad[:1], "doc_id long, quality int"))
+    assert one.text is not None
+    only_bad = Q.fit_quality(docs, spark.createDataFrame(bad, "doc_id long, quality int"))
+    assert Q.keep_good(docs, only_bad).count() == 300
