@@ -118,6 +118,29 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "n_repeat_words", "base_failed", "kept", "perplexity", "lower", "upper")
 
 
+@register
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of two tokenizers' tokens in every document."""
+    import public_tokenizers
+
+    from shopmarts.llm.alignment import align
+
+    out = align(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                public_tokenizers.path("piece_bpe_32k.model"))
+    return out.withColumnRenamed("groups", "groups_sha256")
+
+
+@register
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    import public_tokenizers
+
+    from shopmarts.llm.tokencounts import token_counts
+
+    return token_counts(read_table(spark, sf_dir, "documents"),
+                        public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+
+
 # ---------------------------------------------------------------- SQL of the above
 # The other queries have none: SQL has no tokenizer (2), XXH64 (3, 6), trained
 # classifier or model (1, 4, 5, 7) or ordered filling of a gap (9); their tests
