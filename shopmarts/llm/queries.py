@@ -118,6 +118,19 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "n_repeat_words", "base_failed", "kept", "perplexity", "lower", "upper")
 
 
+@register
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 8 whitened components of every vector."""
+    from shopmarts.llm.whitening import fit, identity_error, whiten
+
+    vectors = read_table(spark, sf_dir, "embeddings")
+    model = fit(vectors, components=8)
+    error = identity_error(vectors, model) if model else None
+    return whiten(vectors, model).select(
+        "vec_id", "component", F.lit(model.n if model else None).cast("long").alias("n"), "deviation",
+        "whitened", "explained", F.lit(error).cast("double").alias("identity_error"))
+
+
 @register
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alignment of two tokenizers' tokens in every document."""
