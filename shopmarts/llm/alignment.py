@@ -6,6 +6,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -15,21 +16,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopmarts.llm.storage import written
-from shopmarts.llm.tokencounts import BYTE_CHARS, load
+from shopmarts.llm.tokencounts import BYTE_CHARS, is_byte_level, load
 
 # one thread a task: Spark places the tasks
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 PIECE = 1 << 20
 BLOCK = 2 << 20
+JOINED = 1 << 18
+_UNITS = 500_000
+_RUN = re.compile(r"(?<=\S)(?=[ \n])")
+_TWO_SPACES = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S)(?= .)", re.DOTALL)
-_PAIRS: dict[tuple[str, str], "TokenPair"] = {}
+_TABLES: dict[tuple[str, str], "Units"] = {}
 
 
 def text_pieces(text: str) -> Iterator[str]:
     """``text`` in pieces of about a million characters, cut before a space between
-    other characters: neither tokenizer has a token across such a place.
-    A longer run without one makes a longer piece."""
+    other characters: neither tokenizer has a token across such a place.  A longer
+    run without one makes a longer piece."""
     start = 0
     while start < len(text):
         end = len(text)
@@ -41,17 +46,20 @@ def text_pieces(text: str) -> Iterator[str]:
 
 
 class ByteBpe:
-    """Tokenizer A: ids of a text that begins with a space."""
+    """Tokenizer A."""
 
     def __init__(self, path: str):
         self.tokenizer = load(path)
         self.tokenizer.encode_special_tokens = True      # their strings are plain text
         byte_of = {c: b for b, c in BYTE_CHARS.items()}
         vocab = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.token = np.empty(self.tokenizer.get_vocab_size(), object)
-        self.token[:] = b""
+        self.token = [b""] * self.tokenizer.get_vocab_size()
         for s, i in vocab.items():
             self.token[i] = bytes(byte_of[c] for c in s)
+        self.name = self.token.__getitem__
+
+        # its pre-tokens never join other characters with a white space after them
+        self.by_units = is_byte_level(self.tokenizer)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -62,49 +70,23 @@ class PieceBpe:
 
     def __init__(self, path: str):
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        n = self.model.get_piece_size()
-        self.token = np.empty(n, object)
-        for i in range(n):
-            s = self.model.id_to_piece(i)
-            self.token[i] = (bytes([int(s[3:5], 16)]) if self.model.is_byte(i)
-                             else s.replace("▁", " ").encode())
+        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        self.token = [bytes([int(s[3:5], 16)]) if self.model.is_byte(i)
+                      else s.replace("▁", " ").encode() for i, s in enumerate(pieces)]
+        self.name = self.token.__getitem__
+
+        # no piece joins other characters with a space or line break after them, and
+        # a line break keeps apart what stands before it
+        self.by_units = (not any(b" " in t.lstrip(b" ") or b"\n" in t[1:] for t in self.token)
+                         and len(self.model.encode("\n")) == 2)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of texts that begin with a space, which the model adds itself."""
+        """Ids of units, without the space that the model puts first."""
+        if self.by_units:
+            return [x[2:] for x in self.model.encode(["\n" + t for t in texts], num_threads=1)]
         return self.model.encode([t[1:] for t in texts], num_threads=1)
 
 
-class TokenPair:
-    """Both tokenizers, with what their ids stand for."""
-
-    def __init__(self, path_a: str, path_b: str):
-        self.a, self.b = ByteBpe(path_a), PieceBpe(path_b)
-        if max(len(self.a.token), len(self.b.token)) > 1 << 16:
-            raise ValueError("a tokenizer has ids over 16 bits")
-        self.size_a = np.fromiter(map(len, self.a.token), np.int64)
-        self.size_b = np.fromiter(map(len, self.b.token), np.int64)
-        # every id in decimal with each separator that may follow it
-        n = max(len(self.size_a), len(self.size_b))
-        self.digits = np.array([f"{i}{sep}" for i in range(n) for sep in (",", "|", ";", "")], object)
-
-    def tokens(self, texts: list[str | None]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of space+text by A and by B for each text; none where either's
-        bytes differ from it, nor for a null or empty text."""
-        pieces = [(k, p) for k, t in enumerate(texts) if t for p in text_pieces(" " + t)]
-        of, said = [k for k, _ in pieces], [p for _, p in pieces]
-        sides = []
-        for model in (self.a, self.b):
-            name, ids = model.token.__getitem__, [[] for _ in texts]
-            good = np.ones(len(texts), bool)
-            for k, p, got in zip(of, said, model.encode(said)):
-                good[k] &= b"".join(name(got)) == p.encode()
-                ids[k] += got
-            sides.append((ids, good))
-        good = (sides[0][1] & sides[1][1]).tolist()
-        a, b = ([x if g else [] for x, g in zip(ids, good)] for ids, _ in sides)
-        return a, b
-
-
 def coalesce(size_a: np.ndarray, size_b: np.ndarray) -> tuple[np.ndarray, ...]:
     """Groups and links of two tokenizations of the same bytes.
 
@@ -134,45 +116,145 @@ def coalesce(size_a: np.ndarray, size_b: np.ndarray) -> tuple[np.ndarray, ...]:
     return group[:len(end_a)], group[len(end_a):], link_a, link_b
 
 
-def _listed(pair: TokenPair, ids: np.ndarray, group: np.ndarray, side: np.ndarray,
-            doc: np.ndarray) -> list[str]:
-    """Every token in decimal and the separator after it, in groups: ``,`` inside
-    a side, ``|`` between sides, ``;`` between groups, none at a document's end."""
-    order = np.lexsort((side, group))           # stable: tokens stay in order within
-    ids, group, side, doc = ids[order], group[order], side[order], doc[order]
-    sep = np.full(len(ids), 3)
-    sep[:-1] = np.where(doc[1:] != doc[:-1], 3, np.where(
-        group[1:] != group[:-1], 2, np.where(side[1:] != side[:-1], 1, 0)))
-    return pair.digits[ids * 4 + sep].tolist()
+class Units(dict):
+    """Aligned units of texts, each aligned once.
+
+    A unit is a run that begins at a space or line break after other text.  Both
+    tokenizers cut there, so a text's tokens are those of its units end to end,
+    and no group crosses a unit's end.  Where a tokenizer does not promise that,
+    a whole text is one unit.  The mapping gives a unit's number; its key is the
+    unit, without its space if another character follows that.  The table is
+    emptied when full, so memory is bounded.
+    """
+
+    def __init__(self, path_a: str, path_b: str):
+        super().__init__()
+        self.a, self.b = ByteBpe(path_a), PieceBpe(path_b)
+        self.by_units = self.a.by_units and self.b.by_units
+        if max(len(self.a.token), len(self.b.token)) > 1 << 16:
+            raise ValueError("a tokenizer has ids over 16 bits")
+        self.size_a = np.fromiter(map(len, self.a.token), np.int64)
+        self.size_b = np.fromiter(map(len, self.b.token), np.int64)
+        # every id in decimal with each separator that may follow it
+        n = max(len(self.size_a), len(self.size_b))
+        self.digits = np.array([f"{i}{sep}" for i in range(n) for sep in (",", "|", ";", "")], object)
+        self.empty()
+
+    def empty(self) -> None:
+        self.clear()
+        self.counts = np.empty((5, 0), np.int64)     # n_a, n_b, n_groups, n_links, bad
+        self.links = np.empty(0, np.int64)           # a << 16 | b of all units, end to end
+        self.groups: list[str] = []
+
+    def keys_of(self, text: str | None) -> list[str]:
+        """The keys of all units of space+``text``; none of a null or empty text."""
+        if not text:
+            return []
+        if not self.by_units:
+            return [" " + text]
+        if not text[0].isspace() and len(text) <= PIECE and not _TWO_SPACES.search(text):
+            return text.replace("\n", " \n").split(" ")
+        units = [u for p in text_pieces(" " + text) for u in _RUN.split(p)]
+        return [u[1:] if u[0] == " " and u[1:2] not in (" ", "\n") else u for u in units]
+
+    def add(self, keys: list[str]) -> None:
+        """Align new units: all their tokens end to end."""
+        texts = keys if not self.by_units else [k if k[:1] in (" ", "\n") and k else " " + k
+                                                for k in keys]
+        (a, n_a, bad_a), (b, n_b, bad_b) = (
+            self._tokens(m, size, texts) for m, size in ((self.a, self.size_a), (self.b, self.size_b)))
+        bad = bad_a | bad_b
+        a, b = a[~np.repeat(bad, n_a)], b[~np.repeat(bad, n_b)]
+        n_a, n_b = np.where(bad, 0, n_a), np.where(bad, 0, n_b)
+        group_a, group_b, link_a, link_b = coalesce(self.size_a[a], self.size_b[b])
+        of_a, of_b = np.repeat(np.arange(len(keys)), n_a), np.repeat(np.arange(len(keys)), n_b)
+        new = np.ones(len(group_a), bool)            # every group has an A token
+        new[1:] = group_a[1:] != group_a[:-1]
+        n_groups = np.bincount(of_a[new], minlength=len(keys))
+        n_links = np.bincount(of_a[link_a], minlength=len(keys))
+        said = self._listed(np.concatenate([a, b]), np.concatenate([group_a, group_b]),
+                            np.repeat([0, 1], [len(a), len(b)]), np.concatenate([of_a, of_b]))
+        ends = np.cumsum(n_a + n_b).tolist()
+        first = len(self)
+        self.update(zip(keys, range(first, first + len(keys))))
+        self.counts = np.hstack([self.counts, np.stack([n_a, n_b, n_groups, n_links, bad])])
+        self.links = np.concatenate([self.links, a[link_a] << 16 | b[link_b]])
+        self.groups += ["".join(said[s:e]) for s, e in zip([0, *ends], ends)]
+
+    def _tokens(self, model, size: np.ndarray, texts: list[str]) -> tuple[np.ndarray, ...]:
+        """All units' ids end to end, their number in each unit, and whether a unit
+        does not get back its bytes.
+
+        Units are encoded joined, as they stand in texts, where the joined tokens
+        give back all bytes and end where units do; else one by one."""
+        if self.by_units and texts and not any(t[-1].isspace() for t in texts):
+            ends = [0]
+            for t in texts:
+                ends.append(ends[-1] + len(t))
+            cuts = np.unique(np.searchsorted(ends, np.arange(0, ends[-1] + JOINED, JOINED)))
+            cuts = [*cuts[cuts < len(texts)].tolist(), len(texts)]
+            runs = ["".join(texts[s:e]) for s, e in zip(cuts, cuts[1:])]
+            got = model.encode(runs)
+            ids, _ = _flat(got)
+            end = np.cumsum(np.fromiter((len(t.encode()) for t in texts), np.int64, len(texts)))
+            at = np.searchsorted(np.cumsum(size[ids]), end)
+            if (np.append(np.cumsum(size[ids]), -1)[at] == end).all() and all(
+                    b"".join(map(model.name, x)) == r.encode() for x, r in zip(got, runs)):
+                return ids, np.diff(at + 1, prepend=0), np.zeros(len(texts), bool)
+        got = model.encode(texts)
+        bad = np.fromiter((b"".join(map(model.name, x)) != t.encode() for x, t in zip(got, texts)),
+                          bool, len(texts))
+        return *_flat(got), bad
+
+    def _listed(self, ids: np.ndarray, group: np.ndarray, side: np.ndarray,
+                unit: np.ndarray) -> list[str]:
+        """Every token in decimal and the separator after it, in groups: ``,`` inside
+        a side, ``|`` between sides, ``;`` between groups, none at a unit's end."""
+        order = np.lexsort((side, group))            # stable: tokens stay in order within
+        ids, group, side, unit = ids[order], group[order], side[order], unit[order]
+        sep = np.full(len(ids), 3)
+        sep[:-1] = np.where(unit[1:] != unit[:-1], 3, np.where(
+            group[1:] != group[:-1], 2, np.where(side[1:] != side[:-1], 1, 0)))
+        return self.digits[ids * 4 + sep].tolist()
 
 
 def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """All values end to end, and the length of each list."""
     n = np.fromiter(map(len, lists), np.int64, len(lists))
-    return np.fromiter((i for x in lists for i in x), np.int64, int(n.sum())), n
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(n.sum())), n
 
 
 class Aligned:
     """The aligned documents of one block."""
 
-    def __init__(self, pair: TokenPair, texts: list[str | None]):
-        (a, self.n_a), (b, self.n_b) = map(_flat, pair.tokens(texts))
-        # end to end: a document's end is an end in both, so groups never cross it
-        group_a, group_b, link_a, link_b = coalesce(pair.size_a[a], pair.size_b[b])
-        n = len(texts)
-        doc_a, doc_b = np.repeat(np.arange(n), self.n_a), np.repeat(np.arange(n), self.n_b)
-        new = np.ones(len(group_a), bool)       # every group has an A token
-        new[1:] = group_a[1:] != group_a[:-1]
-        self.n_groups = np.bincount(doc_a[new], minlength=n)
-        self.n_links = np.bincount(doc_a[link_a], minlength=n)
-        said = _listed(pair, np.concatenate([a, b]), np.concatenate([group_a, group_b]),
-                       np.repeat([0, 1], [len(a), len(b)]), np.concatenate([doc_a, doc_b]))
-        ends = np.cumsum(self.n_a + self.n_b).tolist()
-        self.groups = ["".join(said[s:e]) for s, e in zip([0, *ends], ends)]
+    def __init__(self, units: Units, texts: list[str | None]):
+        if len(units) > _UNITS:
+            units.empty()
+        keys = [units.keys_of(t) for t in texts]
+        new = sorted(set(chain.from_iterable(keys)).difference(units))
+        # a unit that ends in white space (at a text's end) can't stand before another
+        for some in ([k for k in new if k and not k[-1].isspace()],
+                     [k for k in new if not k or k[-1].isspace()]):
+            if some:
+                units.add(some)
+        number, n = _flat([list(map(units.__getitem__, k)) for k in keys])
+        doc = np.repeat(np.arange(len(texts)), n)
+        # a text with a unit that does not give back its bytes has no tokens
+        bad = np.bincount(doc, units.counts[4][number], minlength=len(texts)) > 0
+        number, doc = number[~bad[doc]], doc[~bad[doc]]
+        ends = np.searchsorted(doc, np.arange(len(texts) + 1))
+        self.n_a, self.n_b, self.n_groups, self.n_links = (
+            np.diff(np.concatenate([[0], np.cumsum(c[number])])[ends]) for c in units.counts[:4])
+        said = [units.groups[i] for i in number.tolist()]
+        self.groups = [";".join(said[s:e]) for s, e in zip(ends.tolist(), ends[1:].tolist())]
+        # the links of all units in turn
+        many = units.counts[3]
+        n = many[number]
+        links = units.links[np.arange(n.sum()) + np.repeat(
+            (np.cumsum(many) - many)[number] - (np.cumsum(n) - n), n)]
         # the block's distinct id pairs, how often each is linked, and how often in each document
-        self.pairs, of, self.times = np.unique(a[link_a] << 16 | b[link_b], return_inverse=True,
-                                               return_counts=True)
-        self.cells, self.in_cell = np.unique(doc_a[link_a] * len(self.pairs) + of,
+        self.pairs, of, self.times = np.unique(links, return_inverse=True, return_counts=True)
+        self.cells, self.in_cell = np.unique(np.repeat(doc, n) * len(self.pairs) + of,
                                              return_counts=True)
 
 
@@ -210,14 +292,14 @@ def aligned_blocks(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc
     kind = rows.schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (path_a, path_b) not in _PAIRS:
-            _PAIRS[path_a, path_b] = TokenPair(path_a, path_b)
-        pair = _PAIRS[path_a, path_b]
+        if (path_a, path_b) not in _TABLES:
+            _TABLES[path_a, path_b] = Units(path_a, path_b)
+        units = _TABLES[path_a, path_b]
         number = TaskContext.get().partitionId() << 36
         keys, texts, size, doc_type = [], [], 0, None
 
         def made() -> pa.RecordBatch:
-            x = Aligned(pair, texts)
+            x = Aligned(units, texts)
             said = ([hashlib.sha256(g.encode()).hexdigest() if g else "" for g in x.groups]
                     if digest else x.groups)
             fields = [pa.array(keys, doc_type[0].type), *map(pa.array, (

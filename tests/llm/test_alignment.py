@@ -106,12 +106,28 @@ def test_whole_result_equals_brute_force(spark, models):
                       for i, w in enumerate(want)}
 
 
-def test_pieces_of_long_texts_change_nothing(models, monkeypatch):
-    pair = A.TokenPair(PATH_A, PATH_B)
-    texts = [t for t in TEXTS if t] + [" ".join(t for t in TEXTS if t) * 3, "  a  b " * 20]
-    whole = pair.tokens(texts)
+def aligned(units, texts):
+    x = A.Aligned(units, texts)
+    return [*zip(x.n_a.tolist(), x.n_b.tolist(), x.n_groups.tolist(), x.n_links.tolist(), x.groups)]
+
+
+def test_units_pieces_and_full_tables_change_nothing(models, monkeypatch):
+    """Whole texts as units, small units, texts in pieces and a table that is
+    emptied again and again."""
+    rng = random.Random(5)
+    parts = ["a", "Bc", "é", "日", "\n", " ", "  ", "\t", "\r", "'s", "12", "½", "!", "..", "</s>",
+             "\x85", "　", "\xa0", "😀", "▁", "word", " word", "\n\n", " \n", "\x00", "\u1680", "\u200b"]
+    texts = [t for t in TEXTS if t] + ["".join(rng.choice(parts) for _ in range(rng.randint(1, 25)))
+                                       for _ in range(1500)]
+    small, whole = A.Units(PATH_A, PATH_B), A.Units(PATH_A, PATH_B)
+    assert small.by_units
+    whole.by_units = whole.a.by_units = whole.b.by_units = False
+    want = aligned(whole, texts)
+    assert [w[0] for w in want] == [len(tokens(models, t)[0]) for t in texts]
+    assert aligned(small, texts) == want
     monkeypatch.setattr(A, "PIECE", 5)
-    assert pair.tokens(texts) == whole
+    monkeypatch.setattr(A, "_UNITS", 10)
+    assert [x for t in texts for x in aligned(small, [t])] == want
     assert any(len(list(A.text_pieces(" " + t))) > 3 for t in texts)
 
 
