@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopmarts.llm.rows import column, one_each, released
 from shopmarts.llm.storage import written
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -132,19 +133,19 @@ def _fill(g: pd.DataFrame) -> pd.DataFrame:
 
 
 def row_hash(seed: int, id_col: str, text_col: str):
-    return F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
+    return F.xxhash64(F.lit(seed), column(id_col), column(text_col))
 
 
 def apply_mix(docs: DataFrame, mixed: DataFrame, seed: int = 11, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
-    """``docs`` with each row as often as ``mixed`` takes it; same columns."""
-    take = (mixed.groupBy(F.col(id_col).alias("_id"), F.col("row_hash").alias("_hash"))
-            .agg(F.sum("copies").alias("_copies")).filter("_copies > 0"))
-    take = written(take, "mix_copies")
-    keyed = docs.withColumn("_hash", row_hash(seed, id_col, text_col))
-    # identical rows were counted together, so one of them carries all copies
-    one = keyed.dropDuplicates(["_hash", id_col]).alias("d")
-    same = (F.col("d._hash") == F.col("m._hash")) & F.col(f"d.{id_col}").eqNullSafe(F.col("m._id"))
-    return (one.join(take.alias("m"), same)
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-            .select(*(F.col(f"d.{c}") for c in docs.columns)))
+    """``docs`` with each row as often as ``mixed`` takes it; same columns.
+
+    Rows of equal id and text (null ids and texts are equal to each other) are
+    counted together: one of them carries the copies of all.  Columns keep their
+    names and types whatever they are called; an empty table stays empty.
+    """
+    take = (mixed.groupBy(F.col(id_col).alias("id"), F.col("row_hash").alias("key"))
+            .agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")).filter("copies > 0"))
+    rows = one_each(docs, row_hash(seed, id_col, text_col), written(take, "mix_copies"), id_col)
+    again = rows.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return released(again, docs.columns)

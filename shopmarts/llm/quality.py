@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shopmarts.llm.rows import column
 from shopmarts.llm.wordblocks import hashed_blocks
 
 N_PAIRS = 256       # hash buckets of byte pairs
@@ -230,14 +231,18 @@ def quality_scores(docs: DataFrame, model: CoTrained, threshold: float = 0.5,
 
 def keep_good(docs: DataFrame, model: CoTrained, threshold: float = 0.5,
               text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the classifier keeps, with all their columns."""
-    names = docs.columns
-    at = {c: names.index(c) if c in names else None for c in (text_col, *META)}
+    """The rows of ``docs`` that the classifier keeps, with all their columns.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            col = lambda c: [None] * b.num_rows if at[c] is None else b.column(at[c]).to_pylist()
-            p = model.scores(col(text_col), tuple(col(c) for c in META))[2]
-            yield b.filter(pa.array(model.kept(p, threshold)))
+    Only the text and the metadata go to Python; the other columns stay where they
+    are, whatever they are called.  Null and empty texts, null ids and repeated
+    rows are judged like any other; an empty table stays empty.
+    """
+    text, *meta = (column(c).cast(kind) if c in docs.columns else F.lit(None).cast(kind)
+                   for c, kind in zip((text_col, *META), ("string", "string", "string", "long")))
+
+    @F.arrow_udf("boolean")
+    def kept(t: pa.Array, source: pa.Array, lang: pa.Array, n_chars: pa.Array) -> pa.Array:
+        p = model.scores(t.to_pylist(), (source.to_pylist(), lang.to_pylist(), n_chars.to_pylist()))
+        return pa.array(model.kept(p[2], threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.filter(kept(text, *meta))

@@ -12,6 +12,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopmarts.llm.rows import column, held
+
 # Fixed values of the base rules.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ASSIGN_LEAST = 12
@@ -25,7 +27,8 @@ SIDE = len(ALPHABET) + 1              # row 0: the start of a string; any other
 SCALE = 1000                          # scores are whole thousandths of a nat
 LEAST = 16                            # characters of the shortest candidate
 #: Neither an identifier nor known to be random: left out of the ordinary class.
-MIXED = r"(?=[A-Za-z]*[0-9])(?=[0-9]*[A-Za-z])[A-Za-z0-9]{16,}"
+#: Tried at the start of a run only, so a long run takes time in proportion.
+MIXED = r"(?<![A-Za-z0-9])(?=[A-Za-z]*[0-9])(?=[0-9]*[A-Za-z])[A-Za-z0-9]{16,}"
 #: What a class keeps for transitions it has not seen: a random string may use any
 #: alphabet, and one rare transition of an ordinary string is no proof.
 OPEN = (0.05, 0.5)
@@ -190,7 +193,7 @@ def all_spans(text: Column, table: list[int], threshold: float) -> Column:
 
 
 def _text(docs: DataFrame, text_col: str) -> Column:
-    return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return F.coalesce(column(text_col).cast("string"), F.lit(""))
 
 
 def scan(docs: DataFrame, table: list[int], threshold: float = 10.0, id_col: str = "doc_id",
@@ -208,10 +211,12 @@ def redact(docs: DataFrame, table: list[int], threshold: float = 10.0, text_col:
            size_col: str | None = "n_chars", mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span replaced by ``mark``; overlapping spans by one.
 
-    Rows without a span are unchanged, a null text stays null; ``size_col``
-    follows the new text where there was a span.  No row goes.
+    Rows without a span are unchanged, a null text stays null and an empty one
+    empty; ``size_col``, if there is one, follows the new text where there was a
+    span.  No row goes; repeated rows and null ids are rows like any other.
+    Columns keep their names and types whatever they are called.
     """
-    text, found = F.col(text_col), F.col("_found")
+    text, found = F.col("doc").getField(text_col), F.col("found")
     clean = F.aggregate(
         found, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda acc, s: F.struct(
@@ -220,12 +225,13 @@ def redact(docs: DataFrame, table: list[int], threshold: float = 10.0, text_col:
                 acc["out"], F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)))
             .otherwise(acc["out"]).alias("out")),
         lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1, F.length(text))))
-    hit = F.size("_found") > 0
-    marked = docs.withColumn("_found", all_spans(_text(docs, text_col), table, threshold))
-    marked = marked.withColumn("_clean", F.when(hit, clean).otherwise(text))
-    out = [F.col("_clean").alias(c) if c == text_col
-           else F.when(hit, F.length("_clean")).otherwise(F.col(c)).cast(docs.schema[c].dataType)
-           .alias(c) if c == size_col else F.col(c) for c in docs.columns]
+    hit = F.size("found") > 0
+    marked = held(docs, found=all_spans(_text(docs, text_col), table, threshold))
+    marked = marked.select("doc", "found", F.when(hit, clean).otherwise(text).alias("clean"))
+    old = lambda c: F.col("doc").getField(c)
+    out = [F.col("clean").alias(c) if c == text_col
+           else F.when(hit, F.length("clean")).otherwise(old(c)).cast(docs.schema[c].dataType)
+           .alias(c) if c == size_col else old(c).alias(c) for c in docs.columns]
     return marked.select(*out)
 
 

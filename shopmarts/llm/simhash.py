@@ -10,8 +10,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from shopmarts.llm.components import connected_components
+from shopmarts.llm.rows import column, one_each, released, row_key
 from shopmarts.llm.storage import written
 from shopmarts.llm.wordblocks import word_lists
 
@@ -63,22 +65,23 @@ def _bit_counts(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id",
+def fingerprints(docs: DataFrame, shingle: int = 4, keep: list[str] = ("doc_id",),
                  text_col: str = "text") -> DataFrame:
-    """``id_col, fp`` (the fingerprint's 64 bits as a signed long) of every row.
+    """The columns ``keep`` and ``fp`` (the fingerprint's 64 bits as a signed long) of
+    every row.
 
     A null, empty or blank text has fingerprint zero; fewer than ``shingle``
     words count as one shingle.  Texts are read whole, in bounded pieces.
     """
-    ids = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"))
+    rows = docs.select(*map(column, keep), column(text_col).cast("string").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([fingerprint(t.as_py(), shingle) for t in b.column(1)], "<u8")
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view("<i8"))],
-                                             [id_col, "fp"])
+            fps = np.array([fingerprint(t.as_py(), shingle) for t in b.column(len(keep))], "<u8")
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(fps.view("<i8"))],
+                                             [*keep, "fp"])
 
-    return ids.mapInArrow(run, f"`{id_col}` {ids.schema[0].dataType.simpleString()}, fp long")
+    return rows.mapInArrow(run, StructType([*rows.schema.fields[:-1], StructField("fp", LongType())]))
 
 
 def fingerprint_links(fps: DataFrame, radius: int = 4, block: int = 1024) -> DataFrame:
@@ -165,6 +168,28 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def grouped(docs: DataFrame, shingle: int = 4, radius: int = 4, id_col: str = "doc_id",
+            text_col: str = "text") -> DataFrame:
+    """``id, key, fp, group, component_id`` of every row of ``docs``.
+
+    ``key`` is the row's hash, ``group`` names the row's group of linked
+    fingerprints (by one of them) and ``component_id`` by its smallest id.  Two
+    groups can share that id where rows of different texts do.
+    """
+    ids = docs.select(column(id_col).alias("id"), row_key(docs).alias("key"),
+                      column(text_col).alias("text"))
+    rows = written(fingerprints(ids, shingle, ["id", "key"], "text"), "fingerprints")
+    per_fp = written(rows.groupBy("fp").agg(F.min("id").alias("low")), "distinct_fingerprints")
+    labels = connected_components(fingerprint_links(per_fp.select("fp"), radius))
+    nodes = written(
+        per_fp.join(labels, F.col("fp") == F.col("node"), "left")
+        .select("fp", "low", F.coalesce("component", "fp").alias("group")), "fp_components")
+    # written, so that a large component is a skewed join that can be split
+    lows = written(nodes.groupBy("group").agg(F.min("low").alias("component_id")), "fp_lows")
+    named = written(nodes.join(lows, "group").select("fp", "group", "component_id"), "fp_names")
+    return rows.join(named, "fp").select("id", "key", "fp", "group", "component_id")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``id_col, fingerprint, component_id``.
@@ -177,26 +202,27 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4,
     component without any id has a null ``component_id``.  Repeated rows come
     back as often as they went in.  Other columns are not read.
     """
-    rows = written(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    per_fp = written(rows.groupBy("fp").agg(F.min(id_col).alias("low")), "distinct_fingerprints")
-    labels = connected_components(fingerprint_links(per_fp.select("fp"), radius))
-    nodes = written(
-        per_fp.join(labels, F.col("fp") == F.col("node"), "left")
-        .select("fp", "low", F.coalesce("component", "fp").alias("component")), "fp_components")
-    # written, so that a large component is a skewed join that can be split
-    lows = written(nodes.groupBy("component").agg(F.min("low").alias("component_id")), "fp_lows")
-    named = written(nodes.join(lows, "component").select("fp", "component_id"), "fp_names")
-    return (rows.join(named, "fp")
-            .select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-                    "component_id"))
+    rows = docs.select(column(id_col), column(text_col))
+    return grouped(rows, shingle, radius, id_col, text_col).select(
+        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        "component_id")
 
 
 def keep_one_per_group(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that stay when one document of each group is kept.
+    """The rows of ``docs`` that stay when one row of each group of ``grouped`` does.
+
+    That is the row with the group's smallest id; of several rows with that id
+    (equal or near texts) the one whose hash over all columns is least, so the
+    partitioning does not matter.  A row that occurs more than once stays once.
+    Rows with one id and texts of different groups stay in each of them.  Null
+    ids come last; of a group without any id one row stays.  Columns keep their
+    names and types whatever they are called; an empty table stays empty.
 
-    The document named by ``component_id`` stays, once if its row is repeated.
-    Rows without an id can't be told apart by it and stay.
+    The choice is made on ids and hashes alone; whole rows move once.
     """
-    keepers = groups.select(F.col("component_id").alias(id_col)).distinct()
-    named = docs.join(keepers, id_col, "left_semi").dropDuplicates([id_col])
-    return named.unionByName(docs.filter(F.col(id_col).isNull())).select(docs.columns)
+    rows = groups.groupBy("group", "id", "key").agg(F.count("*").alias("rows"))
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "key", "rows")).alias("first")
+    chosen = rows.groupBy("group").agg(first).select(
+        "first.id", "first.key", "first.rows", F.lit(1).alias("copies"))
+    kept = one_each(docs, row_key(docs), written(chosen, "simhash_kept"), id_col)
+    return released(kept, docs.columns)

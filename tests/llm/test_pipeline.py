@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -63,18 +65,101 @@ def test_packed_ids_are_those_of_the_texts(stages):
 
 def test_queries_are_registered(spark):
     names = list(__spark_entry__.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in names) == 1
     assert "pipeline" in names
 
 
-@pytest.mark.parametrize("name", [f"op{n}_" for n in range(1, 11)])
+@pytest.mark.parametrize("name", [f"op{n}_" for n in range(1, 14)])
 def test_queries_return_whole_tables(spark, name):
     key = next(k for k in __spark_entry__.queries() if k.startswith(name))
-    table = {"op8_": "pages", "op10_": "embeddings"}.get(name, "documents")
+    table = {"op8_": "pages", "op10_": "embeddings", "op11_": "embeddings"}.get(name, "documents")
     rows = spark.read.parquet(f"{SF_SMALL}/{table}.parquet")
     out = __spark_entry__.queries()[key](spark, SF_SMALL)
     keys = rows.columns[0]
     assert out.select(keys).distinct().count() == rows.select(keys).distinct().count()
     if name != "op2_":
-        assert out.count() == rows.count()
+        assert out.count() == rows.count() * (8 if name == "op11_" else 1)
+
+
+CLASHES = ["_found", "_clean", "_hash", "_copy", "doc", "key", "id", "copies", "rows", "a.b"]
+
+
+@pytest.fixture(scope="module")
+def odd_folder(spark, tmp_path_factory):
+    """Documents with null ids and texts, repeats, shared ids, an empty and a very
+    long text, and columns named like the stages' own."""
+    rng = random.Random(2)
+    words = [f"word{i}" for i in range(300)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.choice([5, 60, 300]))) for _ in range(60)]
+    key = "api_key = " + "".join(rng.choice("abcdefghij0123456789XYZ") for _ in range(40))
+    rows = [(i, t, "en", f"s{i % 3}", len(t)) for i, t in enumerate(texts)]
+    rows += [(None, texts[0], "en", "s0", 1), (None, None, None, None, None), (100, "", "", "", 0),
+             (101, None, "en", "s1", None), (5, texts[5], "en", "s2", len(texts[5])),
+             (5, texts[6] + " changed wholly " * 30, "en", "s2", 9), (5, "another text of five", "en", "s2", 9),
+             (102, f"{key} and {key}", "en", "s0", 3), (103, "long words here. " * 60_000, "de", "s1", 1),
+             (104, "z" * 1_000_000, "de", "s1", 1)]
+    rows = [(*r, *[f"{c}{k}" for c in CLASHES]) for k, r in enumerate(rows)]
+    rows += [rows[3]] * 3
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(
+        f"`{c}` string" for c in CLASHES)
+    folder = str(tmp_path_factory.mktemp("odd"))
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{folder}/documents.parquet")
+    labels = [(i, i % 2, 0) for i in range(40)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(
+        f"{folder}/labels.parquet")
+    return folder, rows
+
+
+def test_odd_documents_pass_every_stage(spark, odd_folder):
+    from collections import Counter
+
+    from shopmarts.llm import mixing, quality, simhash
+    folder, rows = odd_folder
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    as_rows = lambda df: Counter(map(tuple, df.collect()))
+    have = as_rows(docs)
+    assert have == Counter(rows)
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    model = quality.fit_quality(docs, labels)
+    good = C.keep_good_quality(spark, docs, folder)
+    assert good.schema == docs.schema
+    scores = Counter(r[0] for r in quality.quality_scores(docs, model).filter("kept").collect())
+    assert Counter(r[0] for r in good.collect()) == scores and not as_rows(good) - have
+
+    unique = C.drop_near_duplicates(spark, docs, folder)
+    assert unique.schema == docs.schema
+    left = as_rows(unique)
+    groups = simhash.grouped(docs).select("group").distinct().count()
+    assert sum(left.values()) == groups and not left - have and max(left.values()) == 1
+    assert sum(r[0] == 5 for r in left) == 3
+
+    clean = C.redact_secrets(spark, docs, folder)
+    assert clean.schema == docs.schema and clean.count() == len(rows)
+    changed = [r for r in clean.collect() if r.text and "[SECRET]" in r.text]
+    assert [r.doc_id for r in changed] == [102] and changed[0].n_chars == len(changed[0].text)
+    assert as_rows(clean.filter("doc_id is null or doc_id <> 102")) == Counter(
+        r for r in rows if r[0] != 102)
+
+    mixed = C.mix_sources(spark, docs, folder)
+    assert mixed.schema == docs.schema
+    taken = {(r.doc_id, r.row_hash): 0 for r in mixing.mix(docs).collect()}
+    for r in mixing.mix(docs).collect():
+        taken[r.doc_id, r.row_hash] += r["copies"]
+    again = as_rows(mixed)
+    assert sum(again.values()) == sum(taken.values()) and not set(again) - set(have)
+
+    packed = C.pack_sequences(spark, docs, folder)
+    assert packed.filter("start = 0").count() == len(rows)
+
+
+def test_the_whole_pipeline_on_odd_documents(spark, odd_folder):
+    out = C.run(spark, odd_folder[0])
+    assert out.count() > 0 and "ids" in out.columns
+
+
+def test_the_whole_pipeline_on_no_documents(spark, odd_folder, tmp_path):
+    folder = str(tmp_path)
+    for t in ("documents", "labels"):
+        spark.read.parquet(f"{odd_folder[0]}/{t}.parquet").limit(0).write.parquet(f"{folder}/{t}.parquet")
+    assert C.run(spark, folder).collect() == []

@@ -2,6 +2,7 @@ import itertools
 import random
 import re
 
+import pytest
 import xxhash
 
 from shopmarts.llm import simhash as S
@@ -96,13 +97,36 @@ def test_a_crowded_bucket_is_dealt_into_cells_without_losing_links(spark):
 
 def test_one_document_of_each_group_stays(spark):
     text = " ".join(f"w{i}" for i in range(100))
-    rows = [(5, text, "a"), (2, text, "b"), (2, text, "b"), (9, "else " * 9, "c"), (None, text, "d")]
+    rows = [(5, text, "a"), (2, text, "b"), (2, text, "b"), (9, "else " * 9, "c"), (None, text, "d"),
+            (None, "no id at all", "e"), (None, "no id at all", "e")]
     df = spark.createDataFrame(rows, "doc_id long, text string, component_id string")
-    kept = S.keep_one_per_group(df, S.near_duplicates(df))
-    assert kept.columns == df.columns
-    assert sorted((str(r[0]), r[2]) for r in kept.collect()) == [("2", "b"), ("9", "c"), ("None", "d")]
+    kept = S.keep_one_per_group(df, S.grouped(df))
+    assert kept.dtypes == df.dtypes
+    assert sorted((str(r[0]), r[2]) for r in kept.collect()) == [("2", "b"), ("9", "c"), ("None", "e")]
+
+
+@pytest.mark.parametrize("parts", [1, 2, 3])
+def test_texts_that_share_an_id_are_not_lost(spark, parts):
+    """Two texts of one id are two documents; of two near texts of one id one
+    stays, the same one whatever the partitioning."""
+    text = [f"w{i}" for i in range(200)]
+    near = " ".join([*text[:199], "other"])
+    rows = [(1, "alpha beta gamma delta", "x"), (1, "totally other words stand here", "y"),
+            (7, " ".join(text), "p"), (7, near, "q"), (8, near, "r"), (7, near, "q"),
+            (3, "alpha beta gamma delta", "z")]
+    df = spark.createDataFrame(rows, "doc_id long, key string, `group` string").toDF(
+        "doc_id", "key", "group").repartition(parts)
+    fps = {r[0] for r in S.near_duplicates(df, text_col="key").filter("doc_id in (7, 8)")
+           .select("component_id").collect()}
+    assert fps == {7}
+    kept = sorted(tuple(r) for r in S.keep_one_per_group(df, S.grouped(df, text_col="key")).collect())
+    assert kept[:2] == [rows[0], rows[1]] and len(kept) == 3 and kept[2][0] == 7
+    everywhere = df.coalesce(1).orderBy("group")
+    same = S.keep_one_per_group(everywhere, S.grouped(everywhere, text_col="key")).collect()
+    assert sorted(map(tuple, same)) == kept
 
 
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert S.near_duplicates(df).collect() == []
+    assert S.keep_one_per_group(df, S.grouped(df)).collect() == []
