@@ -25,7 +25,7 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group: the one with the smallest id."""
-    groups = simhash.near_duplicates(docs, shingle=4, radius=4)
+    groups = simhash.grouped(docs, shingle=4, radius=4)
     return simhash.keep_one_per_group(docs, groups)
 
 
@@ -59,7 +59,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``."""
+    """All stages over the documents of ``sf_dir``.
+
+    Null ids and texts, empty and very long texts, repeated rows, rows that share an
+    id, an empty table and further columns of any name are handled as each
+    stage's function says: a row is known by all its columns, never by its id
+    alone, and no stage but the classifier and the near-dedup lets a row go.
+    A document that the mix takes no copy of is not packed.
+    """
     docs = spark.read.parquet(posixpath.join(sf_dir, "documents.parquet"))
     for k, (_, stage) in enumerate(STAGES):
         docs = written(stage(spark, docs, sf_dir), f"pipeline_{k}")
