@@ -16,6 +16,7 @@ from shopmarts.llm.rows import column
 from shopmarts.llm.wordblocks import hashed_blocks
 
 N_PAIRS = 256       # hash buckets of byte pairs
+CHUNK = 256         # rows whose features are in memory at once
 N_SHAPE = 8
 N_TEXT = 128 + N_PAIRS + N_SHAPE
 N_SOURCE, N_LANG, N_LENGTH = 64, 16, 32
@@ -102,13 +103,17 @@ class CoTrained:
     prior: float
 
     def scores(self, texts: list, meta: tuple[list, list, list]) -> tuple[np.ndarray, ...]:
-        """Calibrated probability of good quality by content, by metadata, by both."""
+        """Probability of good quality by content, by metadata (each view's own) and,
+        calibrated, by both.  Features are made for ``CHUNK`` rows at a time."""
         n = len(texts)
         if self.text is None:
             p = np.full(n, self.prior)
             return p, p, p
-        t = _logit(text_features(texts), self.text)
-        m = _logit(meta_features(*meta), self.meta)
+        t, m = np.empty(n), np.empty(n)
+        for s in range(0, n, CHUNK):
+            some = slice(s, s + CHUNK)
+            t[some] = _logit(text_features(texts[some]), self.text)
+            m[some] = _logit(meta_features(*(c[some] for c in meta)), self.meta)
         both = _sigmoid(self.blend[0] * t + self.blend[1] * m + self.blend[2])
         return _sigmoid(t), _sigmoid(m), both
 
