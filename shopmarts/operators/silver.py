@@ -6,10 +6,13 @@ lists such rows before the cast runs.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopmarts.functions import buckets
+from shopmarts.sources.tables import Lazy
 
 
 def users(df: DataFrame) -> DataFrame:
@@ -66,5 +69,6 @@ SILVER = {
 }
 
 
-def all_silver(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: SILVER[name](df) for name, df in raw.items()}
+def all_silver(raw: Mapping[str, DataFrame]) -> Lazy:
+    """The silver tables of all raw ones, each built when it is first used."""
+    return Lazy({name: lambda name=name: SILVER[name](raw[name]) for name in raw})

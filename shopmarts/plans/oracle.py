@@ -505,6 +505,11 @@ WHERE d.doc_id IN (SELECT doc_id FROM (
     SELECT qid, doc_id, row_number() OVER (PARTITION BY qid ORDER BY s DESC, doc_id, pos) AS rn
     FROM r_scores) WHERE rn <= 5)""", "r_scores")
 oracle("csv_roundtrip", "SELECT * FROM b_access_logs", "b_access_logs")
+oracle("csv_range_scan", r"""
+SELECT * REPLACE (CASE WHEN order_id % 5 = 0
+                       THEN category || chr(10) || '"no. ' || CAST(order_id AS VARCHAR) || '",' || chr(10) || chr(10)
+                       ELSE category END AS category)
+FROM b_orders""", "b_orders")
 ORACLES["pass_rate_stream"] = ORACLES["pass_rate"]
 ORACLES["customer_360_colocated"] = ORACLES["customer_360"]
 oracle("presented_threat_events", f"""

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from shopmarts.operators import marts, silver
 from shopmarts.plans import catalog
 from shopmarts.session import shared_path
-from shopmarts.sources import files
+from shopmarts.sources import csvranges, files
 from shopmarts.sources.schemas import RAW_SCHEMAS, RAW_TABLES
 
 SILVER_PARTITIONS = {"orders": ["ym"], "sessions": ["ym"], "access_logs": ["ym"]}
@@ -32,14 +32,16 @@ COUNT_SCHEMA = "layer string, table_name string, row_count bigint"
 
 
 def raw_from_csv(spark: SparkSession, src_dir: str, schemas: dict | None = None,
-                 keep_corrupt: bool = True) -> dict[str, DataFrame]:
+                 keep_corrupt: bool = True, by_ranges: bool = False) -> dict[str, DataFrame]:
     """The six raw CSV files of ``src_dir`` with their explicit schemas
     (the raw-file schemas unless ``schemas`` overrides some of them).
 
-    A malformed row's raw text is kept beside it, for ``quality.rejects``; the
+    With ``by_ranges`` a file is read by many tasks, for few large files; else each
+    by one.  A malformed row's raw text is kept beside it, for ``quality.rejects``; the
     bronze tables hold only rows that parsed."""
     schemas = {**RAW_SCHEMAS, **(schemas or {})}
-    return {t: files.read_csv(spark, posixpath.join(src_dir, f"{t}.csv"), schemas[t],
+    read = csvranges.read_csv_ranges if by_ranges else files.read_csv
+    return {t: read(spark, posixpath.join(src_dir, f"{t}.csv"), schemas[t],
                               keep_corrupt=keep_corrupt) for t in RAW_TABLES}
 
 
@@ -89,15 +91,13 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], database: str,
            SILVER_PARTITIONS.get(t) if partition_silver else None) for t in RAW_TABLES])
 
     s = {t: spark.table(f"{database}.silver_{t}") for t in RAW_TABLES}
-    # each fact table is read once; five of the marts roll up its written summary
-    by_order = files.written(marts.order_facts(s["orders"]), "order_facts")
-    by_access = files.written(marts.access_facts(s["access_logs"]), "access_facts")
-    wave([("gold", "monthly_sales", marts.monthly_sales(s["orders"], by_order)),
-          ("gold", "customer_rfm", marts.customer_rfm(s["orders"], s["users"], by_order)),
+    orders, logs, users = s["orders"], s["access_logs"], s["users"]
+    wave([("gold", "monthly_sales", marts.monthly_sales(orders)),
+          ("gold", "customer_rfm", marts.customer_rfm(orders, users)),
           ("gold", "cart_abandonment", marts.cart_abandonment(s["sessions"])),
-          ("gold", "access_summary", marts.access_summary(s["access_logs"], by_access)),
-          ("gold", "threat_events", marts.threat_events(s["access_logs"], by_access)),
-          ("gold", "user_risk", marts.user_risk(s["access_logs"], s["users"], by_access))])
+          ("gold", "access_summary", marts.access_summary(logs)),
+          ("gold", "threat_events", marts.threat_events(logs)),
+          ("gold", "user_risk", marts.user_risk(logs, users))])
     if comments:
         catalog.apply_comments(spark, database)
     return spark.createDataFrame(counts, COUNT_SCHEMA)

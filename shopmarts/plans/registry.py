@@ -20,7 +20,7 @@ from shopmarts.plans import pipeline as PL
 from shopmarts.plans.shop import Shop
 from shopmarts.session import default_parallelism, shared_path
 from shopmarts.sources import adapters as A
-from shopmarts.sources import files
+from shopmarts.sources import csvranges, files
 from shopmarts.sources.tables import DriverTables
 from shopmarts.streaming import monitor as M
 
@@ -58,6 +58,15 @@ for _t in ("users", "products", "orders", "order_items", "sessions", "access_log
 
 register("csv_roundtrip")(_bronze("access_logs"))
 
+
+@register("csv_range_scan")
+def _csv_range_scan(spark, sf_dir):
+    """Raw orders with quoted line breaks -> CSV files -> scan by byte ranges."""
+    df = A.with_line_breaks(_shop(spark, sf_dir).raw["orders"])
+    path = shared_path(spark, "raw_csv", "orders", unique=True)
+    files.write_csv(df, path)
+    return csvranges.read_csv_ranges(spark, path, df.schema)
+
 # ---------------------------------------------------------------- marts
 for _m in ("monthly_sales", "rfm_base", "rfm_scores", "customer_rfm", "cart_abandonment",
            "access_summary", "threat_events", "risk_counters", "user_risk"):

@@ -12,9 +12,13 @@ The same mappings are written in DuckDB SQL in ``shopmarts.plans.oracle``.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopmarts.sources.tables import Lazy
+
 # Fixed values of the mapping (chosen by us, mirrored in the SQL oracle).
 STATUS_BY_CODE = {"F": "completed", "O": "cancelled", "P": "returned"}
 CHANNELS = ("web", "mobile", "app")                      # by o_orderkey % 3
@@ -123,16 +127,25 @@ def access_logs(events: DataFrame) -> DataFrame:
         threat.alias("threat_type"))
 
 
-def from_driver(t) -> dict[str, DataFrame]:
-    """All six raw shapes from a ``DriverTables``."""
-    return {
-        "users": users(t.customer, t.nation),
-        "products": products(t.part),
-        "orders": orders(t.orders),
-        "order_items": order_items(t.lineitem),
-        "sessions": sessions(t.events),
-        "access_logs": access_logs(t.events),
-    }
+def from_driver(t) -> Lazy:
+    """All six raw shapes from a ``DriverTables``, each built when it is first used."""
+    return Lazy({
+        "users": lambda: users(t.customer, t.nation),
+        "products": lambda: products(t.part),
+        "orders": lambda: orders(t.orders),
+        "order_items": lambda: order_items(t.lineitem),
+        "sessions": lambda: sessions(t.events),
+        "access_logs": lambda: access_logs(t.events),
+    })
+
+
+def with_line_breaks(orders_: DataFrame) -> DataFrame:
+    """Raw orders whose categories hold line breaks, quotes and commas where the key
+    says so (every 5th), as free text in a CSV file may."""
+    key = F.col("order_id").cast("string")
+    text = F.concat(F.col("category"), F.lit('\n"no. '), key, F.lit('",\n\n'))
+    return orders_.withColumn("category", F.when(F.col("order_id") % 5 == 0, text)
+                              .otherwise(F.col("category")))
 
 
 # ---------------------------------------------------------------- faulty shapes
@@ -144,7 +157,7 @@ WRONG_EVERY = 7           # orders divisible by this keep totals and items that
 N_CATEGORIES = 8
 
 
-def with_faults(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def with_faults(raw: Mapping[str, DataFrame]) -> Lazy:
     """The raw shapes as input of the quality checks: consistent but for faults
     that follow from the rows' own keys.
 
@@ -163,24 +176,30 @@ def with_faults(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
                       ).otherwise(F.col(col))
 
     wrong = F.col("order_id") % WRONG_EVERY == 0
-    items = raw["order_items"].withColumn("subtotal", F.when(wrong, F.col("subtotal")).otherwise(
-        F.col("unit_price") * F.col("quantity")))
-    sums = items.groupBy(F.col("order_id").alias("of")).agg(F.sum("subtotal").alias("items"))
-    orders = raw["orders"].join(sums, F.col("order_id") == F.col("of"), "left").withColumn(
-        "total_amount", F.when(wrong, F.col("total_amount")).otherwise(F.col("items"))
-        .cast("int")).drop("of", "items")
-    orders = orders.withColumns({"category": category("order_id"),
-                                 "order_date": bad_date("order_id", "order_date")})
     lost = lambda c: F.when(F.col(c) % LOST_EVERY == 0, -F.col(c)).otherwise(F.col(c))
-    items = items.withColumns({"order_id": lost("order_id"), "product_id": lost("product_id")})
-    return {
-        "users": twice(raw["users"], "user_id"),
-        "products": raw["products"].withColumn("category", category("product_id")),
-        "orders": twice(orders, "order_id"),
-        "order_items": items,
-        "sessions": raw["sessions"].withColumn("session_date", bad_date("session_id", "session_date")),
-        "access_logs": raw["access_logs"].withColumn("timestamp", bad_date("access_id", "timestamp")),
-    }
+
+    def priced():
+        return raw["order_items"].withColumn("subtotal", F.when(wrong, F.col("subtotal")).otherwise(
+            F.col("unit_price") * F.col("quantity")))
+
+    def summed():
+        sums = priced().groupBy(F.col("order_id").alias("of")).agg(F.sum("subtotal").alias("items"))
+        out = raw["orders"].join(sums, F.col("order_id") == F.col("of"), "left").withColumn(
+            "total_amount", F.when(wrong, F.col("total_amount")).otherwise(F.col("items"))
+            .cast("int")).drop("of", "items")
+        return twice(out.withColumns({"category": category("order_id"),
+                                      "order_date": bad_date("order_id", "order_date")}), "order_id")
+
+    return Lazy({
+        "users": lambda: twice(raw["users"], "user_id"),
+        "products": lambda: raw["products"].withColumn("category", category("product_id")),
+        "orders": summed,
+        "order_items": lambda: priced().withColumns({c: lost(c) for c in ("order_id", "product_id")}),
+        "sessions": lambda: raw["sessions"].withColumn(
+            "session_date", bad_date("session_id", "session_date")),
+        "access_logs": lambda: raw["access_logs"].withColumn(
+            "timestamp", bad_date("access_id", "timestamp")),
+    })
 
 
 # ---------------------------------------------------------------- evaluation shapes

@@ -17,7 +17,8 @@ CORRUPT = "_corrupt_record"
 DIALECT = {"header": "true", "encoding": "UTF-8", "quote": '"', "escape": '"',
            "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 # What the parser puts for an unquoted empty field, so that a quoted one can differ.
-NO_VALUE = "\x01"
+# A value of exactly these characters reads back as null.
+NO_VALUE = "\x01\x02no value\x02\x01"
 # A file with quoted line breaks is read by one task, so files stay this short.
 ROWS_PER_FILE = 500_000
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import posixpath
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -28,3 +30,21 @@ class DriverTables:
             setattr(self, name, df)
             return df
         raise AttributeError(name)
+
+
+class Lazy(Mapping):
+    """Tables by name, each built when it is first used."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders, self._built = builders, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)

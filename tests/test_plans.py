@@ -73,3 +73,23 @@ def test_marts_aggregate_map_side_before_every_shuffle(spark):
         for i in exchanges:
             below = lines[i + 1]
             assert "HashAggregate" in below and "partial_" in below, (k, below)
+
+
+def test_access_marts_shuffle_at_most_twice_and_read_the_log_once(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shop = Shop(spark, SF_SMALL)
+        for df in (shop.risk_counters(), shop.access_summary(), shop.threat_events(), shop.monthly_sales()):
+            plan = _plan(df)
+            assert plan.count("Exchange hashpartitioning") <= 2 and plan.count("FileScan") == 1
+        # the latest date over all users is no second aggregation by user
+        assert _plan(shop.rfm_base()).count("Exchange hashpartitioning") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_a_query_opens_only_the_tables_it_reads(spark):
+    shop = Shop(spark, SF_SMALL)
+    shop.silver["users"].schema
+    assert {"customer", "nation"} == set(vars(shop.t)) - {"spark", "sf_dir"}
