@@ -443,6 +443,19 @@ SELECT label, rank_no, vec_id, score FROM (
   CROSS JOIN embeddings e)
 WHERE rank_no <= 10""")
 
+ORACLES["vector_index_topk"] = ORACLES["vector_topk"]
+_LEVEL = """
+SELECT '{level}' AS level, {period} AS period, {threat} AS thr_cls,
+       count(DISTINCT ip_address) AS uniq_src, count(DISTINCT user_id) AS uniq_usr
+FROM s_access_logs GROUP BY {keys}"""
+_QUARTER = "substr(ym, 1, 4) || '-Q' || CAST((CAST(substr(ym, 6, 2) AS INTEGER) + 2) // 3 AS VARCHAR)"
+oracle("distinct_rollups", " UNION ALL ".join(
+    _LEVEL.format(level=level, period=period, threat=threat, keys=keys) for level, period, threat, keys in (
+        ("month and threat", "ym", "threat_type", "ym, threat_type"),
+        ("quarter", _QUARTER, "CAST(NULL AS VARCHAR)", _QUARTER),
+        ("threat", "CAST(NULL AS VARCHAR)", "threat_type", "threat_type"),
+        ("all", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)", "true"))), "s_access_logs")
+
 # ---------------------------------------------------------------- evaluation statistics
 cte("v_spans", """
 SELECT conv_id AS trace_id, turn AS span_id, role AS agent, turn * 1000 AS start_ms,

@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as _F
 
 from shopmarts.functions import presentation as P
+from shopmarts.operators import distincts as D
 from shopmarts.operators import evalstats as E
+from shopmarts.operators import pivots as PV
 from shopmarts.operators import quality as V
 from shopmarts.operators import questions as Q
 from shopmarts.operators import retrieval as R
@@ -170,6 +172,18 @@ register("lexical_topk")(lambda spark, sf_dir: R.lexical_topk_with_source(
     _t(spark, sf_dir).documents, _t(spark, sf_dir).benchmark, k=5))
 register("vector_topk")(lambda spark, sf_dir: R.centroid_topk(_t(spark, sf_dir).embeddings, k=10))
 
+register("vector_index_topk")(lambda spark, sf_dir: PV.centroid_topk(_t(spark, sf_dir).embeddings, k=10))
+
+# ---------------------------------------------------------------- mergeable distinct counts
+
+
+@register("distinct_rollups")
+def _distinct_rollups(spark, sf_dir):
+    """Distinct users and sources at four levels from one written bitmap state."""
+    state = files.written(D.access_state(_shop(spark, sf_dir).silver["access_logs"]), "access_state")
+    return D.access_rollups(state)
+
+
 # ---------------------------------------------------------------- evaluation statistics
 
 
