@@ -523,6 +523,9 @@ SELECT * REPLACE (CASE WHEN order_id % 5 = 0
                        THEN category || chr(10) || '"no. ' || CAST(order_id AS VARCHAR) || '",' || chr(10) || chr(10)
                        ELSE category END AS category)
 FROM b_orders""", "b_orders")
+for _m in ("monthly_sales", "customer_rfm", "cart_abandonment", "access_summary", "threat_events",
+           "user_risk"):
+    ORACLES[f"refreshed_{_m}"] = ORACLES[_m]
 ORACLES["pass_rate_stream"] = ORACLES["pass_rate"]
 ORACLES["customer_360_colocated"] = ORACLES["customer_360"]
 oracle("presented_threat_events", f"""

@@ -19,6 +19,7 @@ from shopmarts.operators import quality as V
 from shopmarts.operators import questions as Q
 from shopmarts.operators import retrieval as R
 from shopmarts.plans import pipeline as PL
+from shopmarts.plans import refresh as RF
 from shopmarts.plans.shop import Shop
 from shopmarts.session import default_parallelism, shared_path
 from shopmarts.sources import adapters as A
@@ -137,6 +138,28 @@ def _medallion_row_counts(spark, sf_dir):
     return PL.run_pipeline(spark, _shop(spark, sf_dir).raw, _fresh_database())
 
 
+def _refreshed(mart: str) -> Query:
+    """The facts in two batches, all months up to 2025-06 and then the later ones and
+    some late rows of earlier months; the mart after the second."""
+    late = {"orders": (_F.col("order_date") > "2025-06") | (_F.col("order_id") % 50 == 0),
+            "sessions": (_F.col("session_date") > "2025-06") | (_F.col("session_id") % 50 == 0),
+            "access_logs": (_F.col("timestamp") > "2025-06") | (_F.col("access_id") % 50 == 0)}
+
+    def run(spark, sf_dir):
+        shop, kept = _shop(spark, sf_dir), RF.MonthlyMarts(spark)
+        facts = {"customer_rfm": "orders", "user_risk": "access_logs"}.get(mart) or RF.BY_MONTH[mart][0]
+        rows, second = shop.raw[facts], _F.coalesce(late[facts], _F.lit(True))
+        kept.add({facts: rows.filter(~second)}, "first")
+        kept.add({facts: rows.filter(second)}, "second")
+        return kept.mart(mart, shop.silver["users"])
+    return run
+
+
+for _m in ("monthly_sales", "customer_rfm", "cart_abandonment", "access_summary", "threat_events",
+           "user_risk"):
+    QUERIES[f"refreshed_{_m}"] = _refreshed(_m)
+
+
 @register("table_roundtrip")
 def _table_roundtrip(spark, sf_dir):
     """Mart -> parquet table in the shared folder -> named-table scan."""
