@@ -526,6 +526,8 @@ FROM b_orders""", "b_orders")
 for _m in ("monthly_sales", "customer_rfm", "cart_abandonment", "access_summary", "threat_events",
            "user_risk"):
     ORACLES[f"refreshed_{_m}"] = ORACLES[_m]
+ORACLES["access_summary_stream"] = ORACLES["access_summary"]
+ORACLES["threat_events_stream"] = ORACLES["threat_events"]
 ORACLES["pass_rate_stream"] = ORACLES["pass_rate"]
 ORACLES["customer_360_colocated"] = ORACLES["customer_360"]
 oracle("presented_threat_events", f"""

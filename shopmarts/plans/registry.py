@@ -25,6 +25,7 @@ from shopmarts.session import default_parallelism, shared_path
 from shopmarts.sources import adapters as A
 from shopmarts.sources import csvranges, files
 from shopmarts.sources.tables import DriverTables
+from shopmarts.streaming import access as AC
 from shopmarts.streaming import monitor as M
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -253,6 +254,25 @@ def _pass_rate_stream(spark, sf_dir):
     return out
 
 
+def _access_stream(spark, sf_dir) -> AC.AccessStream:
+    """All access logs land in two parts, the second with a tenth of the first again;
+    the stream takes them in micro-batches.  The delay spans the whole log, whose
+    events are in no order of time."""
+    logs = _shop(spark, sf_dir).raw["access_logs"]
+    base = shared_path(spark, "access_stream", unique=True)
+    key = _F.pmod(_F.xxhash64("access_id"), _F.lit(10))
+    logs.filter(key < 5).write.parquet(f"{base}/in/part=1")
+    logs.filter((key >= 5) | (key == 0)).write.parquet(f"{base}/in/part=2")
+    stream = AC.AccessStream(spark, f"{base}/in/part=*", logs.schema, base, delay="36500 days",
+                             files_per_trigger=max(1, default_parallelism(spark)))
+    stream.catch_up()
+    return stream
+
+
+register("access_summary_stream")(lambda spark, sf_dir: _access_stream(spark, sf_dir).access_summary())
+register("threat_events_stream")(lambda spark, sf_dir: _access_stream(spark, sf_dir).threat_events())
+
+
 @register("customer_360_colocated")
 def _customer_360_colocated(spark, sf_dir):
     """Q11 over pipeline tables bucketed by user id: the joins read co-located
