@@ -142,14 +142,14 @@ def _medallion_row_counts(spark, sf_dir):
 def _refreshed(mart: str) -> Query:
     """The facts in two batches, all months up to 2025-06 and then the later ones and
     some late rows of earlier months; the mart after the second."""
-    late = {"orders": (_F.col("order_date") > "2025-06") | (_F.col("order_id") % 50 == 0),
-            "sessions": (_F.col("session_date") > "2025-06") | (_F.col("session_id") % 50 == 0),
-            "access_logs": (_F.col("timestamp") > "2025-06") | (_F.col("access_id") % 50 == 0)}
+    late = {"orders": "order_date > '2025-06' or order_id % 50 = 0",
+            "sessions": "session_date > '2025-06' or session_id % 50 = 0",
+            "access_logs": "timestamp > '2025-06' or access_id % 50 = 0"}
 
     def run(spark, sf_dir):
         shop, kept = _shop(spark, sf_dir), RF.MonthlyMarts(spark)
         facts = {"customer_rfm": "orders", "user_risk": "access_logs"}.get(mart) or RF.BY_MONTH[mart][0]
-        rows, second = shop.raw[facts], _F.coalesce(late[facts], _F.lit(True))
+        rows, second = shop.raw[facts], _F.coalesce(_F.expr(late[facts]), _F.lit(True))
         kept.add({facts: rows.filter(~second)}, "first")
         kept.add({facts: rows.filter(second)}, "second")
         return kept.mart(mart, shop.silver["users"])
