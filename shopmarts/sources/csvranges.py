@@ -54,14 +54,20 @@ def records(lines: DataFrame, states: DataFrame) -> DataFrame:
     ranges a window over the range's lines finds the record starts; lines of
     records that take several are grouped by the place of their first line, which
     for the lines at a range's start lies in an earlier range."""
-    head = (F.col("range") == 0) & (F.col("pos") == F.col("first"))
-    known = lines.join(states, RANGE)
-    whole = known.filter("plain").select("file", head.alias("head"), F.col("line").alias("record"))
-    if states.filter(~F.col("plain")).isEmpty():
+    # both tables that lines are joined with are short: one row for each range with an
+    # open quote, and one a file
+    broken = states.filter(~F.col("plain"))
+    firsts = states.filter("range = 0").select("file", F.col("first").alias("pos"),
+                                               F.lit(True).alias("is_first"))
+    head = F.coalesce("is_first", F.lit(False))
+    whole = (lines.join(broken.select(*RANGE), RANGE, "left_anti").join(firsts, ["file", "pos"], "left")
+             .select("file", head.alias("head"), F.col("line").alias("record")))
+    if broken.isEmpty():
         return whole
+    known = lines.join(broken, RANGE).join(firsts, ["file", "pos"], "left")
     order = Window.partitionBy(*RANGE).orderBy("pos")
     flips = F.sum(F.col("odd").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    opened = known.filter(~F.col("plain")).withColumn(
+    opened = known.withColumn(
         "start", (F.coalesce(flips, F.lit(0)) + F.col("inside").cast("int")) % 2 == 0)
     opened = opened.withColumn("at", F.max(F.when(F.col("start"), F.col("pos"))).over(order))
     single = opened.filter(F.col("start") & ~F.col("odd")).select(
