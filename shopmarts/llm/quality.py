@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopmarts.llm.rows import column
+from shopmarts.llm.storage import written
+from shopmarts.llm.whitening import _merged, _part
 from shopmarts.llm.wordblocks import hashed_blocks
 
 N_PAIRS = 256       # hash buckets of byte pairs
@@ -21,6 +23,8 @@ N_SHAPE = 8
 N_TEXT = 128 + N_PAIRS + N_SHAPE
 N_SOURCE, N_LANG, N_LENGTH = 64, 16, 32
 N_META = N_SOURCE + N_LANG + N_LENGTH
+N_CODES = N_SOURCE * N_LANG * N_LENGTH
+BINS = 2560         # steps of the log-odds in which the pool is counted
 META = ("source", "lang", "n_chars")
 
 
@@ -48,7 +52,7 @@ def text_features(texts: list[str | None]) -> np.ndarray:
     lines = np.array([_repeated_lines(t) for t in texts]).reshape(n, 1) if n else np.zeros((0, 1))
     some = np.maximum(size, 1)[:, None]
     mean = word_bytes / np.maximum(n_words, 1)
-    shape = np.column_stack([np.log1p(size) / 10, np.log1p(n_words) / 10, mean / 10,
+    shape = np.column_stack([np.log1p(size) / 10, np.log1p(n_words) / 10, np.log1p(mean) / 2,
                              np.minimum(mean, 30) ** 2 / 200, upper / some[:, 0], lines[:, 0],
                              size == 0, np.ones(n)])
     return np.hstack([3 * np.sqrt(ones / some), 3 * np.sqrt(pairs / some), shape]).astype(np.float32)
@@ -59,15 +63,24 @@ def _repeated_lines(text: str | None) -> float:
     return 1 - len(set(lines)) / len(lines) if lines else 0.0
 
 
-def meta_features(source: list, lang: list, n_chars: list) -> np.ndarray:
-    """Rows of one-hot features: hashed source, hashed language, length band.
+def meta_codes(source: list, lang: list, n_chars: list) -> np.ndarray:
+    """One number a row for its hashed source, hashed language and length band.
     A null has a slot of its own in each."""
-    out = np.zeros((len(source), N_META), np.float32)
+    out = np.empty(len(source), np.int32)
     for k, (s, g, c) in enumerate(zip(source, lang, n_chars)):
-        out[k, 0 if s is None else 1 + zlib.crc32(str(s).encode()) % (N_SOURCE - 1)] = 1
-        out[k, N_SOURCE + (0 if g is None else 1 + zlib.crc32(str(g).encode()) % (N_LANG - 1))] = 1
+        s = 0 if s is None else 1 + zlib.crc32(str(s).encode()) % (N_SOURCE - 1)
+        g = 0 if g is None else 1 + zlib.crc32(str(g).encode()) % (N_LANG - 1)
         band = 0 if c is None or c < 0 else 1 + min(N_LENGTH - 2, int(2 * math.log2(1 + c)) // 2)
-        out[k, N_SOURCE + N_LANG + band] = 1
+        out[k] = (s * N_LANG + g) * N_LENGTH + band
+    return out
+
+
+def meta_features(codes: np.ndarray) -> np.ndarray:
+    """Rows of one-hot features of the three parts of a code."""
+    out, rows = np.zeros((len(codes), N_META), np.float32), np.arange(len(codes))
+    out[rows, codes // (N_LANG * N_LENGTH)] = 1
+    out[rows, N_SOURCE + codes // N_LENGTH % N_LANG] = 1
+    out[rows, N_SOURCE + N_LANG + codes % N_LENGTH] = 1
     return out
 
 
@@ -75,17 +88,33 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
 
 
-def _fit(x: np.ndarray, y: np.ndarray, l2: float = 1.0, steps: int = 12) -> np.ndarray:
+def _ridge(size: int, l2: float) -> np.ndarray:
+    return np.append(np.full(size - 1, l2), 1e-3)
+
+
+def _sums(x: np.ndarray, y: np.ndarray, weight: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and Hessian of the weighted logistic loss over rows ending in a 1."""
+    p = _sigmoid(x @ w)
+    return x.T @ (weight * (p - y)), (x.T * (weight * np.maximum(p * (1 - p), 1e-4))) @ x
+
+
+def _moved(w: np.ndarray, g: np.ndarray, h: np.ndarray, ridge: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """``w`` after a Newton step, no row of ``x`` moving by more than 5 nats."""
+    step = np.linalg.solve(h + np.diag(ridge), g + ridge * w)
+    return w - step * min(1.0, 5 / max(1e-9, np.abs(x @ step).max()))
+
+
+def _ones(x: np.ndarray) -> np.ndarray:
+    return np.column_stack([x, np.ones(len(x))]).astype(np.float64)
+
+
+def _fit(x: np.ndarray, y: np.ndarray, l2: float = 1.0, steps: int = 12,
+         weight: np.ndarray | None = None) -> np.ndarray:
     """L2-regularised logistic regression by damped Newton steps."""
-    x = np.column_stack([x, np.ones(len(x))]).astype(np.float64)
-    w, ridge = np.zeros(x.shape[1]), np.full(x.shape[1], l2)
-    ridge[-1] = 1e-3
+    x, weight = _ones(x), np.ones(len(x)) if weight is None else weight
+    w, ridge = np.zeros(x.shape[1]), _ridge(x.shape[1], l2)
     for _ in range(steps):
-        p = _sigmoid(x @ w)
-        s = np.maximum(p * (1 - p), 1e-4)
-        step = np.linalg.solve((x * s[:, None]).T @ x + np.diag(ridge),
-                               x.T @ (p - y) + ridge * w)
-        w -= step * min(1.0, 5 / max(1e-9, np.abs(x @ step).max()))
+        w = _moved(w, *_sums(x, y, weight, w), ridge, x)
     return w
 
 
@@ -113,7 +142,7 @@ class CoTrained:
         for s in range(0, n, CHUNK):
             some = slice(s, s + CHUNK)
             t[some] = _logit(text_features(texts[some]), self.text)
-            m[some] = _logit(meta_features(*(c[some] for c in meta)), self.meta)
+            m[some] = _logit(meta_features(meta_codes(*(c[some] for c in meta))), self.meta)
         both = _sigmoid(self.blend[0] * t + self.blend[1] * m + self.blend[2])
         return _sigmoid(t), _sigmoid(m), both
 
@@ -122,46 +151,165 @@ class CoTrained:
         return (score >= threshold) | (self.text is None)
 
 
-def co_train(text: np.ndarray, meta: np.ndarray, label: np.ndarray, rounds: int = 4,
-             per_round: int = 400, confident: float = 0.97) -> CoTrained:
-    """Fit on rows with ``label`` 0 or 1; rows with -1 are the unlabelled pool.
+def _bins(z: np.ndarray) -> np.ndarray:
+    """Log-odds in ``BINS`` steps of equal width, from -20 to 20."""
+    return np.clip(np.floor((z + 20) * (BINS / 40)), 0, BINS - 1).astype(np.int64)
+
+
+def _cuts(counts: np.ndarray, share: float, confident: float) -> tuple[float, float]:
+    """Log-odds from which, and up to which, a row is surely good or bad: those of the
+    most confident ``share`` at either end, ties included, not below ``confident``."""
+    sure, most = math.log(confident / (1 - confident)), share * counts.sum()
+    top = BINS - 1 - int(np.searchsorted(np.cumsum(counts[::-1]), most))
+    low = int(np.searchsorted(np.cumsum(counts), most))
+    return max(top * 40 / BINS - 20, sure), min((low + 1) * 40 / BINS - 20, -sure)
+
+
+def _given(z: np.ndarray, cuts: tuple[float, float]) -> np.ndarray:
+    """1, 0 or, where the view is not sure, -1."""
+    return np.where(z >= cuts[0], 1, np.where(z <= cuts[1], 0, -1))
+
+
+def _first(labels: list[np.ndarray]) -> np.ndarray:
+    """Each row's earliest label that is not -1."""
+    out = labels[0]
+    for later in labels[1:]:
+        out = np.where(out >= 0, out, later)
+    return out
+
+
+class Pool:
+    """The unlabelled rows (``code, t``), all of them, as sums made in Spark.
+
+    Only results of a fixed size reach the driver: counts by metadata code, by step
+    of the log-odds, and one gradient with its Hessian.
+    """
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows
+        found = rows.groupBy("code").count().collect()         # at most N_CODES
+        self.counts = np.zeros(N_CODES)
+        for r in found:
+            self.counts[r["code"]] = r["count"]
+
+    def _each(self, run: Callable[[np.ndarray, np.ndarray], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+        def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield from run((b.column(0).to_numpy()[s:s + 1024], unpacked(b.column(1).slice(s, 1024)))
+                           for b in it for s in range(0, b.num_rows, 1024))
+        return self.rows.select("code", "t").mapInArrow(batches, schema)
+
+    def steps(self, w: np.ndarray) -> np.ndarray:
+        """How many rows the text view puts in each step of the log-odds."""
+        def run(blocks):
+            n = sum((np.bincount(_bins(_logit(x, w)), minlength=BINS) for _, x in blocks),
+                    np.zeros(BINS, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(BINS)), pa.array(n)], ["bin", "n"])
+        rows = self._each(run, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect()
+        out = np.zeros(BINS)
+        for r in rows:
+            out[r["bin"]] = r["n"]
+        return out
+
+    def by_code(self, history: list[tuple[np.ndarray, tuple[float, float]]]) -> np.ndarray:
+        """Rows by code and the label that the text view gave them first."""
+        def run(blocks):
+            n = np.zeros((N_CODES, 2), np.int64)
+            for code, x in blocks:
+                y = _first([_given(_logit(x, w), cuts) for w, cuts in history])
+                np.add.at(n, (code[y >= 0], y[y >= 0]), 1)
+            at = np.argwhere(n)
+            yield pa.RecordBatch.from_arrays([pa.array(at[:, 0]), pa.array(at[:, 1]), pa.array(n[n > 0])],
+                                             ["code", "y", "n"])
+        out = np.zeros((N_CODES, 2))
+        for r in (self._each(run, "code long, y long, n long").groupBy("code", "y")
+                  .agg(F.sum("n").alias("n")).collect()):
+            out[r["code"], r["y"]] = r["n"]
+        return out
+
+    def sums(self, w: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Gradient and Hessian of the text view over the rows whose code has a
+        ``label`` of 0 or 1, each class with its ``weight``; merged in a tree."""
+        size = len(w)
+        upper = np.triu_indices(size)
+
+        def packed(g: np.ndarray, h: np.ndarray) -> bytes:
+            return g.astype(np.float64).tobytes() + h.astype(np.float32).tobytes()
+
+        def opened(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+            return (np.frombuffer(data, np.float64, size),
+                    np.frombuffer(data, np.float32, offset=8 * size).astype(np.float64))
+
+        def run(blocks):
+            g, h = np.zeros(size), np.zeros((size, size))
+            for code, x in blocks:
+                y = label[code]
+                if (y >= 0).any():
+                    more = _sums(_ones(x[y >= 0]), y[y >= 0], weight[y[y >= 0]], w)
+                    g, h = g + more[0], h + more[1]
+            yield _part(packed(g, h[upper]))
+
+        def merge(parts: list[bytes]) -> bytes:
+            g, h = zip(*map(opened, parts))
+            return packed(sum(g), sum(h))
+
+        g, flat = opened(_merged(self._each(run, "part long, data binary"), merge, "quality_sums"))
+        h = np.zeros((size, size))
+        h[upper] = flat
+        return g, h + np.triu(h, 1).T
+
+
+def co_train(text: np.ndarray, meta: np.ndarray, label: np.ndarray, pool: Pool, rounds: int = 4,
+             share: float = 0.08, confident: float = 0.97, steps: int = 2) -> CoTrained:
+    """Fit on labelled rows (``text`` features, ``meta`` codes, ``label`` 0 or 1) and
+    the whole unlabelled pool.
 
     A fifth of the labelled rows is set aside.  In each round either view scores
-    the pool and hands its most confident rows, per class, as pseudo-labels to
-    the *other* view, which refits on them and the true labels.  The set-aside
-    rows then calibrate: a logistic blend of the two views' log-odds.  A class
-    of fewer than 5 rows serves for both.  Without a row of either class there
-    is nothing to learn: every score is the labelled share of good rows (0.5
-    without labels), and all documents are kept.
+    the pool and hands its most confident rows (``share`` of the pool per class in
+    the first round, twice that in the second, and so on; none below ``confident``)
+    as pseudo-labels to the *other* view, which refits on them and the true labels.
+    A row keeps its first pseudo-label.  A class's pseudo-labels together weigh at
+    most as much as its true ones, so the exchange works alike at every size.
+    The metadata view refits on counts by code, the text view by ``steps`` Newton
+    steps whose sums over the pool are made in Spark.  The set-aside rows then
+    calibrate: a logistic blend of the two views' log-odds.  A class of fewer than
+    5 rows serves for both.  Without a row of either class there is nothing to
+    learn: every score is the labelled share of good rows (0.5 without labels),
+    and all documents are kept.
     """
-    known = np.flatnonzero(label >= 0)
-    prior = float(label[known].mean()) if len(known) else 0.5
+    prior = float(label.mean()) if len(label) else 0.5
     if not ((label == 1).any() and (label == 0).any()):
         return CoTrained(None, None, np.zeros(3), prior)
     aside, twice = np.zeros(len(label), bool), np.zeros(len(label), bool)
     for c in (0, 1):                       # the aside fold holds both classes
         rows = np.flatnonzero(label == c)
         (aside if len(rows) >= 5 else twice)[rows[::5] if len(rows) >= 5 else rows] = True
-    train, pool = np.flatnonzero((label >= 0) & ~aside), np.flatnonzero(label < 0)
-    views = {"text": text, "meta": meta}
-    given = {"text": {}, "meta": {}}       # pseudo-labels a view has received
-    weights = {}
-    for r in range(rounds + 1):
-        for v, x in views.items():
-            rows = np.concatenate([train, np.fromiter(given[v], int, len(given[v]))])
-            y = np.concatenate([label[train], np.fromiter(given[v].values(), int, len(given[v]))])
-            weights[v] = _fit(x[rows], y)
-        if r == rounds or not len(pool):
-            break
-        for v, other in (("text", "meta"), ("meta", "text")):
-            p = _sigmoid(_logit(views[v][pool], weights[v]))
-            for c, sure in ((1, p), (0, 1 - p)):
-                best = np.argsort(-sure, kind="stable")[:per_round * (r + 1)]
-                for k in best[sure[best] >= confident]:
-                    given[other].setdefault(int(pool[k]), c)
+    x, m, y = _ones(text[~aside]), meta_features(meta[~aside]), label[~aside]
+    true = np.bincount(y, minlength=2)
+    every = meta_features(np.arange(N_CODES))
+    w_text, w_meta = _fit(x[:, :-1], y), _fit(m, y)
+    by_text, by_meta = [], []              # what each view has handed over, by round
+    for r in range(rounds if pool.counts.any() else 0):
+        z = _logit(every, w_meta)
+        steps_meta = np.bincount(_bins(z), weights=pool.counts, minlength=BINS)
+        by_meta.append(_given(z, _cuts(steps_meta, share * (r + 1), confident)))
+        by_text.append((w_text, _cuts(pool.steps(w_text), share * (r + 1), confident)))
+        got = pool.by_code(by_text)
+        light = np.minimum(1, true / np.maximum(got.sum(axis=0), 1))
+        code, c = np.nonzero(got)
+        w_meta = _fit(np.vstack([m, every[code]]), np.append(y, c),
+                      weight=np.append(np.ones(len(y)), got[code, c] * light[c]))
+        to_text = _first(by_meta)
+        sizes = np.array([pool.counts[to_text == c].sum() for c in (0, 1)])
+        light = np.minimum(1, true / np.maximum(sizes, 1))
+        for _ in range(steps):
+            g, h = _sums(x, y, np.ones(len(y)), w_text)
+            if sizes.any():
+                more = pool.sums(w_text, to_text, light)
+                g, h = g + more[0], h + more[1]
+            w_text = _moved(w_text, g, h, _ridge(len(w_text), 1.0), x)
     held = np.flatnonzero(aside | twice)
-    z = np.column_stack([_logit(views[v][held], weights[v]) for v in ("text", "meta")])
-    return CoTrained(weights["text"], weights["meta"], _fit(z, label[held], l2=0.5), prior)
+    z = np.column_stack([_logit(text[held], w_text), _logit(meta_features(meta[held]), w_meta)])
+    return CoTrained(w_text, w_meta, _fit(z, label[held], l2=0.5), prior)
 
 
 def _inputs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -172,43 +320,51 @@ def _inputs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(*pick)
 
 
+def unpacked(t: pa.Array) -> np.ndarray:
+    """Rows of features from their bytes."""
+    return np.frombuffer(b"".join(t.to_pylist()), np.float16).reshape(-1, N_TEXT).astype(np.float64)
+
+
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for s in range(0, b.num_rows, CHUNK):
+            c = b.slice(s, CHUNK)
+            t = text_features(c.column(1).to_pylist()).astype(np.float16)
+            code = meta_codes(*(c.column(k).to_pylist() for k in (2, 3, 4)))
+            yield pa.RecordBatch.from_arrays(
+                [c.column(0), pa.array([x.tobytes() for x in t], pa.binary()), pa.array(code)],
+                ["id", "t", "code"])
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                 label_col: str = "quality", max_labelled: int = 5000,
-                max_pool: int = 5000, text_col: str = "text") -> CoTrained:
-    """Co-train on at most ``max_labelled`` labelled and ``max_pool`` unlabelled
-    documents, chosen by a hash of their id (alike on every run).
-
-    Only these rows' features reach the driver.  Null labels or ids, and ids
-    with contradicting labels, are not used.
+                text_col: str = "text", rounds: int = 4) -> CoTrained:
+    """Co-train on at most ``max_labelled`` labelled documents, chosen by a hash of
+    their id (alike on every run), and on all documents without a label.
+
+    Features are made once for each document, in one pass over the texts, and
+    written; only the chosen labelled rows' features reach the driver.  Null labels
+    and ids with contradicting labels are not used; documents with a null id have
+    no label and belong to the pool, repeated rows as often as they occur.
     """
     one = (labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
            .groupBy(id_col).agg(F.min(label_col).alias("_y"), F.max(label_col).alias("_z"))
-           .filter("_y = _z").select(id_col, F.col("_y").cast("int")))
-    order = [F.xxhash64(F.col(id_col), F.lit(17)), F.col(id_col)]
-    ids = docs.filter(F.col(id_col).isNotNull()).select(id_col)
-    # each choice has a stated number of rows, so it is safe to broadcast
-    known = ids.distinct().join(one, id_col).orderBy(*order).limit(max_labelled)
-    pool = (ids.distinct().join(labels.select(id_col), id_col, "left_anti")
-            .orderBy(*order).limit(max_pool).withColumn("_y", F.lit(-1)))
-    chosen = known.unionByName(pool)
-    rows = _inputs(docs, id_col, text_col).join(F.broadcast(chosen), id_col)
-    rows = rows.select(id_col, "_y", "_text", *(f"_{c}" for c in META))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            t = text_features(b.column(2).to_pylist())
-            m = meta_features(*(b.column(k).to_pylist() for k in (3, 4, 5)))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([x.tobytes() for x in t], pa.binary()),
-                 pa.array([x.tobytes() for x in m], pa.binary())], ["id", "y", "t", "m"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    found = rows.mapInArrow(run, f"id {kind}, y int, t binary, m binary").toPandas()
+           .filter("_y = _z").select(F.col(id_col).alias("id"), F.col("_y").cast("int")))
+    ids = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id")).distinct()
+    # a stated number of rows, so it is safe to broadcast
+    known = ids.join(one, "id").orderBy(F.xxhash64("id", F.lit(17)), "id").limit(max_labelled)
+    marks = (labels.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id")).distinct()
+             .join(F.broadcast(known), "id", "left").select("id", F.coalesce("_y", F.lit(-2)).alias("y")))
+    x = _inputs(docs, id_col, text_col)
+    kind = x.schema[0].dataType.simpleString()
+    rows = written(x.mapInArrow(_features, f"id {kind}, t binary, code int")
+                   .join(marks, "id", "left").withColumn("y", F.coalesce("y", F.lit(-1))),
+                   "quality_features")
+    found = rows.filter("y >= 0").toPandas()
     found["k"] = [zlib.crc32(str(i).encode()) for i in found["id"]]
-    found = found.sort_values(["k", "id", "t", "m"]).drop_duplicates("id")
-    stack = lambda c, n: (np.frombuffer(b"".join(found[c]), np.float32).reshape(-1, n)
-                          .astype(np.float64))
-    return co_train(stack("t", N_TEXT), stack("m", N_META), found["y"].to_numpy(int))
+    found = found.sort_values(["k", "id", "t", "code"]).drop_duplicates("id")
+    return co_train(unpacked(pa.array(found["t"], pa.binary())), found["code"].to_numpy(int),
+                    found["y"].to_numpy(int), Pool(rows.filter("y = -1")), rounds)
 
 
 def quality_scores(docs: DataFrame, model: CoTrained, threshold: float = 0.5,

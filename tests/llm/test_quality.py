@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -40,18 +41,76 @@ def test_held_out_accuracy_and_both_views(spark):
     assert abs(np.mean([r.score for r in out.values()]) - 0.75) < 0.05
 
 
-def test_views_teach_each_other():
-    rng = np.random.default_rng(2)
-    y = np.tile([0, 1], 400)
-    text = np.column_stack([y + rng.normal(0, .25, 800), rng.normal(size=800)])
-    meta = np.column_stack([y + rng.normal(0, .3, 800), rng.normal(size=800)])
-    label = np.where(np.arange(800) < 40, y, -1)
-    alone = Q.co_train(text, meta, label, rounds=0)
-    both = Q.co_train(text, meta, label, rounds=4)
-    def accuracy(m):
-        z = m.blend[0] * Q._logit(text, m.text) + m.blend[1] * Q._logit(meta, m.meta) + m.blend[2]
-        return np.mean((z > 0) == y)
-    assert accuracy(both) >= accuracy(alone) and accuracy(both) > 0.97
+def test_views_teach_each_other(spark):
+    rows, labels = corpus(900)
+    docs = spark.createDataFrame(rows, SCHEMA)
+    few = spark.createDataFrame([x for x in labels if x[0] < 40], "doc_id long, quality int")
+    def accuracy(rounds):
+        out = Q.quality_scores(docs, Q.fit_quality(docs, few, rounds=rounds)).collect()
+        return np.mean([r.kept == (r.doc_id % 4 != 0) for r in out if r.doc_id >= 40])
+    alone, both = accuracy(0), accuracy(4)
+    assert both >= alone and both > 0.97
+
+
+class LocalPool:
+    """The pool's sums by brute force over arrays."""
+
+    def __init__(self, code, x):
+        self.code, self.x = code, x
+        self.counts = np.bincount(code, minlength=Q.N_CODES).astype(float)
+
+    def steps(self, w):
+        out = np.zeros(Q.BINS)
+        for z in Q._logit(self.x, w):
+            out[min(Q.BINS - 1, max(0, int(np.floor((z + 20) * 64))))] += 1
+        return out
+
+    def by_code(self, history):
+        out = np.zeros((Q.N_CODES, 2))
+        for code, x in zip(self.code, self.x):
+            for w, (hi, lo) in history:
+                z = x @ w[:-1] + w[-1]
+                if z >= hi or z <= lo:
+                    out[code, int(z >= hi)] += 1
+                    break
+        return out
+
+    def sums(self, w, label, weight):
+        g, h = np.zeros(len(w)), np.zeros((len(w), len(w)))
+        for code, x in zip(self.code, self.x):
+            if (y := label[code]) >= 0:
+                x = np.append(x, 1)
+                p = 1 / (1 + np.exp(-x @ w))
+                g += weight[y] * (p - y) * x
+                h += weight[y] * max(p * (1 - p), 1e-4) * np.outer(x, x)
+        return g, h
+
+
+def test_exchange_equals_brute_force_over_the_whole_pool(spark):
+    rows, labels = corpus(400)
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = Q.fit_quality(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+    text = Q.text_features([r[1] for r in rows]).astype(np.float16).astype(float)
+    code = Q.meta_codes([r[3] for r in rows], [r[2] for r in rows], [r[4] for r in rows])
+    y = np.array([dict(labels).get(i, -1) for i in range(400)])
+    known = sorted(np.flatnonzero(y >= 0), key=lambda i: zlib.crc32(str(i).encode()))
+    want = Q.co_train(text[known], code[known], y[known], LocalPool(code[y < 0], text[y < 0]))
+    assert np.allclose(got.text, want.text, atol=1e-4) and np.allclose(got.meta, want.meta, atol=1e-4)
+    assert np.allclose(got.blend, want.blend, atol=1e-3)
+
+
+def test_all_of_a_pool_takes_part(spark):
+    """A source that no label covers is learnt from the pool, wherever its rows are."""
+    rows, labels = corpus(6600)
+    rare = [(i, ("x | " if i % 2 else "") + t.lower().replace("!!", "") + (" | |" * 40) * (i % 2),
+             "en", "rare" if i % 2 else "fine", n) for i, t, _, _, n in rows[6400:]]
+    docs = spark.createDataFrame(rows[:6400] + rare, SCHEMA)
+    few = spark.createDataFrame([x for x in labels if x[0] < 900], "doc_id long, quality int")
+    model, alone = Q.fit_quality(docs, few), Q.fit_quality(docs, few, rounds=0)
+    slot = Q.meta_codes(["rare"], ["en"], [100])[0] // (Q.N_LANG * Q.N_LENGTH)
+    assert alone.meta[slot] == 0 and model.meta[slot] != 0
+    n = Q.Pool(docs.select(F.lit(3).alias("code"), F.lit(b"").alias("t"))).counts
+    assert n[3] == 6600 and n.sum() == 6600
 
 
 def test_clean_driver_documents_stay(spark):
