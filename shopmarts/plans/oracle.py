@@ -511,6 +511,26 @@ SELECT p.*, p.span_id = s.span_id AS is_slowest FROM (
                   false) AS overlaps_prior
   FROM v_spans WINDOW w AS (PARTITION BY trace_id ORDER BY start_ms, span_id)) p
 LEFT JOIN v_slowest s ON p.trace_id = s.trace_id""", "v_spans", "v_slowest")
+for _key in ("trace_id", "agent"):
+    cte(f"v_depths_{_key}", f"""
+SELECT {_key}, depth, CAST(sum(t_end - t) AS BIGINT) AS ms, min(t) AS first_at FROM (
+  SELECT {_key}, t, CAST(sum(step) OVER w AS BIGINT) AS depth, lead(t) OVER w AS t_end FROM (
+    SELECT {_key}, t, sum(step) AS step FROM (
+      SELECT {_key}, CAST(start_ms AS BIGINT) AS t, 1 AS step FROM v_spans WHERE start_ms < end_ms
+      UNION ALL
+      SELECT {_key}, end_ms AS t, -1 AS step FROM v_spans WHERE start_ms < end_ms)
+    WHERE {_key} IS NOT NULL GROUP BY {_key}, t HAVING sum(step) <> 0)
+  WINDOW w AS (PARTITION BY {_key} ORDER BY t))
+WHERE t_end IS NOT NULL GROUP BY {_key}, depth""", "v_spans")
+oracle("trace_depth_time", "SELECT * FROM v_depths_trace_id", "v_depths_trace_id")
+oracle("agent_depth_time", "SELECT * FROM v_depths_agent", "v_depths_agent")
+oracle("trace_parallelism", """
+SELECT trace_id, max(depth) AS peak, arg_max(first_at, depth) AS peak_at,
+       CAST(coalesce(sum(ms) FILTER (WHERE depth > 0), 0) AS BIGINT) AS busy_ms,
+       CAST(coalesce(sum(ms) FILTER (WHERE depth > 1), 0) AS BIGINT) AS parallel_ms,
+       CAST(coalesce(sum(ms) FILTER (WHERE depth = 0), 0) AS BIGINT) AS idle_ms
+FROM v_depths_trace_id GROUP BY trace_id""", "v_depths_trace_id")
+oracle("clustered_access_logs", "SELECT * FROM s_access_logs", "s_access_logs")
 oracle("evaluation_dataset", """
 SELECT d.doc_id AS trace_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id

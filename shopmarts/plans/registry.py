@@ -14,6 +14,8 @@ from pyspark.sql import functions as _F
 from shopmarts.functions import presentation as P
 from shopmarts.operators import distincts as D
 from shopmarts.operators import evalstats as E
+from shopmarts.operators import layout as LY
+from shopmarts.operators import overlaps as OV
 from shopmarts.operators import pivots as PV
 from shopmarts.operators import quality as V
 from shopmarts.operators import questions as Q
@@ -198,6 +200,14 @@ register("vector_topk")(lambda spark, sf_dir: R.centroid_topk(_t(spark, sf_dir).
 
 register("vector_index_topk")(lambda spark, sf_dir: PV.centroid_topk(_t(spark, sf_dir).embeddings, k=10))
 
+
+@register("clustered_access_logs")
+def _clustered_access_logs(spark, sf_dir):
+    """Access logs written clustered by day and user, so that predicates on either
+    skip files, and read back."""
+    logs = _shop(spark, sf_dir).silver["access_logs"]
+    return LY.rewritten(logs, {"day": _F.unix_date("access_date"), "user": _F.col("user_id")})
+
 # ---------------------------------------------------------------- mergeable distinct counts
 
 
@@ -226,6 +236,12 @@ register("latency_profile")(lambda spark, sf_dir: E.latency_profile(_spans(spark
 register("trace_call_profile")(lambda spark, sf_dir: E.trace_call_profile(_spans(spark, sf_dir)))
 
 
+register("trace_depth_time")(lambda spark, sf_dir: OV.overlap_depths(_spans(spark, sf_dir)))
+register("agent_depth_time")(lambda spark, sf_dir: OV.overlap_depths(_spans(spark, sf_dir), "agent"))
+register("trace_parallelism")(lambda spark, sf_dir: OV.parallelism(
+    OV.overlap_depths(_spans(spark, sf_dir))))
+
+
 @register("evaluation_dataset")
 def _evaluation_dataset(spark, sf_dir):
     """Documents that answered a benchmark question (lexical top-k), with labels."""
