@@ -46,13 +46,20 @@ def clustered(df: DataFrame, columns: dict[str, Column], bits: int = 6) -> DataF
     At most 62 / number of columns ``bits`` are used.  Rows of one rank are divided
     further by the columns and a hash of the row, so a value that a third of all rows
     hold still spans many partitions.  Nulls rank first; an empty table stays empty.
+    The sort keys are columns of the row while it moves: made once a row, not once a
+    comparison.
     """
     bits = min(bits, 62 // len(columns))
     cuts = rank_cuts(df, columns, bits)
-    ranks = [_rank(c, cuts[n]).cast("long") for n, c in columns.items()]
     hashed = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
-    order = [interleaved(ranks, bits), *columns.values(), F.xxhash64(*hashed)]
-    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+    values, ranks = ({n: f"_layout_{kind}_{n}" for n in columns} for kind in ("value", "rank"))
+    keyed = (df.withColumns({values[n]: c for n, c in columns.items()})
+             .withColumns({ranks[n]: _rank(F.col(values[n]), cuts[n]).cast("long") for n in columns})
+             .withColumns({"_layout_place": interleaved([F.col(r) for r in ranks.values()], bits),
+                           "_layout_hash": F.xxhash64(*hashed)})
+             .drop(*ranks.values()))
+    order = ["_layout_place", *values.values(), "_layout_hash"]
+    return keyed.repartitionByRange(*order).sortWithinPartitions(*order).drop(*order)
 
 
 def rewritten(df: DataFrame, columns: dict[str, Column], label: str = "clustered") -> DataFrame:

@@ -63,3 +63,12 @@ def test_interleaved_bits(spark):
     got = {(r.a, r.b): r.z for r in df.withColumn("z", L.interleaved([F.col("a"), F.col("b")], 2)).collect()}
     assert sorted(got.values()) == list(range(16))
     assert got[1, 0] == 2 and got[0, 1] == 1 and got[3, 3] == 15 and got[2, 0] == 8
+
+
+def test_sort_keys_are_made_once_a_row(spark):
+    df = spark.range(200).select(F.pmod(F.xxhash64("id"), F.lit(50)).alias("user"), "id")
+    out = L.clustered(df, {"user": F.col("user"), "day": F.col("id") % 7})
+    sorts = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+             if "Sort [" in line or "RepartitionByExpression" in line]
+    assert len(sorts) == 2 and all("_layout_place" in s and "lambda" not in s for s in sorts)
+    assert out.columns == df.columns and out.exceptAll(df).isEmpty() and out.count() == 200
