@@ -13,7 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopmarts.sources.files import CORRUPT
+from shopmarts.session import shared_path
+from shopmarts.sources.files import CORRUPT, write_counted
 
 # The value domains of the raw data.
 DOMAINS = {
@@ -30,6 +31,8 @@ KEYS = {"users": "user_id", "products": "product_id", "orders": "order_id",
 DATE_COLUMNS = {("users", "registration_date"): "date", ("orders", "order_date"): "date",
                 ("sessions", "session_date"): "date", ("access_logs", "timestamp"): "timestamp"}
 
+KEYS_PER_TASK = 1 << 19
+
 
 def item_subtotal(order_items: DataFrame) -> DataFrame:
     """V1: subtotal must equal unit_price x quantity."""
@@ -76,13 +79,22 @@ def category_match(order_items: DataFrame, orders: DataFrame, products: DataFram
             .select("item_id", "order_id", "product_id", "order_category", "product_category"))
 
 
-def duplicate_keys(raw: dict[str, DataFrame]) -> DataFrame:
-    """V5: keys that occur more than once, per table."""
-    parts = [df.groupBy(F.col(KEYS[t]).cast("string").alias("key_value"))
-             .agg(F.count(F.lit(1)).alias("n"))
-             .filter(F.col("n") > 1)
-             .select(F.lit(t).alias("table_name"), "key_value", "n")
-             for t, df in raw.items() if t in KEYS]
+def duplicate_keys(raw: dict[str, DataFrame], rows_per_task: int = KEYS_PER_TASK) -> DataFrame:
+    """V5: keys that occur more than once, per table.
+
+    Nearly all keys are distinct, so a task's table of counts grows with its rows.
+    The keys are written once, which counts them, and dealt by key to tasks of about
+    ``rows_per_task`` rows: more rows make more tasks, not larger ones."""
+    parts = []
+    for t in (t for t in raw if t in KEYS):
+        keys = raw[t].select(F.col(KEYS[t]).cast("string").alias("key_value"))
+        path = shared_path(keys.sparkSession, "steps", f"keys_{t}", unique=True)
+        rows = write_counted(keys, lambda d: d.write.parquet(path))
+        keys = keys.sparkSession.read.schema(keys.schema).parquet(path)
+        parts.append(keys.repartition(max(1, -(-rows // rows_per_task)), "key_value")
+                     .groupBy("key_value").agg(F.count(F.lit(1)).alias("n"))
+                     .filter(F.col("n") > 1)
+                     .select(F.lit(t).alias("table_name"), "key_value", "n"))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from shopmarts.operators import quality as V
 from tests.fixtures import access, order, raw_frames, user
 
@@ -56,3 +58,13 @@ def test_planted_rows_are_found(spark):
         [("orders", "2024-13-01")]
     bad = {(r.column_name, r.value) for r in V.domains(raw).filter("NOT in_domain").collect()}
     assert bad == {("status", "shipped")}
+
+
+def test_duplicate_keys_use_more_tasks_for_more_rows(spark):
+    users = spark.range(100).select(F.when(F.col("id") > 1, F.col("id")).alias("user_id"))
+    users = users.unionByName(users.filter("user_id % 40 = 0"))
+    out = V.duplicate_keys({"users": users}, rows_per_task=10)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and ", 11" in plan
+    got = {(r.table_name, r.key_value, r.n) for r in out.collect()}
+    assert got == {("users", None, 2), ("users", "40", 2), ("users", "80", 2)}
