@@ -44,6 +44,7 @@ MARGIN = 1e-6   # slack on every pruning test: float bounds never drop a true to
 # and for bounded writer memory per task (parquet buffers a whole row group).
 ROW_GROUP_BYTES = 16 << 20
 BUILD_FANOUT = 4
+TEXT_PER_TASK = 8 << 20   # bytes of text whose postings a build task counts and sorts
 
 
 # ---------------------------------------------------------------- R1 passages
@@ -77,6 +78,17 @@ def _idf(df: Column, n: Column) -> Column:
     return F.log(1 + (n - df + 0.5) / (df + 0.5))
 
 
+def build_tasks(documents: DataFrame) -> int:
+    """Tasks of an index build: BUILD_FANOUT for each input split, and enough that a
+    task's postings (counted and sorted) come from about TEXT_PER_TASK bytes of text,
+    however much text there is and however well its files are compressed."""
+    from shopmarts.session import default_parallelism, num_partitions
+    spark = documents.sparkSession
+    size = documents.agg(F.sum(F.octet_length(F.col("text")).cast("long"))).first()[0] or 0
+    return max(default_parallelism(spark), int(spark.conf.get("spark.sql.shuffle.partitions", "200")),
+               (num_partitions(documents) or 0) * BUILD_FANOUT, -(-size // TEXT_PER_TASK))
+
+
 class LexicalIndex:
     """An inverted index of line passages, materialized once and reused.
 
@@ -101,7 +113,7 @@ class LexicalIndex:
 
     @classmethod
     def build(cls, documents: DataFrame, path: str | None = None) -> "LexicalIndex":
-        from shopmarts.session import default_parallelism, num_partitions, shared_path
+        from shopmarts.session import shared_path
         spark = documents.sparkSession
         path = path or shared_path(spark, "lexical_index", unique=True)
         # All tokens of a passage come from one document row, so hash-partitioning
@@ -109,12 +121,7 @@ class LexicalIndex:
         # shuffled once (fewer bytes than the token rows would be) and the
         # aggregation runs without a shuffle of its own.  It also spreads the
         # tokenizing when the input has few splits (e.g. one large row group).
-        # Each input split is spread over BUILD_FANOUT tasks, so the per-task
-        # postings (aggregated and sorted) stay a fraction of a split.
-        par = default_parallelism(spark)
-        have = num_partitions(documents) or 0
-        shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-        documents = documents.repartition(max(par, shuffle, have * BUILD_FANOUT), "doc_id")
+        documents = documents.repartition(build_tasks(documents), "doc_id")
         # The passage count and total length come with the write (one job):
         # every passage has one ``first`` term, and its tf values sum to dl.
         # Rows are sorted by term inside each file (a local sort, no shuffle), so

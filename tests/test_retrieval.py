@@ -151,3 +151,10 @@ def test_pruning_knobs_never_change_results(spark):
         got = sorted(map(tuple, idx.search(qs, 3, split_ratio=ratio, seed_postings=seeds,
                                            seed_pool=pool).collect()))
         assert got == want, (ratio, seeds, pool, push)
+
+
+def test_index_build_uses_more_tasks_for_more_text(spark, monkeypatch):
+    docs = spark.range(300).selectExpr("id AS doc_id", "concat('word ', id, ' of a text') AS text").coalesce(1)
+    monkeypatch.setattr(R, "TEXT_PER_TASK", 10)
+    assert R.build_tasks(docs) >= 300
+    assert R.build_tasks(docs.limit(0)) >= 1
