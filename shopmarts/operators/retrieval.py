@@ -12,21 +12,22 @@ Scale notes
 * Tokens are produced by ``split`` + ``explode`` (JVM-side).  Document length
   is computed per row before the explode, so no join is needed for it.
 * Term statistics (document frequency, the largest per-posting BM25 factor)
-  are plain aggregations: partial aggregation map-side makes a term that sits
-  in a third of all passages cost no more than any other.
+  are plain aggregations over the postings of a batch's terms: partial
+  aggregation map-side makes a term that sits in a third of all passages cost
+  no more than any other, and terms that nobody asks for are not aggregated.
 * A naive BM25 join of query terms with postings emits, for every common term,
   all (query, passage) pairs.  Instead, for each query we (1) score passages
   from its rarest terms only, giving a lower bound ``theta`` on its k-th best
   score; (2) set aside a run of low-impact terms whose summed maximal
   contributions stay below a fraction of ``theta`` -- no passage holding only
   those terms can reach the top k; (3) fan out only the remaining terms, drop
-  passages whose upper bound stays below ``theta``, and finish the survivors by
-  keyed lookups on (passage, term).  The result equals brute force (MaxScore,
-  Turtle & Flood 1995).  The fraction trades fan-out against lookups: on 10x
-  sf0.1, 0.3 runs in about half the time of either extreme (1.0, or 0.0 = fan
-  out every term like a naive join).
-* Scores are summed as DECIMAL, so the sum does not depend on the order rows
-  arrive in; exact copies of a passage tie exactly and are ordered by id.
+  passages whose upper bound stays below ``theta``, and score the survivors in
+  full by keyed lookups on the passage.  The result equals brute force
+  (MaxScore, Turtle & Flood 1995).  The fraction trades fan-out against lookups.
+* Bounds are summed as doubles, with ``MARGIN`` for their rounding; scores are
+  summed as DECIMAL, which is slow and needed for the survivors only, so the sum
+  does not depend on the order rows arrive in; exact copies of a passage tie
+  exactly and are ordered by id.
 """
 
 from __future__ import annotations
@@ -40,11 +41,11 @@ TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 K1, B = 1.2, 0.75
 SCORE_TYPE = "decimal(20,12)"
 MARGIN = 1e-6   # slack on every pruning test: float bounds never drop a true top-k row
-# Postings row groups: small enough for fine-grained skipping of term-sorted data
-# and for bounded writer memory per task (parquet buffers a whole row group).
+# Postings row groups: small enough for bounded writer memory per task (parquet
+# buffers a whole row group).
 ROW_GROUP_BYTES = 16 << 20
 BUILD_FANOUT = 4
-TEXT_PER_TASK = 8 << 20   # bytes of text whose postings a build task counts and sorts
+TEXT_PER_TASK = 8 << 20   # bytes of text whose postings a build task counts
 
 
 # ---------------------------------------------------------------- R1 passages
@@ -80,7 +81,7 @@ def _idf(df: Column, n: Column) -> Column:
 
 def build_tasks(documents: DataFrame) -> int:
     """Tasks of an index build: BUILD_FANOUT for each input split, and enough that a
-    task's postings (counted and sorted) come from about TEXT_PER_TASK bytes of text,
+    task's postings (counted in memory) come from about TEXT_PER_TASK bytes of text,
     however much text there is and however well its files are compressed."""
     from shopmarts.session import default_parallelism, num_partitions
     spark = documents.sparkSession
@@ -92,15 +93,13 @@ def build_tasks(documents: DataFrame) -> int:
 class LexicalIndex:
     """An inverted index of line passages, materialized once and reused.
 
-    ``postings`` (doc_id, pos, term, tf, dl, tfp) and ``stats`` (term, df,
-    max_tfp, idf, maxc) are written as parquet tables in the shared checkpoint
-    folder: lineage is cut, every query batch reads them back with column
-    pruning, and a lost executor only re-reads files.
+    ``postings`` (doc_id, pos, term, tf, dl, tfp) is written as a parquet table
+    in the shared checkpoint folder: lineage is cut, every query batch reads it
+    back with column pruning, and a lost executor only re-reads files.
     """
 
-    def __init__(self, postings: DataFrame, stats: DataFrame, n_passages: int, avgdl: float,
-                 path: str):
-        self.postings, self.stats = postings, stats
+    def __init__(self, postings: DataFrame, n_passages: int, avgdl: float, path: str):
+        self.postings = postings
         self.n_passages, self.avgdl = n_passages, avgdl
         self.path = path
 
@@ -124,13 +123,11 @@ class LexicalIndex:
         documents = documents.repartition(build_tasks(documents), "doc_id")
         # The passage count and total length come with the write (one job):
         # every passage has one ``first`` term, and its tf values sum to dl.
-        # Rows are sorted by term inside each file (a local sort, no shuffle), so
-        # parquet row-group statistics let a search that pushes its terms down
-        # skip most of the index.
+        # Rows stay in the order of their passages: a search sums by passage.
         obs = Observation()
         (postings(passages(documents))
          .observe(obs, F.count_if("first").alias("n"), F.sum("tf").alias("tokens"))
-         .sortWithinPartitions("term")
+         .drop("first")
          .write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES)
          .parquet(f"{path}/postings0"))
         n_passages, tokens = obs.get["n"], obs.get["tokens"]
@@ -139,72 +136,73 @@ class LexicalIndex:
         avgdl = tokens / n_passages
         post = spark.read.parquet(f"{path}/postings0")
         post = post.withColumn("tfp", _tf_part(F.col("tf"), F.col("dl"), F.lit(avgdl)))
-        (post.groupBy("term")
-         .agg(F.count(F.lit(1)).alias("df"), F.max("tfp").alias("max_tfp"))
-         .withColumn("idf", _idf(F.col("df"), F.lit(n_passages)))
-         .withColumn("maxc", F.col("idf") * F.col("max_tfp"))
-         .write.mode("overwrite").parquet(f"{path}/stats"))
-        return cls(post, spark.read.parquet(f"{path}/stats"), n_passages, avgdl, path)
+        return cls(post, n_passages, avgdl, path)
 
     def search(self, queries: DataFrame, k: int = 5, query_id: str = "item_id",
                query_text: str = "text", seed_postings: int = 2000,
-               seed_pool: int = 4, split_ratio: float = 0.3) -> DataFrame:
+               seed_pool: int = 4, split_ratio: float = 0.5) -> DataFrame:
         """Exact BM25 top-k passages per query: (query_id, rank_no, doc_id, pos, score).
 
         ``seed_postings``, ``seed_pool`` and ``split_ratio`` (in (0, 1]) only tune
         the work; the result is the same for any value.  A smaller ``split_ratio``
         fans out more terms but lets fewer passages survive to the lookups.
         The postings of the batch's terms are selected in one pass, by a join
-        with the written term table; the later steps read only those."""
+        with the written term table; the later steps read only those, with the
+        terms as numbers."""
         import uuid
         run_id = f"search_{uuid.uuid4().hex[:10]}"
-        post, stats = self.postings, self.stats
-        # query terms are written first, so the join below knows their (small)
-        # size and broadcasts them while streaming the vocabulary statistics
+        # query terms are written first, so the joins below know their (small)
+        # size and broadcast them while streaming the postings
         asked = self._keep(
             queries.select(F.col(query_id).alias("qid"),
                            F.explode(tokens_of(F.col(query_text))).alias("term"))
             .distinct(), f"{run_id}/asked")
-        qterms = self._keep(asked.join(stats.select("term", "df", "idf", "maxc"), "term"),
+        terms = self._keep(asked.select("term").distinct()
+                           .withColumn("tid", F.monotonically_increasing_id()), f"{run_id}/terms")
+        # every join below needs postings of query terms only
+        post = self._keep(self.postings.join(terms, "term")
+                          .select("doc_id", "pos", "tid", "tfp"), f"{run_id}/postings")
+        stats = (post.groupBy("tid").agg(F.count(F.lit(1)).alias("df"), F.max("tfp").alias("max_tfp"))
+                 .withColumn("idf", _idf(F.col("df"), F.lit(self.n_passages)))
+                 .select("tid", "df", "idf", (F.col("idf") * F.col("max_tfp")).alias("maxc")))
+        qterms = self._keep(asked.join(terms, "term").drop("term").join(stats, "tid"),
                             f"{run_id}/qterms")
         key = ["qid", "doc_id", "pos"]
         best = Window.partitionBy("qid").orderBy(F.desc("s"), "doc_id", "pos")
-        # every join below needs postings of query terms only
-        post = self._keep(post.join(qterms.select("term").distinct(), "term", "left_semi"),
-                          f"{run_id}/postings")
-
-        def contrib(p: DataFrame) -> DataFrame:
-            return p.withColumn("c", (F.col("idf") * F.col("tfp")).cast(SCORE_TYPE))
 
-        def lookup(pairs: DataFrame, terms: DataFrame, out: str) -> DataFrame:
-            """Sum of contributions of ``terms`` (qid, term, idf) in the given
-            (qid, doc_id, pos) passages, by keyed (passage, term) lookups."""
-            return (contrib(pairs.join(terms.select("qid", "term", "idf"), "qid")
-                            .join(post.select("doc_id", "pos", "term", "tfp"),
-                                  ["doc_id", "pos", "term"]))
-                    .groupBy(*key).agg(F.sum("c").alias(out)))
+        def bounds(some: DataFrame, out: str) -> DataFrame:
+            """Sum of contributions of the terms ``some`` (qid, tid, idf) to every
+            passage that has one of them, as doubles: for bounds only."""
+            return (some.select("qid", "tid", "idf").join(post, "tid")
+                    .groupBy(*key).agg(F.sum(F.col("idf") * F.col("tfp")).alias(out)))
+
+        def exact(pairs: DataFrame) -> DataFrame:
+            """The scores ``s`` of the given (qid, doc_id, pos), by keyed lookups of
+            the passage; an id may be null."""
+            p = pairs.select("qid", F.col("doc_id").alias("d"), F.col("pos").alias("at"))
+            return (post.join(p, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("pos") == F.col("at")))
+                    .join(qterms.select("qid", "tid", "idf"), ["qid", "tid"])
+                    .withColumn("c", (F.col("idf") * F.col("tfp")).cast(SCORE_TYPE))
+                    .groupBy(*key).agg(F.sum("c").alias("s")))
 
         def top(df: DataFrame, n: int) -> DataFrame:
             return df.withColumn("rank_no", F.row_number().over(best)).filter(F.col("rank_no") <= n)
 
         # (1) theta: the k-th best *exact* score among passages found by the
         #     rarest terms (taken until their postings reach ``seed_postings``).
-        rarer = (Window.partitionBy("qid").orderBy("df", "term")
+        rarer = (Window.partitionBy("qid").orderBy("df", "tid")
                  .rowsBetween(Window.unboundedPreceding, -1))
         seeds = (qterms.withColumn("before", F.coalesce(F.sum("df").over(rarer), F.lit(0)))
                  .filter(F.col("before") < seed_postings))
-        partial = (contrib(seeds.join(post.select("term", "doc_id", "pos", "tfp"), "term"))
-                   .groupBy(*key).agg(F.sum("c").alias("s")))
-        pool = top(partial, k * seed_pool).select(*key)
-        pool_exact = lookup(pool, qterms, "s")
+        pool = self._keep(top(bounds(seeds, "s"), k * seed_pool).select(*key), f"{run_id}/pool")
         theta = self._keep(
-            top(pool_exact, k).groupBy("qid")
+            top(exact(pool), k).groupBy("qid")
             .agg(F.min("s").cast("double").alias("t"), F.count(F.lit(1)).alias("found"))
             .select("qid", F.when(F.col("found") >= k, F.col("t")).otherwise(0.0)
                     .alias("theta")), f"{run_id}/theta")
 
         # (2) non-essential terms: the low-impact prefix whose summed maxima < theta
-        run = (Window.partitionBy("qid").orderBy("maxc", "term")
+        run = (Window.partitionBy("qid").orderBy("maxc", "tid")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         split = self._keep(
             qterms.withColumn("upto", F.sum("maxc").over(run))
@@ -219,33 +217,27 @@ class LexicalIndex:
                  .join(theta, "qid", "full_outer"))
 
         # (3) essential terms fan out; drop passages whose upper bound < theta
-        fan = contrib(ess.join(post.select("term", "doc_id", "pos", "tfp"), "term"))
-        es = fan.groupBy(*key).agg(F.sum("c").alias("es"))
         surv = self._keep(
-            es.join(bound, "qid", "left")
-            .filter(F.col("es").cast("double") + F.coalesce(F.col("ne_max"), F.lit(0.0))
+            bounds(ess, "es").join(bound, "qid", "left")
+            .filter(F.col("es") + F.coalesce(F.col("ne_max"), F.lit(0.0))
                     + MARGIN >= F.coalesce(F.col("theta"), F.lit(0.0)))
-            .select(*key, "es"), f"{run_id}/survivors")
+            .select(*key), f"{run_id}/survivors")
 
-        # (4) exact score = essential part + non-essential part by lookups
-        rest = lookup(surv.select(*key), non, "ns")
-        exact = (surv.join(rest, key, "left")
-                 .withColumn("s", F.col("es") + F.coalesce(F.col("ns"), F.lit(0).cast(SCORE_TYPE))))
+        # (4) exact scores of the survivors
         result = self._keep(
-            top(exact, k).select(F.col("qid").alias(query_id), "rank_no", "doc_id", "pos",
+            top(exact(surv), k).select(F.col("qid").alias(query_id), "rank_no", "doc_id", "pos",
                                  F.round(F.col("s").cast("double"), 6).alias("score")),
             f"{run_id}/topk")
         # the result is written; the per-search tables are no longer needed
         from shopmarts.session import remove_path
-        for part in ("asked", "qterms", "postings", "theta", "split", "survivors"):
+        for part in ("asked", "terms", "postings", "qterms", "pool", "theta", "split", "survivors"):
             remove_path(result.sparkSession, f"{self.path}/{run_id}/{part}")
         return result
 
     def drop(self) -> None:
-        """Delete the index files (postings, statistics); search results stay."""
+        """Delete the index files (postings); search results stay."""
         from shopmarts.session import remove_path
-        for part in ("postings0", "stats"):
-            remove_path(self.postings.sparkSession, f"{self.path}/{part}")
+        remove_path(self.postings.sparkSession, f"{self.path}/postings0")
 
 
 def lexical_topk(documents: DataFrame, queries: DataFrame, k: int = 5,

@@ -158,3 +158,29 @@ def test_index_build_uses_more_tasks_for_more_text(spark, monkeypatch):
     monkeypatch.setattr(R, "TEXT_PER_TASK", 10)
     assert R.build_tasks(docs) >= 300
     assert R.build_tasks(docs.limit(0)) >= 1
+
+
+def test_fan_out_sums_bounds_without_decimals_and_reads_passages_once(spark, monkeypatch):
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    qs = spark.createDataFrame(QUERIES, "item_id long, text string")
+    plans, keep = {}, R.LexicalIndex._keep
+
+    def noted(self, df, name):
+        plans[name.split("/")[1]] = df._jdf.queryExecution().optimizedPlan().toString()
+        return keep(self, df, name)
+
+    monkeypatch.setattr(R.LexicalIndex, "_keep", noted)
+    got = sorted(map(tuple, R.lexical_topk(docs, qs, k=3).collect()))
+    assert got == sorted(map(tuple, _naive(docs, qs, 3).collect()))
+    assert "decimal" not in plans["survivors"]
+    assert "decimal" in plans["topk"]
+
+
+def test_passages_without_an_id_are_scored_in_full(spark):
+    docs = spark.createDataFrame([*DOCS, (None, "the zebra crossing\nthe mat at night"), (None, "a mat")],
+                                 "doc_id long, text string")
+    qs = spark.createDataFrame(QUERIES, "item_id long, text string")
+    want = sorted(map(str, _naive(docs, qs, 4).collect()))
+    idx = R.LexicalIndex.build(docs)
+    for ratio in (1.0, 0.5, 0.0):
+        assert sorted(map(str, idx.search(qs, 4, split_ratio=ratio).collect())) == want, ratio
