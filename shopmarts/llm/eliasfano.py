@@ -6,6 +6,21 @@ import numpy as np
 
 _U = np.uint64
 STEP = 16        # every so many ones (zeros) their position is noted
+_EACH, _TOP = _U(0x0101010101010101), _U(0x8080808080808080)      # ones, high bits of all bytes
+# the place of the k-th one in a byte, at 8 * byte + k
+_IN_BYTE = np.array([([p for p in range(8) if b >> p & 1] + [0] * 8)[k]
+                     for b in range(256) for k in range(8)], _U)
+
+
+def _place(w: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """The bit of the k-th one in each word ``w``, which has more than k ones: its
+    byte by comparing k with the ones up to each byte, then a table."""
+    x = w - ((w >> _U(1)) & _U(0x5555555555555555))
+    x = (x & _U(0x3333333333333333)) + ((x >> _U(2)) & _U(0x3333333333333333))
+    x = ((x + (x >> _U(4))) & _U(0x0F0F0F0F0F0F0F0F)) * _EACH
+    byte = np.bitwise_count((((k * _EACH) | _TOP) - x) & _TOP).astype(_U) << _U(3)
+    k = k - (((x << _U(8)) >> byte) & _U(255))
+    return byte + _IN_BYTE[((((w >> byte) & _U(255)) << _U(3)) | k).astype(np.int64)]
 
 
 class EliasFano:
@@ -73,15 +88,7 @@ class EliasFano:
         w = self.high[word]
         if flip:
             w = ~w
-        # the k-th one inside the word, halving the width
-        out = word << 6
-        for half in (32, 16, 8, 4, 2, 1):
-            below = np.bitwise_count(w & _U((1 << half) - 1)).astype(np.int64)
-            up = k >= below
-            k -= np.where(up, below, 0)
-            w = np.where(up, w >> _U(half), w)
-            out += up * half
-        return out
+        return (word << 6) + _place(w, k.astype(_U)).astype(np.int64)
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.bits:
@@ -99,6 +106,19 @@ class EliasFano:
         high = self._select(i, self.ones, False) - i
         return (high.astype(_U) << _U(self.bits)) | self._low(i)
 
+    def access_two(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values at ``i`` and at ``i + 1``, whose one mostly stands in the same word."""
+        i = np.asarray(i, np.int64)
+        if not len(i):
+            return np.empty(0, _U), np.empty(0, _U)
+        at = self._select(i, self.ones, False)
+        rest = (self.high[at >> 6] >> (at & 63).astype(_U)) >> _U(1)
+        after = at + 1 + np.bitwise_count((rest & (~rest + _U(1))) - _U(1))
+        far = np.flatnonzero(rest == 0)
+        after[far] = self._select(i[far] + 1, self.ones, False)
+        return (((at - i).astype(_U) << _U(self.bits)) | self._low(i),
+                ((after - i - 1).astype(_U) << _U(self.bits)) | self._low(i + 1))
+
     def find(self, value: np.ndarray) -> np.ndarray:
         """The position of each value's first occurrence, -1 where there is none:
         the values with its high bits, then a successor search in their low bits."""

@@ -8,7 +8,7 @@ import pytest
 
 from shopmarts.llm import ngramtrie as N
 from shopmarts.llm.arrayfiles import read_arrays, write_arrays
-from shopmarts.llm.eliasfano import EliasFano
+from shopmarts.llm.eliasfano import EliasFano, _place
 from shopmarts.llm.wordblocks import SPACES, hashed_blocks, word_lists
 
 
@@ -164,3 +164,25 @@ def test_the_query_keeps_triples_seen_once(spark, tmp_path):
     assert len(got) == len(want)
     for (i, score), w in zip(got, want):
         assert i == w[0] and -4e-4 * w[1] - 1e-6 <= score - w[4] <= 1e-6 * w[1] + 1e-6
+
+
+def test_elias_fano_pairs_of_neighbours_and_places_in_words():
+    rng = np.random.default_rng(7)
+    v = np.sort(np.concatenate([rng.integers(0, 10 ** 6, 2000), rng.integers(0, 2 ** 40, 50)]).astype(np.uint64))
+    e = EliasFano(EliasFano.encode(v))
+    at = rng.integers(0, len(v) - 1, 900)
+    one, two = e.access_two(at)
+    assert (one == v[at]).all() and (two == v[at + 1]).all()
+    assert [len(x) for x in e.access_two(at[:0])] == [0, 0]
+    words = [1, 1 << 63, (1 << 64) - 1, *map(int, rng.integers(1, 2 ** 63, 40))]
+    want = [(w, k, p) for w in words for k, p in enumerate(p for p in range(64) if w >> p & 1)]
+    w, k, p = (np.array(x, np.uint64) for x in zip(*want))
+    assert (_place(w, k) == p).all()
+
+
+def test_distinct_keys_are_numbered_as_by_unique():
+    keys = np.random.default_rng(3).integers(0, 50, 400).astype(np.uint64)
+    for x in (keys, keys[:1], keys[:0]):
+        first, number = N.distinct(x)
+        own, inverse = np.unique(x, return_inverse=True)
+        assert (x[first] == own).all() and (number == inverse).all()
